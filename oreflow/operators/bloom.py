@@ -12,12 +12,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from oreflow.functions.text import jvm_hash
+from oreflow.session import materialise
 
 # The moduli of the two slot hashes. The filter has as many slots as the largest.
 MODULI = (64, 59)
 # Slots are broadcast; this bounds how many a caller may ask for.
 MAX_SLOTS = 1 << 20
-_BLOCK = 4096
+# Blocks that running totals are accumulated over.
+BLOCKS = 4096
 
 
 def slot(tag_hash: Column, modulus: int) -> Column:
@@ -76,13 +78,17 @@ def summary(arrivals: DataFrame, moduli: tuple[int, ...] = MODULI, exact_key: st
     )
 
 
-def running_totals(df: DataFrame, order: str, columns: list[str], block: int = _BLOCK) -> DataFrame:
+def running_totals(df: DataFrame, order: str, columns: list[str], blocks: int = BLOCKS) -> DataFrame:
     """Running sums of ``columns`` by the whole-numbered ``order``.
 
-    Rows are summed inside blocks of ``order`` and only the block sums are accumulated
-    in one place, so the sequence itself never has to fit in one task.
+    The range of ``order`` is cut into blocks of equal width. Rows are summed inside
+    their block, and only the sums of the blocks, whose number is fixed, are accumulated
+    in one place.
     """
-    blocked = df.withColumn("_block", F.floor(F.col(order) / block).cast("bigint"))
+    ends = df.agg(F.min(order).alias("low"), F.max(order).alias("high")).first()
+    low, high = ends["low"] or 0, ends["high"] or 0
+    width = (high - low) // blocks + 1
+    blocked = df.withColumn("_block", F.floor((F.col(order) - low) / width).cast("int"))
     sums = blocked.groupBy("_block").agg(*[F.sum(c).alias(f"_{c}") for c in columns])
     before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
@@ -90,35 +96,32 @@ def running_totals(df: DataFrame, order: str, columns: list[str], block: int = _
     )
     inside = Window.partitionBy("_block").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     running = blocked.select("*", *[F.sum(c).over(inside).alias(f"_in_{c}") for c in columns])
-    joined = running.join(offsets, "_block")
     totals = [(F.col(f"_{c}") + F.col(f"_in_{c}")).alias(f"total_{c}") for c in columns]
-    return joined.select(*df.columns, *totals)
+    return running.join(F.broadcast(offsets), "_block").select(*df.columns, *totals)
 
 
 def batch_report(
-    arrivals: DataFrame, batch: str, moduli: tuple[int, ...] = MODULI, exact_key: str = "hash"
+    arrivals: DataFrame, batch: Column, moduli: tuple[int, ...] = MODULI, exact_key: str = "hash"
 ) -> DataFrame:
     """Per batch: right and wrong answers; over all batches so far: unique tags, wrong answers.
 
-    ``arrivals`` is (batch, seq, tag) with sequence numbers that rise from batch to batch.
+    ``arrivals`` is (seq, tag); ``batch`` gives the whole-numbered batch of a ``seq``, which
+    rises with it.
     """
-    marked = false_positives(arrivals.select("seq", "tag"), moduli, exact_key)
-    sizes = arrivals.groupBy(batch).agg(F.count("*").alias("arrivals"))
-    firsts = (
-        arrivals.select(batch, "seq")
-        .join(marked.select("seq", "false_positive"), "seq")
-        .groupBy(batch)
-        .agg(F.count("*").alias("new_tags"), F.count_if("false_positive").alias("incorrect"))
+    marked = false_positives(arrivals, moduli, exact_key)
+    sizes = arrivals.groupBy(batch.alias("batch")).agg(F.count("*").alias("arrivals"))
+    firsts = marked.groupBy(batch.alias("batch")).agg(
+        F.count("*").alias("new_tags"), F.count_if("false_positive").alias("incorrect")
     )
-    per_batch = sizes.join(firsts, batch, "left").select(
-        batch,
+    per_batch = sizes.join(firsts, "batch", "left").select(
+        "batch",
         "arrivals",
         F.coalesce("incorrect", F.lit(0)).cast("bigint").alias("incorrect"),
         F.coalesce("new_tags", F.lit(0)).cast("bigint").alias("new_tags"),
     )
-    totals = running_totals(per_batch, batch, ["new_tags", "incorrect"])
+    totals = running_totals(materialise(per_batch, "batches"), "batch", ["new_tags", "incorrect"])
     return totals.select(
-        batch,
+        "batch",
         (F.col("arrivals") - F.col("incorrect")).alias("correct"),
         "incorrect",
         F.col("total_new_tags").alias("unique_tags"),

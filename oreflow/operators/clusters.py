@@ -118,10 +118,11 @@ def library_report(
 def with_distances(assigned: DataFrame, centres: list[list[float]]) -> DataFrame:
     """Squared distance of each vector to the centre of its own cluster."""
     spark = assigned.sparkSession
+    lloyd.check_size(len(centres), len(centres[0]))
     rows = [(i, centre) for i, centre in enumerate(centres)]
     table = spark.createDataFrame(rows, "cluster int, centre array<double>")
     squares = F.zip_with(vector_to_array("features"), "centre", lambda x, c: (x - c) * (x - c))
-    # One row per cluster: as small as the model that was just fitted.
+    # One row per cluster, of the size just checked.
     joined = assigned.join(F.broadcast(table), "cluster")
     return joined.withColumn("distance2", F.aggregate(squares, F.lit(0.0), lambda a, x: a + x)).drop("centre")
 

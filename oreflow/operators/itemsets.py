@@ -14,9 +14,10 @@ from pyspark.sql import types as T
 from oreflow.functions.text import label_of
 from oreflow.session import materialise
 
-# Rows a chunk of baskets aims for, and the most it may hold.
+# Rows and bytes of bits a chunk of baskets aims for; beyond SLACK times that it will not do.
 CHUNK_ROWS = 500_000
-MAX_CHUNK_ROWS = 20_000_000
+CHUNK_BYTES = 256 << 20
+SLACK = 8
 # A chunk's own threshold is kept at or above this, or chance pairs flood the candidates.
 MIN_LOCAL_SUPPORT = 10
 # Candidates recounted in one round; more of them take more rounds.
@@ -50,9 +51,13 @@ def frequent_itemsets(rows: DataFrame, support: int, method: str = "chunks", chu
     # one row per frequent item, and there are at most rows / support of those.
     pruned = baskets.join(singles.select("item"), "item", "left_semi")
 
-    kept = singles.agg(F.sum("freq")).first()[0] or 0
-    chunks = max(1, min(-(-kept // chunk_rows), support // MIN_LOCAL_SUPPORT))
-    if method == "fpgrowth" or kept / chunks > MAX_CHUNK_ROWS:
+    size = singles.agg(F.sum("freq").alias("rows"), F.count("*").alias("items")).first()
+    n_baskets = baskets.agg(F.approx_count_distinct("basket_id")).first()[0]
+    kept = size["rows"] or 0
+    wanted = max(1, -(-kept // chunk_rows), -(-size["items"] * n_baskets // (8 * CHUNK_BYTES)))
+    selective = max(1, support // MIN_LOCAL_SUPPORT)
+    chunks = min(wanted, selective)
+    if method == "fpgrowth" or wanted > SLACK * chunks:
         return _canonical(_mine_with_fpgrowth(pruned, support))
 
     chunked = pruned.withColumn("chunk", F.pmod(F.xxhash64("basket_id"), F.lit(chunks)).cast("int"))
@@ -112,12 +117,10 @@ def _basket_bits(chunk: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The chunk's items in order, and one bit per basket for each of them."""
     basket, _ = pd.factorize(chunk["basket_id"])
     item, items = pd.factorize(chunk["item"], sort=True)
-    held = np.zeros((len(items), basket.max(initial=-1) + 1), dtype=bool)
-    held[item, basket] = True
-    packed = np.packbits(held, axis=1)
-    padded = np.zeros((packed.shape[0], -(-packed.shape[1] // 8) * 8), dtype=np.uint8)
-    padded[:, : packed.shape[1]] = packed
-    return np.asarray(items), padded.view(np.uint64)
+    words = (basket.max(initial=-1) + 64) // 64
+    bits = np.zeros((len(items), words * 8), dtype=np.uint8)
+    np.bitwise_or.at(bits, (item, basket >> 3), (1 << (basket & 7)).astype(np.uint8))
+    return np.asarray(items), bits.view(np.uint64)
 
 
 def _counts(bits: np.ndarray) -> np.ndarray:

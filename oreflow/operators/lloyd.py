@@ -21,7 +21,7 @@ MAX_CENTROID_CELLS = 1 << 26
 _COUNT = -1
 
 
-def _check_size(k: int, dims: int) -> None:
+def check_size(k: int, dims: int) -> None:
     if k * dims > MAX_CENTROID_CELLS:
         raise ValueError(f"{k} centroids of {dims} dimensions are too large to hand to every task")
 
@@ -30,7 +30,7 @@ class _Shared:
     """Centroids on their way to the tasks: only the cells that are not zero travel."""
 
     def __init__(self, spark: SparkSession, centroids: np.ndarray):
-        _check_size(*centroids.shape)
+        check_size(*centroids.shape)
         self.shape = centroids.shape
         cells = np.flatnonzero(centroids)
         self.sent = spark.sparkContext.broadcast((cells, centroids.ravel()[cells]))
@@ -47,7 +47,7 @@ def starting_points(points: DataFrame, key: str, k: int, dims: int, seed: int =
 
     ``points`` is (key, val) for dense or (key, idx, val) for sparse vectors.
     """
-    _check_size(k, dims)
+    check_size(k, dims)
     chosen = points.orderBy(priority(seed, F.col(key)), key).limit(k).collect()
     centroids = np.zeros((len(chosen), dims))
     for row, point in zip(centroids, chosen):

@@ -17,6 +17,10 @@ OVERLAP_OVER = 12
 COSINE_OVER = 0.5
 UNKNOWN_RATING = 2.5
 
+# Shared items that the look-up of candidates asks for; more of them look up more items
+# per user and leave fewer candidates to compare.
+PROBE_HITS = 3
+
 
 @dataclass(frozen=True)
 class RatingTables:
@@ -72,13 +76,14 @@ def neighbour_weights(
 ) -> DataFrame:
     """Similar heavy users of every light user (or of those in ``active``).
 
-    A pair that shares more than ``overlap_over`` items shares at least one item
-    outside any ``overlap_over`` items of the light user. So only the light user's
-    rarest items are looked up to find candidates, and the items everybody rated
-    never pair anyone. Candidates are then compared over all their items.
+    A pair has to share ``overlap_over + 1`` items. Leave out any ``overlap_over + 1 - h``
+    items of the light user, and it still shares ``h`` of the others. So the light user's
+    most popular items are left out of the look-up of candidates: the items everybody
+    rated pair nobody. Candidates with ``h`` hits are then compared over all their items.
     """
     if centering not in ("sum", "mean"):
         raise ValueError("centering must be 'sum' or 'mean'")
+    hits = min(PROBE_HITS, overlap_over + 1)
     light = tables.users.filter(~F.col("heavy") & (F.col("items") > overlap_over)).select("user")
     if active is not None:
         light = light.join(active.select("user"), "user", "left_semi")
@@ -96,12 +101,16 @@ def neighbour_weights(
         mine.join(tables.items.select("item", "raters"), "item")
         .withColumn("rarity", F.row_number().over(per_user.orderBy("raters", "item")))
         .withColumn("size", F.count("*").over(per_user))
-        .filter(F.col("rarity") <= F.col("size") - overlap_over)
+        .filter(F.col("rarity") <= F.col("size") - (overlap_over + 1 - hits))
         .select("user", "item")
     )
     hot = hot_keys(tables.items, "item", "raters", min_hot_rows)
     candidates = (
-        salted_join(others.select("neighbour", "item"), probes, "item", hot).select("user", "neighbour").distinct()
+        salted_join(others.select("neighbour", "item"), probes, "item", hot)
+        .groupBy("user", "neighbour")
+        .agg(F.count("*").alias("hits"))
+        .filter(F.col("hits") >= hits)
+        .select("user", "neighbour")
     )
 
     n, a, b = F.col("n"), F.col("sum_a"), F.col("sum_b")

@@ -21,7 +21,7 @@ from oreflow.operators import (
     survey,
 )
 from oreflow.plans import views
-from oreflow.session import materialise, scratch_path
+from oreflow.session import materialise, scratch_path, spread
 from oreflow.sources import files, reports
 from oreflow.streaming.bloom import BloomStream, sequenced
 from oreflow.streaming.reservoir import ReservoirStream
@@ -346,7 +346,7 @@ def itemset_report(spark: SparkSession, folder: str) -> DataFrame:
 def documents_text_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Documents written one per line, read back and their words counted."""
     path = scratch_path(spark, "documents-text")
-    documents = views.table(spark, folder, "documents")
+    documents = views.documents(spark, folder)
     documents.select(F.translate("text", "\r\n", "  ").alias("value")).write.text(path)
     read = features.with_words(files.read_documents(spark, path))
     return read.agg(
@@ -356,21 +356,21 @@ def documents_text_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def term_frequency(spark: SparkSession, folder: str) -> DataFrame:
-    return features.term_frequency(views.table(spark, folder, "documents"))
+    return features.term_frequency(views.documents(spark, folder))
 
 
 @query
 def tf_idf(spark: SparkSession, folder: str) -> DataFrame:
-    documents = views.table(spark, folder, "documents")
+    documents = views.documents(spark, folder)
     frequency = materialise(features.term_frequency(documents), "tf")
-    weighted = features.tf_idf(frequency, documents.count())
+    weighted = features.tf_idf(frequency, views.table(spark, folder, "documents").count())
     return weighted.select("doc_id", "word", "n", "df", rounded("tf_idf", "tf_idf"))
 
 
 @query
 def tf_hashed(spark: SparkSession, folder: str) -> DataFrame:
     """Hashed frequencies in long form."""
-    vectors = features.hashed_vectors(views.table(spark, folder, "documents"), features.OWN_BUCKETS)
+    vectors = features.hashed_vectors(views.documents(spark, folder), features.OWN_BUCKETS)
     points = features.sparse_points(vectors)
     return points.select("doc_id", F.explode(F.arrays_zip("idx", "val")).alias("cell")).select(
         "doc_id", F.col("cell.idx").alias("bucket"), F.col("cell.val").alias("n")
@@ -380,13 +380,13 @@ def tf_hashed(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def tf_hashed_totals(spark: SparkSession, folder: str) -> DataFrame:
     """Hashing loses no word: per document the bucket counts add up to its words."""
-    vectors = features.hashed_vectors(views.table(spark, folder, "documents"), features.LIBRARY_BUCKETS)
+    vectors = features.hashed_vectors(views.documents(spark, folder), features.LIBRARY_BUCKETS)
     total = F.aggregate("val", F.lit(0.0), lambda a, x: a + x)
     return features.sparse_points(vectors).select("doc_id", total.cast("bigint").alias("n_words"))
 
 
 def _points(spark: SparkSession, folder: str) -> DataFrame:
-    return views.table(spark, folder, "embeddings").select("vec_id", F.col("embedding").alias("val"))
+    return spread(views.table(spark, folder, "embeddings").select("vec_id", F.col("embedding").alias("val")))
 
 
 def _fitted(points: DataFrame):
@@ -433,39 +433,39 @@ def cluster_wsse(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def cluster_top_terms(spark: SparkSession, folder: str) -> DataFrame:
     """Top words per cluster, the language being the cluster."""
-    documents = features.with_words(views.table(spark, folder, "documents"))
+    documents = features.with_words(views.documents(spark, folder))
     return clusters.top_terms(documents.select(F.col("lang").alias("cluster"), "words"))
 
 
 @query
 def cluster_word_counts(spark: SparkSession, folder: str) -> DataFrame:
-    documents = features.with_words(views.table(spark, folder, "documents"))
+    documents = features.with_words(views.documents(spark, folder))
     return clusters.word_counts(documents.select(F.col("lang").alias("cluster"), "words"))
 
 
 @query
 def kmeans_report(spark: SparkSession, folder: str) -> DataFrame:
-    return clusters.flat_report(clusters.library_report(views.table(spark, folder, "documents"), "K", 8, 20))
+    return clusters.flat_report(clusters.library_report(views.documents(spark, folder), "K", 8, 20))
 
 
 @query
 def bisecting_report(spark: SparkSession, folder: str) -> DataFrame:
-    return clusters.flat_report(clusters.library_report(views.table(spark, folder, "documents"), "B", 8, 20))
+    return clusters.flat_report(clusters.library_report(views.documents(spark, folder), "B", 8, 20))
 
 
 @query
 def own_kmeans_tf_report(spark: SparkSession, folder: str) -> DataFrame:
-    return clusters.flat_report(clusters.own_report(views.table(spark, folder, "documents"), "W", 5, 20))
+    return clusters.flat_report(clusters.own_report(views.documents(spark, folder), "W", 5, 20))
 
 
 @query
 def own_kmeans_tf_idf_report(spark: SparkSession, folder: str) -> DataFrame:
-    return clusters.flat_report(clusters.own_report(views.table(spark, folder, "documents"), "T", 5, 20))
+    return clusters.flat_report(clusters.own_report(views.documents(spark, folder), "T", 5, 20))
 
 
 @query
 def mixture_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return clusters.mixture_summary(views.table(spark, folder, "documents"), 3, 5)
+    return clusters.mixture_summary(views.documents(spark, folder), 3, 5)
 
 
 # --- messages -----------------------------------------------------------------
@@ -534,9 +534,8 @@ def bloom_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def bloom_batch_report(spark: SparkSession, folder: str) -> DataFrame:
-    every = materialise(_arrivals(spark, folder), "arrivals")
     batch = F.floor(F.col("seq") / (EVENTS_PER_BATCH * TAG_PLACES)).cast("bigint")
-    return bloom.batch_report(every.withColumn("batch", batch), "batch")
+    return bloom.batch_report(_arrivals(spark, folder), batch)
 
 
 # --- streams ------------------------------------------------------------------

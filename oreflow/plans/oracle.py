@@ -58,7 +58,7 @@ ratings AS (
   SELECT * FROM ratings
   WHERE ((u * 31 + i) % 10 <> 0 OR (u + i) % 7 = 0) AND u % 50 <> 0 AND i % 25 <> 0
 ), test AS (
-  SELECT * FROM ratings WHERE (u * 31 + i) % 10 = 0
+  SELECT * FROM ratings WHERE (u * 31 + i) % 10 = 0 OR u % 50 = 0 OR i % 25 = 0
 ), us AS (
   SELECT u, avg(r) AS um, sqrt(sum(r * r)) AS norm, count(*) AS ratings, count(*) > 20 AS heavy FROM train GROUP BY u
 ), its AS (

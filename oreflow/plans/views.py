@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from oreflow.session import spread
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    return spread(table(spark, folder, "documents"))
+
+
 def survey(spark: SparkSession, folder: str) -> DataFrame:
     """Every order is one answer: the customer's nation and a salary text."""
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
@@ -49,16 +54,22 @@ def ratings(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def ratings_train(all_ratings: DataFrame) -> DataFrame:
-    """The ratings without held-out users, items and pairs."""
+def _held_out() -> tuple[Column, Column]:
+    """New users and items, and a tenth of all pairs."""
     u, i = F.col("user"), F.col("item")
-    kept = ((u * 31 + i) % 10 != 0) | ((u + i) % 7 == 0)
-    return all_ratings.filter(kept & (u % 50 != 0) & (i % 25 != 0))
+    return (u % 50 == 0) | (i % 25 == 0), (u * 31 + i) % 10 == 0
+
+
+def ratings_train(all_ratings: DataFrame) -> DataFrame:
+    """Ratings of known users and items; a part of the held-out pairs is known, too."""
+    new, pair = _held_out()
+    return all_ratings.filter(~new & (~pair | ((F.col("user") + F.col("item")) % 7 == 0)))
 
 
 def ratings_test(all_ratings: DataFrame) -> DataFrame:
-    u, i = F.col("user"), F.col("item")
-    return all_ratings.filter((u * 31 + i) % 10 == 0)
+    """All ratings held out of training for any reason, and the pairs known all the same."""
+    new, pair = _held_out()
+    return all_ratings.filter(new | pair)
 
 
 def basket_rows(spark: SparkSession, folder: str) -> DataFrame:

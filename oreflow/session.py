@@ -66,3 +66,21 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def size_in_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate of the size of ``df``."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+# Below this much input per core, files are too few to keep all cores busy.
+_SMALL_PER_CORE = 16 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a small input over all cores before expensive work on each row.
+
+    Large inputs already come in many splits and are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if size_in_bytes(df) < cores * _SMALL_PER_CORE else df
