@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from oreflow.operators import lloyd
-from oreflow.operators.features import LIBRARY_BUCKETS, OWN_BUCKETS, hashed_vectors, sparse_points
+from oreflow.operators.features import LIBRARY_BUCKETS, OWN_BUCKETS, each_word, hashed_vectors
 from oreflow.session import materialise
 
 # Seed of the library algorithms and words shown per cluster.
@@ -31,11 +31,7 @@ def total_error(measured: DataFrame) -> DataFrame:
 
 def word_counts(worded: DataFrame) -> DataFrame:
     """(cluster, word, n): every occurrence counts for its document's cluster."""
-    return (
-        worded.select("cluster", F.explode("words").alias("word"))
-        .groupBy("cluster", "word")
-        .agg(F.count("*").alias("n"))
-    )
+    return each_word(worded, "cluster").groupBy("cluster", "word").agg(F.count("*").alias("n"))
 
 
 def top_terms(worded: DataFrame, n: int = TOP_TERMS) -> DataFrame:

@@ -20,14 +20,18 @@ def with_words(documents: DataFrame, text: str = "text") -> DataFrame:
     return documents.withColumn("words", split_words(line))
 
 
+def each_word(worded: DataFrame, key: str) -> DataFrame:
+    """(key, word), one row per occurrence.
+
+    The outer form keeps the optimizer from adding a filter that splits every text twice.
+    """
+    return worded.select(key, F.explode_outer("words").alias("word")).filter(F.col("word").isNotNull())
+
+
 def term_frequency(documents: DataFrame) -> DataFrame:
     """(doc_id, word, n) on exact words."""
-    return (
-        with_words(documents)
-        .select("doc_id", F.explode("words").alias("word"))
-        .groupBy("doc_id", "word")
-        .agg(F.count("*").alias("n"))
-    )
+    words = each_word(with_words(documents), "doc_id")
+    return words.groupBy("doc_id", "word").agg(F.count("*").alias("n"))
 
 
 def tf_idf(frequency: DataFrame, n_documents: int) -> DataFrame:
