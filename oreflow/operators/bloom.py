@@ -69,13 +69,11 @@ def false_positives(
 def summary(arrivals: DataFrame, moduli: tuple[int, ...] = MODULI, exact_key: str = "hash") -> DataFrame:
     """One row: arrivals answered rightly and wrongly, and unique tags."""
     marked = false_positives(arrivals, moduli, exact_key)
-    counts = marked.agg(
+    total = arrivals.agg(F.count("*")).scalar()
+    wrong = F.col("incorrect")
+    return marked.agg(
         F.count("*").alias("unique_tags"), F.count_if("false_positive").alias("incorrect")
-    ).withColumn("one", F.lit(1))
-    total = arrivals.agg(F.count("*").alias("arrivals")).withColumn("one", F.lit(1))
-    return total.join(counts, "one").select(
-        "arrivals", (F.col("arrivals") - F.col("incorrect")).alias("correct"), "incorrect", "unique_tags"
-    )
+    ).select(total.alias("arrivals"), (total - wrong).alias("correct"), wrong, "unique_tags")
 
 
 def running_totals(df: DataFrame, order: str, columns: list[str], blocks: int = BLOCKS) -> DataFrame:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.ml.recommendation import ALS, ALSModel
+import numpy as np
+import pandas as pd
+from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +19,10 @@ ITERATIONS = 40
 REGULARISATION = 0.28
 SEED = 42
 
+SIDES = ("user", "item")
+# Ratings of one id that the library solver may hold in a block.
+MAX_BLOCK_RATINGS = 50_000_000
+
 _BUCKETS = 1024
 
 
@@ -44,17 +51,22 @@ def extend_index(index: DataFrame, ids: DataFrame, name: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Factorisation:
-    """A fitted model with the id numbering it was trained on."""
+    """Factors per id, with the id numbering they were trained on."""
 
-    model: ALSModel
+    user_factors: DataFrame
+    item_factors: DataFrame
     users: DataFrame
     items: DataFrame
 
     def predict(self, test: DataFrame) -> DataFrame:
         """(user, item, prediction); pairs with an id unseen in training give no row."""
-        numbered = test.select("user", "item").join(self.users, "user").join(self.items, "item")
-        scored = self.model.transform(numbered)
-        return scored.select("user", "item", F.col("prediction").cast("double").alias("prediction"))
+        product = F.zip_with("user_factor", "item_factor", lambda a, b: a * b)
+        return (
+            test.select("user", "item")
+            .join(self.users.join(self.user_factors, "user_idx"), "user")
+            .join(self.items.join(self.item_factors, "item_idx"), "item")
+            .select("user", "item", F.aggregate(product, F.lit(0.0), lambda a, b: a + b).alias("prediction"))
+        )
 
 
 def fit(
@@ -64,16 +76,30 @@ def fit(
     regularisation: float = REGULARISATION,
     seed: int = SEED,
     blocks: int = 10,
+    solver: str = "auto",
 ) -> Factorisation:
-    """Explicit-feedback alternating least squares on (user, item, rating)."""
-    scratch_root(train.sparkSession)  # so that the solver can cut its lineage there
+    """Explicit-feedback alternating least squares on (user, item, rating).
+
+    The library solver keeps all ratings of an id in one block. ``auto`` uses it unless an
+    id has more ratings than a block can take; then the solver by sums takes over.
+    """
+    if solver not in ("auto", "library", "sums"):
+        raise ValueError("solver must be 'auto', 'library' or 'sums'")
+    scratch_root(train.sparkSession)  # so that the library solver can cut its lineage there
     users = materialise(dense_index(train, "user"), "user-index")
     items = materialise(dense_index(train, "item"), "item-index")
-    numbered = (
+    numbered = materialise(
         train.join(users, "user")
         .join(items, "item")
-        .select("user_idx", "item_idx", F.col("rating").cast("float").alias("rating"))
+        .select("user_idx", "item_idx", F.col("rating").cast("float").alias("rating")),
+        "numbered",
     )
+    if solver == "auto":
+        solver = "sums" if max(_most_ratings(numbered, side) for side in SIDES) > MAX_BLOCK_RATINGS else "library"
+    if solver == "sums":
+        user_factors, item_factors = _fit_by_sums(numbered, rank, iterations, regularisation, seed)
+        return Factorisation(user_factors, item_factors, users, items)
+
     als = ALS(
         rank=rank,
         maxIter=iterations,
@@ -84,7 +110,64 @@ def fit(
         userCol="user_idx",
         itemCol="item_idx",
         ratingCol="rating",
-        coldStartStrategy="drop",
         checkpointInterval=10,
     )
-    return Factorisation(als.fit(numbered), users, items)
+    model = als.fit(numbered)
+
+    def factors(of: DataFrame, side: str) -> DataFrame:
+        values = F.col("features").cast("array<double>").alias(f"{side}_factor")
+        return materialise(of.select(F.col("id").alias(f"{side}_idx"), values), f"{side}-factors")
+
+    return Factorisation(factors(model.userFactors, "user"), factors(model.itemFactors, "item"), users, items)
+
+
+def _most_ratings(numbered: DataFrame, side: str) -> int:
+    return numbered.groupBy(f"{side}_idx").count().agg(F.max("count")).first()[0] or 0
+
+
+def _fit_by_sums(
+    numbered: DataFrame, rank: int, iterations: int, regularisation: float, seed: int
+) -> tuple[DataFrame, DataFrame]:
+    """Alternating least squares whose normal equations are grouped sums.
+
+    Sums are formed per task before the shuffle, so an id may have any number of
+    ratings: what meets in one place is one small equation per task and id.
+    """
+    start = [
+        (F.pmod(F.xxhash64("item_idx", F.lit(seed), F.lit(i)), F.lit(1 << 20)) / float(1 << 20) + 0.1)
+        for i in range(rank)
+    ]
+    item_factors = numbered.select("item_idx").distinct().select("item_idx", F.array(*start).alias("item_factor"))
+    item_factors = materialise(item_factors, "item-factors")
+    user_factors = None
+    for _ in range(iterations):
+        user_factors = _solve(numbered, item_factors, "item", "user", rank, regularisation)
+        item_factors = _solve(numbered, user_factors, "user", "item", rank, regularisation)
+    return user_factors, item_factors
+
+
+def _solve(ratings: DataFrame, fixed: DataFrame, known: str, wanted: str, rank: int, regularisation: float) -> DataFrame:
+    """The best factors of one side for given factors of the other."""
+    f = [F.col(f"{known}_factor")[i] for i in range(rank)]
+    r = F.col("rating").cast("double")
+    products = [F.sum(f[i] * f[j]).alias(f"a{i}_{j}") for i in range(rank) for j in range(i + 1)]
+    targets = [F.sum(r * f[i]).alias(f"b{i}") for i in range(rank)]
+    sums = (
+        ratings.join(fixed, f"{known}_idx")
+        .groupBy(f"{wanted}_idx")
+        .agg(F.count("*").alias("n"), *products, *targets)
+    )
+
+    def solve(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            left = np.empty((len(frame), rank, rank))
+            for i in range(rank):
+                for j in range(i + 1):
+                    left[:, i, j] = left[:, j, i] = frame[f"a{i}_{j}"]
+                left[:, i, i] += regularisation * frame["n"]
+            right = frame[[f"b{i}" for i in range(rank)]].to_numpy()[:, :, None]
+            found = np.linalg.solve(left, right)[:, :, 0]
+            yield pd.DataFrame({f"{wanted}_idx": frame[f"{wanted}_idx"], f"{wanted}_factor": list(found)})
+
+    solved = sums.mapInPandas(solve, f"{wanted}_idx int, {wanted}_factor array<double>")
+    return materialise(solved, f"{wanted}-factors")

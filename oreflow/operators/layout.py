@@ -15,6 +15,11 @@ def cap_partitions(df: DataFrame, n: int) -> DataFrame:
     return df.repartition(n) if df.rdd.getNumPartitions() > n else df
 
 
+def dataset_label(df: DataFrame) -> str:
+    """``large`` for data in more than one partition; used to name reports."""
+    return "large" if df.rdd.getNumPartitions() > 1 else "small"
+
+
 def by_key(df: DataFrame, n: int, key: str) -> DataFrame:
     """``n`` partitions, rows with equal keys together."""
     return df.repartition(n, key)

@@ -54,8 +54,8 @@ def sample_report(sample: DataFrame, seen: int, n: int = HOT_TAGS) -> DataFrame:
         F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("rank"), "tag"))).alias("top")
     )
     listed = F.transform("top", lambda t: F.concat(t["tag"], F.lit(":"), (-t["rank"]).cast("string")))
-    length = mean_length(sample)
-    pair = top.select(F.lit(1).alias("one"), F.array_join(listed, ",").alias("hot_tags")).join(
-        length.withColumn("one", F.lit(1)), "one"
+    return top.select(
+        F.lit(seen).cast("bigint").alias("seen"),
+        F.array_join(listed, ",").alias("hot_tags"),
+        mean_length(sample).scalar().alias("mean_length"),
     )
-    return pair.select(F.lit(seen).cast("bigint").alias("seen"), "hot_tags", "mean_length")

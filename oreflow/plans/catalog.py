@@ -218,6 +218,13 @@ def cf_rmse(spark: SparkSession, folder: str) -> DataFrame:
     return evaluation.rmse(evaluation.with_errors(*_predict(spark, folder))).select("n", rounded("rmse", "rmse"))
 
 
+@query
+def cf_evaluation_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Bands, RMSE and the seconds that prediction and evaluation took."""
+    train, test = _split(spark, folder)
+    return evaluation.evaluation_report(lambda: neighbours.predict(neighbours.rating_tables(train), test), test)
+
+
 @query
 def cf_csv_report(spark: SparkSession, folder: str) -> DataFrame:
     """Predictions through their quoted, sorted CSV file format."""
@@ -270,6 +277,20 @@ def als_rmse(spark: SparkSession, folder: str) -> DataFrame:
     return evaluation.rmse(evaluation.with_errors(test, factorisation.fit(train).predict(test)))
 
 
+@query
+def als_error_bands(spark: SparkSession, folder: str) -> DataFrame:
+    train, test = _split(spark, folder)
+    return evaluation.error_bands(evaluation.with_errors(test, factorisation.fit(train).predict(test)))
+
+
+@query
+def als_by_sums_rmse(spark: SparkSession, folder: str) -> DataFrame:
+    """The solver for ids with very many ratings."""
+    train, test = _split(spark, folder)
+    model = factorisation.fit(train, iterations=5, solver="sums")
+    return evaluation.rmse(evaluation.with_errors(test, model.predict(test)))
+
+
 # --- frequent itemsets --------------------------------------------------------
 
 

@@ -20,6 +20,10 @@ def build_session(app: str = "oreflow", master: str | None = None, **conf: str)
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Stream state on disk, so that it may outgrow executor memory.
+        "spark.sql.streaming.stateStore.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        ),
         **conf,
     }
     for key, value in settings.items():

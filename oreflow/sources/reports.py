@@ -48,7 +48,8 @@ def itemset_pieces(found: DataFrame) -> DataFrame:
         F.when(F.col("label") != F.col("head"), ", ").when(F.col("size") == first_size, "").otherwise("\n\n")
     )
     piece = F.concat(lead, F.expr("substring(label, 1, length(label) - 1)"))
-    # One row per itemset size: no more than the longest frequent itemset has items.
+    # One row per itemset size. All parts of a frequent set are frequent, so a set of m
+    # items stands for 2^m reported rows and there are few sizes.
     return labelled.join(F.broadcast(heads), "size").select("size", "label", piece.alias("value"))
 
 

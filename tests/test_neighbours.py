@@ -167,7 +167,8 @@ def test_dense_index(spark):
     assert {extended["new1"], extended["new2"]} == {700, 701}
 
 
-def test_factorisation_learns_and_drops_the_unknown(spark):
+@pytest.mark.parametrize("solver", ["auto", "sums"])
+def test_factorisation_learns_and_drops_the_unknown(spark, solver):
     rng = random.Random(6)
     taste = {f"u{u}": rng.uniform(0.6, 1.4) for u in range(40)}
     quality = {f"i{i}": rng.uniform(1.5, 3.5) for i in range(30)}
@@ -175,8 +176,27 @@ def test_factorisation_learns_and_drops_the_unknown(spark):
     rng.shuffle(rows)
     train = spark.createDataFrame(rows[:900], "user string, item string, rating double")
     test = spark.createDataFrame(rows[900:] + [("new", "i1", 1.0), ("u1", "new", 1.0)], train.schema)
-    predicted = factorisation.fit(train, iterations=15, regularisation=0.02, blocks=2).predict(test)
-    errors = evaluation.with_errors(test, predicted)
-    row = evaluation.rmse(errors).first()
+    predicted = factorisation.fit(train, iterations=8, regularisation=0.002, blocks=2, solver=solver).predict(test)
+    row = evaluation.rmse(evaluation.with_errors(test, predicted)).first()
     assert row["n"] == len(rows) - 900
-    assert row["rmse"] < 0.2
+    assert row["rmse"] < 0.1
+
+
+def test_both_solvers_reach_the_same_error(spark):
+    train_rows, _ = dataset(7)
+    train = spark.createDataFrame(train_rows, "user string, item string, rating double")
+    scores = [
+        evaluation.rmse(evaluation.with_errors(train, factorisation.fit(train, iterations=15, blocks=2, solver=s).predict(train)))
+        .first()["rmse"]
+        for s in ("library", "sums")
+    ]
+    assert scores[0] == pytest.approx(scores[1], abs=0.02)
+
+
+def test_a_crowded_id_takes_the_solver_by_sums(spark, monkeypatch):
+    monkeypatch.setattr(factorisation, "MAX_BLOCK_RATINGS", 30)
+    used = []
+    monkeypatch.setattr(factorisation, "_fit_by_sums", lambda *a: used.append(a) or (None, None))
+    rows = [(f"u{i}", "hot", 3.0) for i in range(40)]
+    factorisation.fit(spark.createDataFrame(rows, "user string, item string, rating double"))
+    assert used
