@@ -45,6 +45,12 @@ def slot_times(first: DataFrame, moduli: tuple[int, ...] = MODULI) -> DataFrame:
     return first.select(F.explode(slots).alias("slot"), "seq").groupBy("slot").agg(F.min("seq").alias("since"))
 
 
+def filter_words(times: DataFrame) -> DataFrame:
+    """(word, bits): the filter itself, 32 slots to a word."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("slot") % 32)
+    return times.groupBy(F.floor(F.col("slot") / 32).cast("int").alias("word")).agg(F.bit_or(bit).alias("bits"))
+
+
 def mark_false_positives(first: DataFrame, times: DataFrame, moduli: tuple[int, ...] = MODULI) -> DataFrame:
     """First arrivals with ``false_positive``: earlier tags had set every slot."""
     if max(moduli) > MAX_SLOTS:

@@ -407,7 +407,8 @@ def tf_hashed_totals(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _points(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(views.table(spark, folder, "embeddings").select("vec_id", F.col("embedding").alias("val")))
+    points = views.table(spark, folder, "embeddings").select("vec_id", F.col("embedding").alias("val"))
+    return materialise(spread(points), "points")
 
 
 def _fitted(points: DataFrame):
@@ -548,6 +549,11 @@ def bloom_slots(spark: SparkSession, folder: str) -> DataFrame:
     return bloom.slot_times(bloom.first_arrivals(_arrivals(spark, folder)))
 
 
+@query
+def bloom_bits(spark: SparkSession, folder: str) -> DataFrame:
+    return bloom.filter_words(bloom.slot_times(bloom.first_arrivals(_arrivals(spark, folder))))
+
+
 @query
 def bloom_summary(spark: SparkSession, folder: str) -> DataFrame:
     return bloom.summary(_arrivals(spark, folder))

@@ -340,6 +340,8 @@ SELECT round(sum(d2), 6) AS wsse, round(sum(d2 * d2), 6) AS sum_sq_error FROM fi
     "mean_message_length": f"WITH {_SAMPLE} SELECT round(avg(length(text)), 6) AS mean_length FROM sample",
     "bloom_false_positives": f"WITH {_BLOOM} SELECT tag, tag_hash, seq, false_positive FROM {_marked('by_tag')}",
     "bloom_slots": f"WITH {_BLOOM} SELECT CAST(slot AS INTEGER) AS slot, since FROM slots",
+    "bloom_bits": f"""WITH {_BLOOM}
+SELECT CAST(slot // 32 AS INTEGER) AS word, bit_or(CAST(1 AS BIGINT) << (slot % 32)) AS bits FROM slots GROUP BY 1""",
     "bloom_summary": f"""{_BLOOM_SUMMARY}
 SELECT arrivals, arrivals - incorrect AS correct, incorrect, unique_tags FROM counts, total""",
     "stream_bloom_report": f"""{_BLOOM_SUMMARY}
