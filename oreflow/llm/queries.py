@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.llm import line_dedup, quality_rules, topk
+from oreflow.llm import byte_bpe, importance, line_dedup, packing, quality_rules, topk
 from oreflow.llm.common import read_table
 
 
@@ -19,6 +20,19 @@ def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.digest(read_table(spark, folder, "documents"), threshold=10)
 
 
+def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return byte_bpe.digest(read_table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.digest(read_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op9_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.digest(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.digest(read_table(spark, folder, "documents"))
 
@@ -26,5 +40,8 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_topk": op1_exact_topk,
     "op3_line_dedup": op3_line_dedup,
+    "op4_byte_bpe": op4_byte_bpe,
+    "op8_packing": op8_packing,
+    "op9_importance_resampling": op9_importance_resampling,
     "op10_quality_rules": op10_quality_rules,
 }
