@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.llm import byte_bpe, html_text, importance, line_dedup, packing, quality_rules, topk
+from oreflow.llm import byte_bpe, chosen_path, html_text, importance, line_dedup, packing, quality_rules, topk
 from oreflow.llm.common import read_table
 
 
@@ -29,6 +29,10 @@ def op5_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.digest(read_table(spark, folder, "pages"))
 
 
+def op6_chosen_path(spark: SparkSession, folder: str) -> DataFrame:
+    return chosen_path.digest(read_table(spark, folder, "documents"), words=2, percent=80)
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.digest(read_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -46,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": op3_line_dedup,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_html_text": op5_html_text,
+    "op6_chosen_path": op6_chosen_path,
     "op8_packing": op8_packing,
     "op9_importance_resampling": op9_importance_resampling,
     "op10_quality_rules": op10_quality_rules,
