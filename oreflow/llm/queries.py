@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.llm import byte_bpe, chosen_path, html_text, importance, line_dedup, packing, quality_rules, topk
+from oreflow.llm import byte_bpe, chosen_path, html_text, importance, line_dedup, packing, quality_rules, suffix_dedup, topk
 from oreflow.llm.common import read_table
 
 
@@ -16,6 +16,10 @@ def op1_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.search(read_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.digest(read_table(spark, folder, "documents"), length=100)
+
+
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.digest(read_table(spark, folder, "documents"), threshold=10)
 
@@ -47,6 +51,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_topk": op1_exact_topk,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_line_dedup": op3_line_dedup,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_html_text": op5_html_text,
