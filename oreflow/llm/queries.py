@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.llm import byte_bpe, chosen_path, html_text, importance, line_dedup, packing, quality_rules, suffix_dedup, topk
+from oreflow.llm import byte_bpe, chosen_path, html_text, importance, line_dedup, packing, quality_rules, secrets, suffix_dedup, topk
 from oreflow.llm.common import read_table
 
 
@@ -37,6 +37,10 @@ def op6_chosen_path(spark: SparkSession, folder: str) -> DataFrame:
     return chosen_path.digest(read_table(spark, folder, "documents"), words=2, percent=80)
 
 
+def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.digest(read_table(spark, folder, "documents"))
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.digest(read_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_bpe": op4_byte_bpe,
     "op5_html_text": op5_html_text,
     "op6_chosen_path": op6_chosen_path,
+    "op7_secret_scan": op7_secret_scan,
     "op8_packing": op8_packing,
     "op9_importance_resampling": op9_importance_resampling,
     "op10_quality_rules": op10_quality_rules,
