@@ -28,15 +28,20 @@ from oreflow.llm.common import documents_only
 from oreflow.session import materialise
 
 WINDOW, CLOSING = 4096, 2
-# Distinct words that a Python worker remembers, and the longest of them.
-REMEMBERED, SHORT = 800_000, 64
+# Distinct words that a Python worker remembers before it starts afresh, and the longest of them.
+REMEMBERED, SHORT = 700_000, 64
 # Rows of one length that one task numbers, on average.
 NUMBERED = 20_000
 # Most lengths of a combination.
 DEPTH = 6
 NOT_LATIN = re.compile("[^\t-\r -~À-ÖØ-öø-ÿ]")
+MARKS = ".,;:!?*#$%&|"
 WORD = re.compile(r"[^ \t\n\r\x0b\x0c]+")
 
+# Characters of texts that are tokenised together.
+TOGETHER = 1 << 21
+
+NAMES, KINDS = ("row", "doc_id", "n_tokens", "crcs", "ids"), (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
 TOKENS = "row long, doc_id long, n_tokens long, crcs array<long>, ids binary"
 PIECES = "row long, doc_id long, doc_tokens long, start long, length long, sequence_id long, offset long"
 
@@ -54,44 +59,85 @@ class WordTokenizer:
         self.plain.encode_special_tokens = True  # their strings in a text are ordinary text
         special = [(t.content, i) for i, t in self.plain.get_added_tokens_decoder().items() if t.special]
         self.mark, self.mark_id = special[0] if special else (None, None)
+        # Ids that end a piece, if the vocabulary tells them apart.
+        suffix = getattr(self.plain.model, "end_of_word_suffix", None)
+        vocabulary = self.plain.get_vocab(with_added_tokens=False)
+        self.closes = None
+        if suffix:
+            self.closes = np.zeros(max(vocabulary.values()) + 1 + len(special), dtype=bool)
+            self.closes[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
         # Python workers run one task after another; what one task has learnt stays for the next.
         memory = sys.modules["tokenizers"].__dict__.setdefault("remembered_words", {})
         self.known = memory.setdefault(hash(json), {})
 
-    def _learn(self, words: list[str]) -> None:
-        if len(self.known) + len(words) > REMEMBERED:
-            self.known.clear()
+    def _learn(self, words: list[str], latin: bool) -> None:
+        """Remembers the ids of ``words``.
+
+        Latin letters are lower-cased before anything else, and marks after a letter or digit are
+        pieces of their own, so a Latin word is as good as its lower-case letters and its closing marks.
+        """
+        known = self.known
+        if not latin:
+            self._tokenise(words)
+            return
+        cores = [word.rstrip(MARKS) for word in words]
+        lowered = [core.lower() if core and core[-1].isalnum() else word for core, word in zip(cores, words, strict=True)]
+        tails = [word[len(core) :] if core and core[-1].isalnum() else "" for core, word in zip(cores, words, strict=True)]
+        wanted = set(lowered)
+        wanted.update(tails)
+        wanted.discard("")
+        self._tokenise([word for word in wanted if word not in known])
+        known.update((word, known[core] + known[tail] if tail else known[core]) for word, core, tail in zip(words, lowered, tails, strict=True))
+
+    def _tokenise(self, words: list[str]) -> None:
+        """Words of letters alone are one piece each, which its last id shows; others are parted by a special token."""
+        pieces = [word for word in words if self.closes is not None and word.isascii() and word.isalpha()]
+        for some, lists in self._joined(pieces, " ", lambda ids: np.flatnonzero(self.closes[ids]) + 1, 0):
+            self.known.update(zip(some, lists or map(self.whole, some), strict=True))
+        if len(pieces) < len(words):
+            pieces = set(pieces)
+            others = [word for word in words if word not in pieces]
+            for some, lists in self._joined(others, self.mark, lambda ids: np.append(np.flatnonzero(ids == self.mark_id), len(ids)), 1):
+                self.known.update(zip(some, lists or map(self.whole, some), strict=True))
+
+    def _joined(self, words: list[str], mark: str | None, ends_of, skip: int) -> Iterator[tuple[list[str], list[bytes] | None]]:
+        """Some words at a time with their ids, tokenised as one string; None for the ids if the words' ends don't show."""
         for begin in range(0, len(words), 500):
             some = words[begin : begin + 500]
-            lists = None
-            if self.mark:
-                # A special token between the words shows in the ids where each word ends.
-                ids = np.array(self.separated.encode_batch_fast([self.mark.join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
-                ends = np.flatnonzero(ids == self.mark_id)
-                if len(ends) == len(some) - 1:
-                    raw = ids.tobytes()
-                    begins, ends = [0, *(4 * ends + 4).tolist()], [*(4 * ends).tolist(), len(raw)]
-                    lists = [raw[a:b] for a, b in zip(begins, ends, strict=True)]
-            self.known.update(zip(some, lists or [self.whole(word) for word in some], strict=True))
+            if mark is None:
+                yield some, None
+                continue
+            ids = np.array(self.separated.encode_batch_fast([mark.join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = ends_of(ids)
+            if len(ends) != len(some):
+                yield some, None
+                continue
+            raw, ends = ids.tobytes(), (4 * ends).tolist()
+            begins = [0, *(end + 4 * skip for end in ends[:-1])]
+            yield some, [raw[a:b] for a, b in zip(begins, ends, strict=True)]
 
     def whole(self, text: str) -> bytes:
         return np.array(self.plain.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def encode(self, text: str) -> bytes:
-        words = WORD.findall(text) if NOT_LATIN.search(text) else text.split()
-        known, out = self.known, []
-        for begin in range(0, len(words), 500_000):
-            some = words[begin : begin + 500_000]
-            new = {word for word in some if word not in known}
-            if new:
-                # Very long words, and words that may look like special tokens, are not joined to others.
-                apart = {word for word in new if len(word) > SHORT or "<|" in word}
-                self._learn(list(new - apart) if len(known) + len(new) <= REMEMBERED else [w for w in set(some) if len(w) <= SHORT and "<|" not in w])
-                own = {word: self.whole(word) for word in apart}
-                out += [own[word] if word in own else known[word] for word in some] if own else [known[word] for word in some]
-            else:
-                out += [known[word] for word in some]
-        return b"".join(out)
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text. Words that are new in any of the texts are tokenised together."""
+        kinds = [not NOT_LATIN.search(text) for text in texts]
+        lists = [text.split() if latin else WORD.findall(text) for text, latin in zip(texts, kinds, strict=True)]
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        known, own = self.known, {}
+        for latin in (True, False):
+            new: set[str] = set()
+            for words, kind in zip(lists, kinds, strict=True):
+                if kind == latin and None in (found := list(map(known.get, words))):
+                    new.update([word for word, ids in zip(words, found, strict=True) if ids is None])
+            # Very long words, and words that may look like special tokens, are not joined to others or remembered.
+            apart = {word for word in new if len(word) > SHORT or "<|" in word}
+            own.update((word, self.whole(word)) for word in apart)
+            self._learn(list(new - apart), latin)
+        if own:
+            return [b"".join([own[word] if word in own else known[word] for word in words]) for words in lists]
+        return [b"".join([known[word] for word in words]) for words in lists]
 
 
 def _tokenise(tokenizer_json, window: int, closing: int):
@@ -101,27 +147,28 @@ def _tokenise(tokenizer_json, window: int, closing: int):
         tokenizer = WordTokenizer(tokenizer_json.value)
         end, row = np.array([closing], dtype="<u4").tobytes(), TaskContext.get().partitionId() << 33
         for batch in batches:
-            rows: dict[str, list] = {name: [] for name in ("row", "doc_id", "n_tokens", "crcs", "ids")}
-            size = 0
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                ids = tokenizer.encode(text.as_py()) + end
-                rows["row"].append(row)
-                rows["doc_id"].append(doc_id)
-                rows["n_tokens"].append(len(ids) // 4)
-                rows["crcs"].append([zlib.crc32(ids[at : at + 4 * window]) for at in range(0, len(ids), 4 * window)])
-                rows["ids"].append(ids)
-                row, size = row + 1, size + len(ids)
-                if size > 16 << 20:
-                    yield _batch(rows)
-                    rows, size = {name: [] for name in rows}, 0
-            yield _batch(rows)
+            for doc_ids, texts in _together(batch):
+                encoded = [ids + end for ids in tokenizer.encode(texts)]
+                crcs = [[zlib.crc32(ids[at : at + 4 * window]) for at in range(0, len(ids), 4 * window)] for ids in encoded]
+                columns = (range(row, row + len(encoded)), doc_ids, [len(ids) // 4 for ids in encoded], crcs, encoded)
+                yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(columns, KINDS, strict=True)], NAMES)
+                row += len(encoded)
 
     return run
 
 
-def _batch(rows: dict[str, list]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows.values(), kinds, strict=True)], list(rows))
+def _together(batch: pa.RecordBatch) -> Iterator[tuple[list, list[str]]]:
+    """Ids and texts of some rows at a time, few enough to tokenise together."""
+    doc_ids, texts, size = [], [], 0
+    for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+        doc_ids.append(doc_id)
+        texts.append(text.as_py())
+        size += len(texts[-1])
+        if size > TOGETHER:
+            yield doc_ids, texts
+            doc_ids, texts, size = [], [], 0
+    if texts:
+        yield doc_ids, texts
 
 
 def tokenise(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, closing: int = CLOSING) -> DataFrame:
