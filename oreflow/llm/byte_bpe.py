@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from oreflow.llm.common import documents_only
 
-# Distinct pieces that a task remembers, and the longest piece that it remembers.
-REMEMBERED, SHORT = 400_000, 64
+# Distinct pieces that a task remembers before it starts afresh, and the longest piece that it remembers.
+REMEMBERED, SHORT = 500_000, 64
 # Characters of texts that are encoded together, and pieces of a long text.
 TOGETHER, PIECES = 1 << 20, 200_000
 NONE = np.iinfo(np.int64).max
@@ -228,13 +228,16 @@ def _encoder(pattern: str, lines):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter, merger, known = Splitter(pattern), Merger(read_ranks(lines.value)), {}
 
-        def ids(pieces: list[str]) -> bytes:
-            new = [piece for piece in set(pieces) if piece not in known]
-            if len(known) + len(new) > REMEMBERED:
+        def ids(lists: list[list[str]]) -> list[bytes]:
+            """The ids of each list; pieces that are new in any of them go through the merges together."""
+            if len(known) > REMEMBERED:
                 known.clear()
-                new = list(set(pieces))
+            new: set[str] = set()
+            for pieces in lists:
+                if None in (found := list(map(known.get, pieces))):
+                    new.update([piece for piece, there in zip(pieces, found, strict=True) if there is None])
             known.update(zip(new, merger.encode([piece.encode() for piece in new]), strict=True))
-            joined = b"".join([known[piece] for piece in pieces])
+            joined = [b"".join([known[piece] for piece in pieces]) for pieces in lists]
             for piece in new:
                 if len(piece) > SHORT:
                     del known[piece]
@@ -247,15 +250,21 @@ def _encoder(pattern: str, lines):
             return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), lists], ["doc_id", "ids"])
 
         for batch in batches:
-            numbers, encoded, size = [], [], 0
+            numbers, lists, size = [], [], 0
             for number, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+                text = text.as_py()
                 numbers.append(number)
-                encoded.append(b"".join(ids(pieces) for pieces in splitter.lists(text.as_py())))
-                size += len(encoded[-1])
-                if size > 4 * TOGETHER:
-                    yield rows(numbers, encoded)
-                    numbers, encoded, size = [], [], 0
-            yield rows(numbers, encoded)
+                if len(text) > TOGETHER:
+                    lists.append([])
+                    yield rows(numbers, [*ids(lists[:-1]), b"".join(ids([pieces])[0] for pieces in splitter.lists(text))])
+                    numbers, lists, size = [], [], 0
+                    continue
+                lists += splitter.lists(text)
+                size += len(text)
+                if size > TOGETHER:
+                    yield rows(numbers, ids(lists))
+                    numbers, lists, size = [], [], 0
+            yield rows(numbers, ids(lists))
 
     return encode
 
