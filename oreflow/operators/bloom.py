@@ -16,8 +16,8 @@ from oreflow.session import materialise
 
 # The moduli of the two slot hashes. The filter has as many slots as the largest.
 MODULI = (64, 59)
-# Slots are broadcast; this bounds how many a caller may ask for.
-MAX_SLOTS = 1 << 20
+# Slot times of a filter up to this size are broadcast; those of a larger one are joined.
+BROADCAST_SLOTS = 1 << 20
 # Blocks that running totals are accumulated over.
 BLOCKS = 4096
 
@@ -52,15 +52,20 @@ def filter_words(times: DataFrame) -> DataFrame:
 
 
 def mark_false_positives(first: DataFrame, times: DataFrame, moduli: tuple[int, ...] = MODULI) -> DataFrame:
-    """First arrivals with ``false_positive``: earlier tags had set every slot."""
-    if max(moduli) > MAX_SLOTS:
-        raise ValueError(f"at most {MAX_SLOTS} slots")
+    """First arrivals with ``false_positive``: earlier tags had set every slot.
+
+    ``times`` may have a column ``old`` that marks slots set before all of these arrivals.
+    """
+    if "old" not in times.columns:
+        times = times.withColumn("old", F.lit(False))
     marked = first
     wrong = F.lit(True)
     for i, modulus in enumerate(moduli):
-        side = F.broadcast(times.select(F.col("slot").alias(f"slot{i}"), F.col("since").alias(f"since{i}")))
+        side = times.select(F.col("slot").alias(f"slot{i}"), F.col("since").alias(f"since{i}"), F.col("old").alias(f"old{i}"))
+        if max(moduli) <= BROADCAST_SLOTS:
+            side = F.broadcast(side)
         marked = marked.withColumn(f"slot{i}", slot(F.col("tag_hash"), modulus)).join(side, f"slot{i}")
-        wrong = wrong & (F.col(f"since{i}") < F.col("seq"))
+        wrong = wrong & (F.col(f"old{i}") | (F.col(f"since{i}") < F.col("seq")))
     return marked.select("key", "tag_hash", "seq", wrong.alias("false_positive"))
 
 

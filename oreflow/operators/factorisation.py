@@ -20,19 +20,22 @@ REGULARISATION = 0.28
 SEED = 42
 
 SIDES = ("user", "item")
-# Ratings of one id that the library solver may hold in a block.
-MAX_BLOCK_RATINGS = 50_000_000
+# Ratings of one block of the library solver, on average, and the fewest blocks.
+BLOCK_RATINGS, FEWEST_BLOCKS = 2_000_000, 10
 
-_BUCKETS = 1024
+# Ids that are numbered in one bucket, on average, and the fewest buckets.
+BUCKET_IDS, FEWEST_BUCKETS = 1_000_000, 1024
 
 
 def dense_index(ids: DataFrame, name: str) -> DataFrame:
     """Number the distinct ids 0, 1, 2, ... without bringing them to one place.
 
     Ids are numbered inside hash buckets; each bucket starts where the ones before
-    it end. Only the fixed number of bucket sizes is ever ranked as a whole.
+    it end. Only the sizes of the buckets, one row for up to a million ids, are ranked
+    as a whole.
     """
-    placed = ids.select(name).distinct().withColumn("bucket", F.pmod(F.xxhash64(name), F.lit(_BUCKETS)))
+    buckets = max(FEWEST_BUCKETS, ids.count() // BUCKET_IDS)
+    placed = ids.select(name).distinct().withColumn("bucket", F.pmod(F.xxhash64(name), F.lit(buckets)))
     placed = placed.withColumn("place", F.row_number().over(Window.partitionBy("bucket").orderBy(name)))
     sizes = placed.groupBy("bucket").agg(F.count("*").alias("size"))
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -75,16 +78,17 @@ def fit(
     iterations: int = ITERATIONS,
     regularisation: float = REGULARISATION,
     seed: int = SEED,
-    blocks: int = 10,
-    solver: str = "auto",
+    blocks: int | None = None,
+    solver: str = "library",
 ) -> Factorisation:
     """Explicit-feedback alternating least squares on (user, item, rating).
 
-    The library solver keeps all ratings of an id in one block. ``auto`` uses it unless an
-    id has more ratings than a block can take; then the solver by sums takes over.
+    The ``library`` solver keeps all ratings of an id in one block; ``blocks`` follows the
+    number of ratings unless given. The solver by ``sums`` lets an id have any number of
+    them. The two start differently, so which one runs is for the caller to say.
     """
-    if solver not in ("auto", "library", "sums"):
-        raise ValueError("solver must be 'auto', 'library' or 'sums'")
+    if solver not in ("library", "sums"):
+        raise ValueError("solver must be 'library' or 'sums'")
     scratch_root(train.sparkSession)  # so that the library solver can cut its lineage there
     users = materialise(dense_index(train, "user"), "user-index")
     items = materialise(dense_index(train, "item"), "item-index")
@@ -94,12 +98,11 @@ def fit(
         .select("user_idx", "item_idx", F.col("rating").cast("float").alias("rating")),
         "numbered",
     )
-    if solver == "auto":
-        solver = "sums" if max(_most_ratings(numbered, side) for side in SIDES) > MAX_BLOCK_RATINGS else "library"
     if solver == "sums":
         user_factors, item_factors = _fit_by_sums(numbered, rank, iterations, regularisation, seed)
         return Factorisation(user_factors, item_factors, users, items)
 
+    blocks = blocks or max(FEWEST_BLOCKS, numbered.count() // BLOCK_RATINGS)
     als = ALS(
         rank=rank,
         maxIter=iterations,
@@ -121,10 +124,6 @@ def fit(
     return Factorisation(factors(model.userFactors, "user"), factors(model.itemFactors, "item"), users, items)
 
 
-def _most_ratings(numbered: DataFrame, side: str) -> int:
-    return numbered.groupBy(f"{side}_idx").count().agg(F.max("count")).first()[0] or 0
-
-
 def _fit_by_sums(
     numbered: DataFrame, rank: int, iterations: int, regularisation: float, seed: int
 ) -> tuple[DataFrame, DataFrame]:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from oreflow.functions.text import split_words
+from oreflow.session import materialise
 
 # Hash buckets of the own clustering and of the library clustering.
 OWN_BUCKETS = 1 << 20
@@ -39,9 +40,10 @@ def tf_idf(frequency: DataFrame, n_documents: int) -> DataFrame:
 
     ``frequency`` should be a stored table: it is read once for the document counts
     and once for the weights. A word held by very many documents makes one large
-    join key, which the adaptive join splits on the side of ``frequency``.
+    join key. The counts are stored as well: a join that meets them fresh from their
+    aggregation would keep its partitions, and the adaptive join could not split the word.
     """
-    documents_with = frequency.groupBy("word").agg(F.count("*").alias("df"))
+    documents_with = materialise(frequency.groupBy("word").agg(F.count("*").alias("df")), "document-counts")
     weight = F.ln(F.lit(float(n_documents + 1)) / (F.col("df") + 1))
     return frequency.join(documents_with, "word").select(
         "doc_id", "word", "n", "df", (F.col("n") * weight).alias("tf_idf")

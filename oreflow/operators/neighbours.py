@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,48 +22,61 @@ UNKNOWN_RATING = 2.5
 PROBE_HITS = 3
 
 
-@dataclass(frozen=True)
+def pair_sums(train: DataFrame) -> DataFrame:
+    """One row per (user, item); of repeated rows the highest rating counts, sums cover all."""
+    return train.groupBy("user", "item").agg(
+        F.max("rating").alias("rating"),
+        F.count("*").alias("n"),
+        F.sum("rating").alias("total"),
+        F.sum(F.col("rating") * F.col("rating")).alias("squares"),
+    )
+
+
+def user_statistics(pairs: DataFrame, heavy_over: int = HEAVY_OVER) -> DataFrame:
+    """Mean, norm and number of ratings of each user of ``pair_sums``."""
+    return pairs.groupBy("user").agg(
+        (F.sum("total") / F.sum("n")).alias("user_mean"),
+        F.sqrt(F.sum("squares")).alias("norm"),
+        F.sum("n").alias("ratings"),
+        F.count("*").alias("items"),
+        (F.sum("n") > heavy_over).alias("heavy"),
+    )
+
+
+def item_statistics(pairs: DataFrame) -> DataFrame:
+    """Mean rating and number of raters of each item of ``pair_sums``."""
+    return pairs.groupBy("item").agg((F.sum("total") / F.sum("n")).alias("item_mean"), F.count("*").alias("raters"))
+
+
 class RatingTables:
-    """Training ratings, one row per (user, item), with user and item statistics."""
+    """Training ratings, one row per (user, item), with user and item statistics.
+
+    Each table is written when it is first asked for, so that every later use reads it.
+    """
 
-    pairs: DataFrame
-    users: DataFrame
-    items: DataFrame
+    def __init__(self, train: DataFrame, heavy_over: int = HEAVY_OVER):
+        self._train, self._heavy_over = train, heavy_over
+
+    @cached_property
+    def pairs(self) -> DataFrame:
+        return materialise(pair_sums(self._train), "pairs")
+
+    @cached_property
+    def users(self) -> DataFrame:
+        return materialise(user_statistics(self.pairs, self._heavy_over), "users")
+
+    @cached_property
+    def items(self) -> DataFrame:
+        return materialise(item_statistics(self.pairs), "items")
 
 
 def rating_tables(train: DataFrame, heavy_over: int = HEAVY_OVER) -> RatingTables:
     """Statistics over all rows; of repeated (user, item) rows the highest rating counts.
 
-    The pair table is written once. User and item statistics then come from partial
-    sums, so a key that holds many rows is reduced before the shuffle.
+    User and item statistics come from partial sums, so a key that holds many rows is
+    reduced before the shuffle.
     """
-    pairs = materialise(
-        train.groupBy("user", "item").agg(
-            F.max("rating").alias("rating"),
-            F.count("*").alias("n"),
-            F.sum("rating").alias("total"),
-            F.sum(F.col("rating") * F.col("rating")).alias("squares"),
-        ),
-        "pairs",
-    )
-    users = materialise(
-        pairs.groupBy("user").agg(
-            (F.sum("total") / F.sum("n")).alias("user_mean"),
-            F.sqrt(F.sum("squares")).alias("norm"),
-            F.sum("n").alias("ratings"),
-            F.count("*").alias("items"),
-            (F.sum("n") > heavy_over).alias("heavy"),
-        ),
-        "users",
-    )
-    items = materialise(
-        pairs.groupBy("item").agg(
-            (F.sum("total") / F.sum("n")).alias("item_mean"),
-            F.count("*").alias("raters"),
-        ),
-        "items",
-    )
-    return RatingTables(pairs, users, items)
+    return RatingTables(train, heavy_over)
 
 
 def neighbour_weights(
@@ -187,7 +200,10 @@ def predict(
 
     per_user = targets.groupBy("user").agg(F.count("*").alias("n"))
     hot = hot_keys(per_user, "user", "n", min_hot_rows)
-    rated = tables.pairs.select(F.col("user").alias("neighbour"), "item", F.col("rating").alias("other_rating"))
+    # Only ratings of items that are asked for can be votes.
+    rated = tables.pairs.join(targets.select("item").distinct(), "item", "left_semi").select(
+        F.col("user").alias("neighbour"), "item", F.col("rating").alias("other_rating")
+    )
     votes = (
         salted_join(targets, weights, "user", hot)
         .join(rated, ["neighbour", "item"])

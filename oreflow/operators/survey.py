@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.functions.numbers import annual_salary, has_salary, saturating_int
+from oreflow.functions.numbers import annual_salary, has_salary, saturating_int, saturating_long
+
+
+# Salaries below this are summed exactly; larger ones as doubles.
+EXACT_BELOW = 1e18
 
 
 def total_valid(survey: DataFrame) -> DataFrame:
@@ -39,10 +43,13 @@ def count_report(survey: DataFrame) -> DataFrame:
 def salary_stats(survey: DataFrame, saturate: bool = True) -> DataFrame:
     """Count, minimum, maximum and mean yearly salary per country.
 
-    The mean is an exact decimal rounded half up to cents. Minimum and maximum are
-    whole numbers, clamped to 32 bits unless ``saturate`` is off.
+    ``mean_salary`` is an exact decimal rounded half up to cents; it is null where a
+    salary has 19 digits or more or the sum has more than 28. ``mean_double`` is there
+    for salaries of any size. Minimum and maximum are whole numbers, clamped to 32 bits,
+    or to 64 if ``saturate`` is off. Texts that are no finite number are left out.
     """
-    whole = saturating_int if saturate else (lambda c: c.cast("bigint"))
+    whole = saturating_int if saturate else saturating_long
+    exact = F.abs("yearly") < EXACT_BELOW
     yearly = (
         survey.filter(has_salary(F.col("salary"), ignore_case=True))
         .select("country", annual_salary(F.col("salary"), F.col("salary_type")).alias("yearly"))
@@ -52,12 +59,21 @@ def salary_stats(survey: DataFrame, saturate: bool = True) -> DataFrame:
         F.count("*").alias("n"),
         F.min("yearly").alias("lowest"),
         F.max("yearly").alias("highest"),
-        F.sum(F.col("yearly").cast("decimal(38,10)")).alias("total"),
+        F.try_sum(F.when(exact, F.col("yearly").cast("decimal(38,10)"))).alias("total"),
+        F.sum(F.when(~exact, F.col("yearly"))).alias("large"),
+        F.count_if(exact).alias("n_exact"),
+        F.sum("yearly").alias("rough"),
     )
     return grouped.select(
         "country",
         "n",
         whole(F.col("lowest")).alias("min_salary"),
         whole(F.col("highest")).alias("max_salary"),
-        F.round(F.col("total") / F.col("n"), 2).alias("mean_salary"),
+        F.when(F.col("n_exact") == F.col("n"), F.round(F.col("total") / F.col("n"), 2)).alias("mean_salary"),
+        (
+            F.when(F.col("total").isNull() & (F.col("n_exact") > 0), F.col("rough")).otherwise(
+                F.coalesce(F.col("total").cast("double"), F.lit(0.0)) + F.coalesce("large", F.lit(0.0))
+            )
+            / F.col("n")
+        ).alias("mean_double"),
     ).orderBy("country")

@@ -38,6 +38,8 @@ LLOYD_ITERATIONS = 2
 EMBEDDING_DIMS = 64
 EVENTS_PER_BATCH = 1000
 TAG_PLACES = 4
+STREAM_FILES = 4
+LARGE_ID = 10**18
 
 
 def query(fn: Query) -> Query:
@@ -68,7 +70,7 @@ def survey_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _stats(stats: DataFrame) -> DataFrame:
-    return stats.withColumn("mean_salary", F.col("mean_salary").cast("double"))
+    return stats.withColumn("mean_salary", F.col("mean_salary").cast("double")).drop("mean_double")
 
 
 @query
@@ -81,6 +83,20 @@ def survey_salary_stats_unclamped(spark: SparkSession, folder: str) -> DataFrame
     return _stats(survey.salary_stats(views.survey(spark, folder), saturate=False))
 
 
+@query
+def survey_salary_stats_any_size(spark: SparkSession, folder: str) -> DataFrame:
+    """Salaries of thirty digits, of 1e40, not-a-number, infinity and plain text among the others."""
+    stats = survey.salary_stats(views.survey_any_size(spark, folder), saturate=False)
+    return stats.select(
+        "country",
+        "n",
+        "min_salary",
+        "max_salary",
+        F.col("mean_salary").isNull().alias("has_large"),
+        F.round(F.col("mean_double") / 1e36, 3).alias("mean_e36"),
+    )
+
+
 @query
 def survey_csv_scan(spark: SparkSession, folder: str) -> DataFrame:
     """The survey written as a wider CSV with a header, read back and summarised."""
@@ -139,13 +155,13 @@ def _split(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
 
 @query
 def user_stats(spark: SparkSession, folder: str) -> DataFrame:
-    users = neighbours.rating_tables(_split(spark, folder)[0]).users
+    users = neighbours.user_statistics(neighbours.pair_sums(views.ratings_train(views.ratings(spark, folder))))
     return users.select("user", rounded("user_mean", "user_mean"), rounded("norm", "norm"), "ratings", "heavy")
 
 
 @query
 def item_stats(spark: SparkSession, folder: str) -> DataFrame:
-    items = neighbours.rating_tables(_split(spark, folder)[0]).items
+    items = neighbours.item_statistics(neighbours.pair_sums(views.ratings_train(views.ratings(spark, folder))))
     return items.select("item", rounded("item_mean", "item_mean"), "raters")
 
 
@@ -501,9 +517,15 @@ def _sample(spark: SparkSession, folder: str) -> DataFrame:
     return messages.bottom_k(_messages(spark, folder))
 
 
+def _arrivals(spark: SparkSession, folder: str) -> DataFrame:
+    """(seq, tag) with the sequence as one number: a message of the view has three tags."""
+    tags = sequenced(_messages(spark, folder))
+    return tags.select((F.col("seq.id") * TAG_PLACES + F.col("seq.position")).alias("seq"), "tag")
+
+
 @query
 def message_tags(spark: SparkSession, folder: str) -> DataFrame:
-    return sequenced(_messages(spark, folder), TAG_PLACES)
+    return _arrivals(spark, folder)
 
 
 @query
@@ -534,10 +556,6 @@ def reservoir_report(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _arrivals(spark: SparkSession, folder: str) -> DataFrame:
-    return sequenced(_messages(spark, folder), TAG_PLACES)
-
-
 @query
 def bloom_false_positives(spark: SparkSession, folder: str) -> DataFrame:
     marked = bloom.false_positives(_arrivals(spark, folder), exact_key="tag")
@@ -569,19 +587,37 @@ def bloom_batch_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    schema = views.table(spark, folder, "events").schema
-    # The braces make the path a pattern: the table may be one file or a folder of files.
-    events = files.stream_messages(spark, f"{folder}/{{events}}.parquet", "parquet", schema)
-    return views.messages(events)
+    """The events as ``STREAM_FILES`` files by id, written one after the other, one to a batch.
+
+    Ids have nineteen digits, as those of a message service do; their order is the events'.
+    """
+    events = views.table(spark, folder, "events")
+    last = events.agg(F.max("event_id")).first()[0] or 0
+    path = scratch_path(spark, "event-files")
+    part = F.floor(F.col("event_id") * STREAM_FILES / (last + 1))
+    for i in range(STREAM_FILES):
+        rows = events.where(part == i).withColumn("event_id", F.col("event_id") + LARGE_ID)
+        rows.coalesce(1).write.mode("append").parquet(path)
+    stream = files.stream_messages(spark, path, "parquet", events.schema, files_per_batch=1)
+    return views.messages(stream)
+
+
+def _bloom_history(spark: SparkSession, folder: str) -> DataFrame:
+    stream = BloomStream(scratch_path(spark, "bloom-stream"))
+    stream.start(_event_stream(spark, folder), until_done=True).awaitTermination()
+    return stream.reports.history(spark)
+
+
+@query
+def stream_bloom_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """The report after every batch."""
+    return _bloom_history(spark, folder).select("batch_id", "correct", "incorrect", "unique_tags", "false_positives")
 
 
 @query
 def stream_bloom_report(spark: SparkSession, folder: str) -> DataFrame:
     """The running totals after the last batch of a replayed stream."""
-    stream = BloomStream(scratch_path(spark, "bloom-stream"), places=TAG_PLACES)
-    stream.start(_event_stream(spark, folder), until_done=True).awaitTermination()
-    history = stream.reports.history(spark)
-    return history.agg(
+    return _bloom_history(spark, folder).agg(
         F.sum("correct").alias("correct"),
         F.sum("incorrect").alias("incorrect"),
         F.max("unique_tags").alias("unique_tags"),
@@ -602,7 +638,16 @@ def _last(history: DataFrame) -> DataFrame:
 
 @query
 def stream_reservoir(spark: SparkSession, folder: str) -> DataFrame:
-    return _last(_reservoir_stream(spark, folder).sample.history(spark))
+    """The sample after the last batch, with the events' own ids."""
+    stream = _reservoir_stream(spark, folder)
+    last = stream.reports.history(spark).agg(F.max("batch_id")).first()[0]
+    return stream.sample.read(spark, last).select((F.col("id") - LARGE_ID).alias("id"), "text", "seen")
+
+
+@query
+def stream_reservoir_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages seen after every batch."""
+    return _reservoir_stream(spark, folder).reports.history(spark).select("batch_id", "seen")
 
 
 @query

@@ -10,7 +10,9 @@ from oreflow.plans.catalog import (
     K,
     LLOYD_ITERATIONS,
     LOW_OVERLAP,
+    LARGE_ID,
     PAIR_SUPPORT,
+    STREAM_FILES,
     SUPPORT,
     TAG_PLACES,
 )
@@ -360,4 +362,33 @@ FROM sizes LEFT JOIN news USING (batch)""",
 SQL["reservoir_report"] = f"""WITH {_SAMPLE} SELECT (SELECT count(*) FROM messages) AS seen,
   (SELECT string_agg(tag || ':' || n, ',' ORDER BY n DESC, tag) FROM {_HOT}) AS hot_tags,
   (SELECT round(avg(length(text)), 6) FROM sample) AS mean_length"""
-SQL["stream_reservoir_report"] = SQL["reservoir_report"]
+
+# The streams see ids of nineteen digits, which give the sample's messages other priorities.
+_LARGE_SAMPLE = _SAMPLE.replace(f"'{messages.SEED}-' || id", f"'{messages.SEED}-' || (id + {LARGE_ID})")
+SQL["stream_reservoir"] = f"""WITH {_LARGE_SAMPLE}
+SELECT id, text, (SELECT count(*) FROM messages) AS seen FROM sample"""
+SQL["stream_reservoir_report"] = SQL["reservoir_report"].replace(_SAMPLE, _LARGE_SAMPLE)
+_STREAM_BATCH = f"CAST(floor(event_id * {STREAM_FILES}.0 / ((SELECT max(event_id) FROM events) + 1)) AS BIGINT)"
+SQL["stream_reservoir_batches"] = f"""SELECT batch_id, CAST(sum(n) OVER (ORDER BY batch_id) AS BIGINT) AS seen
+FROM (SELECT {_STREAM_BATCH} AS batch_id, count(*) AS n FROM events GROUP BY 1)"""
+_SEQ_BATCH = _STREAM_BATCH.replace("event_id *", f"(seq // {TAG_PLACES}) *")
+SQL["stream_bloom_batches"] = f"""WITH {_BLOOM}, sizes AS (
+  SELECT {_SEQ_BATCH} AS batch_id, count(*) AS arrivals FROM tags GROUP BY 1
+), news AS (
+  SELECT {_SEQ_BATCH} AS batch_id, count(*) AS fresh,
+    count(*) FILTER (false_positive) AS wrong FROM {_marked('by_hash')} GROUP BY 1
+) SELECT batch_id, arrivals - coalesce(wrong, 0) AS correct, coalesce(wrong, 0) AS incorrect,
+  CAST(sum(coalesce(fresh, 0)) OVER (ORDER BY batch_id) AS BIGINT) AS unique_tags,
+  CAST(sum(coalesce(wrong, 0)) OVER (ORDER BY batch_id) AS BIGINT) AS false_positives
+FROM sizes LEFT JOIN news USING (batch_id)"""
+
+SQL["survey_salary_stats_any_size"] = """WITH survey AS (
+  SELECT n_name AS country, CASE o_orderkey % 97 WHEN 5 THEN 12 * 1e30 WHEN 6 THEN 12 * 1e40
+    ELSE 12.0 * floor(o_totalprice) END::DOUBLE AS yearly
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+  WHERE o_orderkey % 97 NOT IN (7, 8, 9, 10)
+)
+SELECT country, count(*) AS n, min(yearly)::BIGINT AS min_salary,
+  CASE WHEN max(yearly) >= 1e18 THEN 9223372036854775807 ELSE max(yearly)::BIGINT END AS max_salary,
+  max(yearly) >= 1e18 AS has_large, round(sum(yearly) / count(*) / 1e36, 3) AS mean_e36
+FROM survey GROUP BY country"""

@@ -44,6 +44,26 @@ def survey(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Texts of salaries that are far too large or no numbers, by what is left of the order's key.
+ANY_SIZE = {5: "9" * 30, 6: "1e40", 7: "NaN", 8: "Infinity", 9: "-Infinity", 10: "n/a"}
+
+
+def survey_any_size(spark: SparkSession, folder: str) -> DataFrame:
+    """The survey with some salaries of any size and some that are no numbers."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    left = F.col("o_orderkey") % 97
+    salary = F.floor("o_totalprice").cast("bigint").cast("string")
+    for value, text in ANY_SIZE.items():
+        salary = F.when(left == value, text).otherwise(salary)
+    customer = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
+    nation = table(spark, folder, "nation").select("n_nationkey", "n_name")
+    return (
+        orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        .select(F.col("n_name").alias("country"), salary.alias("salary"), F.lit("Monthly").alias("salary_type"))
+    )
+
+
 def ratings(spark: SparkSession, folder: str) -> DataFrame:
     """A customer rates the suppliers it bought from: 1 to 5, averaged per pair."""
     line = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")

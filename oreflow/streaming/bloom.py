@@ -10,75 +10,74 @@ from oreflow.functions.text import jvm_hash
 from oreflow.operators.bloom import MODULI, mark_false_positives, slot_times
 from oreflow.operators.messages import tag_arrivals
 from oreflow.sources.reports import start_reports
-from oreflow.streaming.state import VersionedTable
+from oreflow.streaming.state import KEPT, VersionedTable
 
-# Hashtags of one message are numbered within this many places.
-PLACES = 1 << 20
 
+def sequenced(messages: DataFrame) -> DataFrame:
+    """(seq, tag): every hashtag with its place in the whole sequence of messages.
 
-def sequenced(messages: DataFrame, places: int = PLACES) -> DataFrame:
-    """(seq, tag): every hashtag with its place in the whole sequence of messages."""
-    tags = tag_arrivals(messages)
-    return tags.select((F.col("id") * places + F.col("position")).alias("seq"), "tag")
+    ``seq`` is a struct of the message's id and the tag's position in it, in this order.
+    """
+    return tag_arrivals(messages).select(F.struct("id", "position").alias("seq"), "tag")
 
 
 class BloomStream:
     """The exact tag set lives in the state store, the slots in a table of fixed size.
 
-    The stream keeps a running count of every tag: it is summed per task before the
-    shuffle, and a batch touches only its own tags. The arrivals of the batch travel
-    beside the counts. A tag is new when its running count is its count in the batch.
+    The stream keeps, for every tag, the time of the batch that it first came in and its
+    first place: minima that are formed per task before the shuffle. A batch touches only
+    its own tags, and a tag is new when its first batch is this one. A key of its own, null,
+    counts all arrivals. So one reading of the batch gives everything.
     """
 
-    def __init__(
-        self, folder: str, moduli: tuple[int, ...] = MODULI, exact_key: str = "hash", places: int = PLACES
-    ):
+    def __init__(self, folder: str, moduli: tuple[int, ...] = MODULI, exact_key: str = "hash"):
         if exact_key not in ("hash", "tag"):
             raise ValueError("exact_key must be 'hash' or 'tag'")
-        self.folder, self.moduli, self.exact_key, self.places = folder, moduli, exact_key, places
-        self.slots = VersionedTable(f"{folder}/slots", "slot int, since bigint")
+        self.folder, self.moduli, self.exact_key = folder, moduli, exact_key
+        self.slots = VersionedTable(f"{folder}/slots", "slot int", keep=KEPT)
         self.reports = VersionedTable(
             f"{folder}/reports",
-            "correct bigint, incorrect bigint, unique_tags bigint, false_positives bigint",
+            "correct bigint, incorrect bigint, unique_tags bigint, false_positives bigint, arrivals bigint",
         )
 
     def start(self, messages: DataFrame, until_done: bool = False) -> StreamingQuery:
-        tags = sequenced(messages, self.places).withColumn("tag_hash", jvm_hash(F.col("tag")))
-        key = "tag_hash" if self.exact_key == "hash" else "tag"
-        keyed = tags.select(F.col(key).cast("string").alias("key"), "tag_hash", "seq")
-        running = keyed.groupBy("key").agg(
-            F.min("tag_hash").alias("tag_hash"), F.min("seq").alias("seq"), F.count("*").alias("running")
-        )
-        arrivals = keyed.withColumn("running", F.lit(None).cast("bigint"))
-        return start_reports(
-            running.unionByName(arrivals), self.run_batch, f"{self.folder}/checkpoint", until_done, output_mode="update"
+        tags = sequenced(messages).withColumn("tag_hash", jvm_hash(F.col("tag")))
+        key = F.col("tag_hash" if self.exact_key == "hash" else "tag").cast("string")
+        # The time is the batch's, the same when the batch is run again.
+        now = F.current_timestamp()
+        rows = tags.select(
+            F.explode(
+                F.array(
+                    F.struct(key.alias("key"), "tag_hash", F.struct(now.alias("time"), "seq").alias("first"), now.alias("last")),
+                    F.struct(F.lit(None).cast("string").alias("key"), "tag_hash", F.struct(now.alias("time"), "seq").alias("first"), now.alias("last")),
+                )
+            ).alias("row")
+        ).select("row.*")
+        running = rows.groupBy("key").agg(
+            F.min("tag_hash").alias("tag_hash"), F.min("first").alias("first"), F.max("last").alias("last"), F.count("*").alias("running")
         )
+        return start_reports(running, self.run_batch, f"{self.folder}/checkpoint", until_done, output_mode="update")
 
     def run_batch(self, batch: DataFrame, batch_id: int) -> None:
+        """A batch that holds nothing leaves the slots as they are and reports zeros."""
         spark = batch.sparkSession
-        tags = (
-            batch.groupBy("key")
-            .agg(
-                F.min("tag_hash").alias("tag_hash"),
-                F.min("seq").alias("seq"),
-                F.max("running").alias("running"),
-                F.count_if(F.col("running").isNull()).alias("here"),
-            )
-            .persist()
-        )
+        tags = batch.persist()
+        before = self.reports.read(spark, batch_id - 1).first()
         try:
-            arrivals = tags.agg(F.sum("here")).first()[0] or 0
-            first = tags.filter(F.col("running") == F.col("here")).select("key", "tag_hash", "seq")
-            # A slot set in an earlier batch was set before anything in this one.
-            older = self.slots.read(spark, batch_id - 1).withColumn("since", F.lit(-1).cast("bigint"))
-            times = older.unionByName(slot_times(first, self.moduli)).groupBy("slot").agg(F.min("since").alias("since"))
-            self.slots.write(times, batch_id)
-            marked = mark_false_positives(first, self.slots.read(spark, batch_id), self.moduli)
+            total = tags.filter("key IS NULL").select("running").first()
+            total = total[0] if total else (before["arrivals"] if before else 0)
+            first = tags.filter("key IS NOT NULL AND first.time = last").select("key", "tag_hash", F.col("first.seq").alias("seq"))
+            new_times = slot_times(first, self.moduli)
+            # A slot set in an earlier batch was set before anything in this one: it gets no time.
+            older = self.slots.read(spark, batch_id - 1).distinct()
+            times = new_times.join(older.withColumn("old", F.lit(True)), "slot", "full").select("slot", "since", F.coalesce("old", F.lit(False)).alias("old"))
+            marked = mark_false_positives(first, times, self.moduli)
             counts = marked.agg(F.count("*").alias("new_tags"), F.count_if("false_positive").alias("incorrect")).first()
+            self.slots.write(older.unionByName(new_times.select("slot")).distinct(), batch_id)
         finally:
             tags.unpersist()
-        before = self.reports.read(spark, batch_id - 1).first()
+        arrivals = total - (before["arrivals"] if before else 0)
         unique = counts["new_tags"] + (before["unique_tags"] if before else 0)
         wrong = counts["incorrect"] + (before["false_positives"] if before else 0)
-        row = (arrivals - counts["incorrect"], counts["incorrect"], unique, wrong)
+        row = (arrivals - counts["incorrect"], counts["incorrect"], unique, wrong, total)
         self.reports.write(spark.createDataFrame([row], self.reports.schema), batch_id)

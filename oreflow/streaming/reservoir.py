@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from oreflow.operators.messages import HOT_TAGS, SAMPLE_SIZE, SEED, bottom_k, sample_report
 from oreflow.sources.reports import start_reports
-from oreflow.streaming.state import VersionedTable
+from oreflow.streaming.state import KEPT, VersionedTable
 
 
 class ReservoirStream:
@@ -16,7 +16,7 @@ class ReservoirStream:
 
     def __init__(self, folder: str, k: int = SAMPLE_SIZE, seed: int = SEED, n_tags: int = HOT_TAGS):
         self.folder, self.k, self.seed, self.n_tags = folder, k, seed, n_tags
-        self.sample = VersionedTable(f"{folder}/sample", "id bigint, text string, seen bigint")
+        self.sample = VersionedTable(f"{folder}/sample", "id bigint, text string, seen bigint", keep=KEPT)
         self.reports = VersionedTable(f"{folder}/reports", "seen bigint, hot_tags string, mean_length double")
 
     def start(self, messages: DataFrame, until_done: bool = False) -> StreamingQuery:
@@ -26,8 +26,14 @@ class ReservoirStream:
         spark = batch.sparkSession
         before = self.sample.read(spark, batch_id - 1)
         seen_before = before.agg(F.max("seen")).first()[0] or 0
-        seen = seen_before + batch.count()
-        both = before.select("id", "text").unionByName(bottom_k(batch, self.k, self.seed).select("id", "text"))
+        batch = batch.persist()
+        try:
+            seen = seen_before + batch.count()
+            # A few rows, taken while the batch is held.
+            best = spark.createDataFrame(bottom_k(batch, self.k, self.seed).select("id", "text").collect(), "id bigint, text string")
+        finally:
+            batch.unpersist()
+        both = before.select("id", "text").unionByName(best)
         kept = bottom_k(both, self.k, self.seed).select("id", "text", F.lit(seen).cast("bigint").alias("seen"))
         self.sample.write(kept, batch_id)
         now = self.sample.read(spark, batch_id)

@@ -167,7 +167,7 @@ def test_dense_index(spark):
     assert {extended["new1"], extended["new2"]} == {700, 701}
 
 
-@pytest.mark.parametrize("solver", ["auto", "sums"])
+@pytest.mark.parametrize("solver", ["library", "sums"])
 def test_factorisation_learns_and_drops_the_unknown(spark, solver):
     rng = random.Random(6)
     taste = {f"u{u}": rng.uniform(0.6, 1.4) for u in range(40)}
@@ -193,10 +193,20 @@ def test_both_solvers_reach_the_same_error(spark):
     assert scores[0] == pytest.approx(scores[1], abs=0.02)
 
 
-def test_a_crowded_id_takes_the_solver_by_sums(spark, monkeypatch):
-    monkeypatch.setattr(factorisation, "MAX_BLOCK_RATINGS", 30)
-    used = []
-    monkeypatch.setattr(factorisation, "_fit_by_sums", lambda *a: used.append(a) or (None, None))
+def test_the_solver_is_a_choice(spark):
+    """No number of ratings changes the solver behind the caller's back."""
     rows = [(f"u{i}", "hot", 3.0) for i in range(40)]
-    factorisation.fit(spark.createDataFrame(rows, "user string, item string, rating double"))
-    assert used
+    train = spark.createDataFrame(rows, "user string, item string, rating double")
+    with pytest.raises(ValueError):
+        factorisation.fit(train, solver="auto")
+    for solver in ("library", "sums"):
+        predicted = factorisation.fit(train, iterations=3, regularisation=0.01, solver=solver).predict(train)
+        assert predicted.count() == 40
+
+
+def test_tables_are_written_when_asked_for(spark):
+    train_rows, _ = dataset(7)
+    tables = neighbours.rating_tables(spark.createDataFrame(train_rows, "user string, item string, rating double"))
+    assert not {"pairs", "users", "items"} & set(vars(tables))
+    tables.items.count()
+    assert {"pairs", "users", "items"} & set(vars(tables)) == {"pairs", "items"}

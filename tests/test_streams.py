@@ -13,6 +13,7 @@ from oreflow.session import scratch_path
 from oreflow.sources import files
 from oreflow.streaming.bloom import BloomStream, sequenced
 from oreflow.streaming.reservoir import ReservoirStream
+from oreflow.streaming.state import VersionedTable
 
 
 def tag_hash(text):
@@ -78,10 +79,13 @@ def test_running_totals_over_many_blocks(spark):
         assert got[at] == total
 
 
-def test_slots_are_bounded(spark):
-    df = spark.createDataFrame([(1, "a")], "seq bigint, tag string")
-    with pytest.raises(ValueError):
-        bloom.false_positives(df, moduli=(1 << 30, 3))
+def test_large_filters_are_joined(spark, monkeypatch):
+    tags = random_tags(random.Random(3), 200)
+    df = spark.createDataFrame(list(enumerate(tags)), "seq bigint, tag string")
+    small = sorted(map(tuple, bloom.false_positives(df, (64, 59)).collect()))
+    monkeypatch.setattr(bloom, "BROADCAST_SLOTS", 1)
+    assert sorted(map(tuple, bloom.false_positives(df, (64, 59)).collect())) == small
+    assert bloom.false_positives(df, (1 << 30, 3)).count() == len(small)
     with pytest.raises(ValueError):
         bloom.false_positives(df, exact_key="text")
 
@@ -163,6 +167,17 @@ def test_empty_sample_report(spark):
 
 
 def test_sequence_follows_messages_and_places(spark):
-    df = spark.createDataFrame([(3, "#x#y"), (1, "a #z")], "id bigint, text string")
-    rows = sorted(tuple(r) for r in sequenced(df, 10).collect())
-    assert rows == [(11, "z"), (31, "x"), (32, "y")]
+    large = 9_000_000_000_000_000_000
+    df = spark.createDataFrame([(large + 3, "#x#y"), (large + 1, "a #z")], "id bigint, text string")
+    rows = [(r["seq"]["id"] - large, r["seq"]["position"], r["tag"]) for r in sequenced(df).orderBy("seq").collect()]
+    assert rows == [(1, 1, "z"), (3, 1, "x"), (3, 2, "y")]
+
+
+def test_state_does_not_grow_with_the_batches(spark):
+    table = VersionedTable(scratch_path(spark, "state"), "x int", keep=3)
+    for batch in range(7):
+        table.write(spark.createDataFrame([(batch,)], "x int"), batch)
+        assert table.read(spark, batch).first()["x"] == batch
+    assert len(os.listdir(table.folder)) == 3
+    with pytest.raises(ValueError):
+        table.history(spark)

@@ -40,7 +40,7 @@ def test_report_starts_with_the_total(answers):
 
 
 def test_statistics(answers):
-    got = {r["country"]: tuple(r)[1:] for r in survey.salary_stats(answers).collect()}
+    got = {r["country"]: tuple(r)[1:5] for r in survey.salary_stats(answers).collect()}
     assert got["A"] == (2, 0, 12000, Decimal("6000.00"))
     assert got["NA"] == (1, 5, 5, Decimal("5.00"))
     assert got["B, Republic of"] == (2, 1, 52, Decimal("26.50"))
@@ -53,6 +53,19 @@ def test_statistics_without_clamping(answers):
     assert got["D"] == 119999999988
 
 
+def test_salaries_of_any_size(spark):
+    rows = [("Z", s, "Yearly") for s in ("1e40", "1e300", "NaN", "Infinity", "-inf", "1e999")]
+    rows += [("Y", "9" * 29, "Monthly"), ("Y", "1", "Yearly"), ("X", "NaN", "Yearly"), ("X", "10", "Yearly")]
+    rows += [("W", "554381173721555891238670694864048300000000000000000000000000000000000000000", "")]
+    df = spark.createDataFrame(rows, "country string, salary string, salary_type string")
+    for saturate, top in ((True, 2147483647), (False, 9223372036854775807)):
+        got = {r["country"]: tuple(r)[1:] for r in survey.salary_stats(df, saturate).collect()}
+        assert got["Z"] == (2, top, top, None, pytest.approx(5e299))
+        assert got["Y"] == (2, 1, top, None, pytest.approx(6e29))
+        assert got["X"] == (1, 10, 10, Decimal("10.00"), 10.0)
+        assert got["W"] == (1, top, top, None, pytest.approx(5.543811737215559e74))
+
+
 def test_mean_rounds_half_up(spark):
     df = spark.createDataFrame(
         [("X", s, "Yearly") for s in ("0.01", "0.02")] + [("Y", s, "Yearly") for s in ("1", "1", "2")],
