@@ -14,10 +14,9 @@ from pyspark.sql import types as T
 from oreflow.functions.text import label_of
 from oreflow.session import materialise
 
-# Rows and bytes of bits a chunk of baskets aims for; beyond SLACK times that it will not do.
+# Rows and bytes of bits that a group of baskets aims for.
 CHUNK_ROWS = 500_000
 CHUNK_BYTES = 256 << 20
-SLACK = 8
 # A chunk's own threshold is kept at or above this, or chance pairs flood the candidates.
 MIN_LOCAL_SUPPORT = 10
 # Candidates recounted in one round; more of them take more rounds.
@@ -37,9 +36,12 @@ def frequent_items(baskets: DataFrame, support: int) -> DataFrame:
 def frequent_itemsets(rows: DataFrame, support: int, method: str = "chunks", chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """(items, size, freq) of all itemsets held by at least ``support`` baskets.
 
-    Items inside a set ascend. ``chunks`` mines bounded chunks of baskets and recounts
-    what they propose; ``fpgrowth`` uses the library miner. Both are exact. Chunks that
-    would have to outgrow the memory bound to stay selective hand over to the miner.
+    Items inside a set ascend. ``chunks`` mines chunks of baskets and recounts what they
+    propose; ``fpgrowth`` uses the library miner. Both are exact.
+
+    A chunk's work is split by the first item of a set: a group holds, of the chunk's
+    baskets, those with a first item of its range, from that item on. There are as many
+    groups as the data and the cores ask for, whatever the support.
     """
     if support < 1:
         raise ValueError("support must be at least 1")
@@ -55,17 +57,37 @@ def frequent_itemsets(rows: DataFrame, support: int, method: str = "chunks", chu
     n_baskets = baskets.agg(F.approx_count_distinct("basket_id")).first()[0]
     kept = size["rows"] or 0
     wanted = max(1, -(-kept // chunk_rows), -(-size["items"] * n_baskets // (8 * CHUNK_BYTES)))
-    selective = max(1, support // MIN_LOCAL_SUPPORT)
-    chunks = min(wanted, selective)
-    if method == "fpgrowth" or wanted > SLACK * chunks:
+    if method == "fpgrowth":
         return _canonical(_mine_with_fpgrowth(pruned, support))
+    chunks = min(wanted, max(1, support // MIN_LOCAL_SUPPORT))
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    ranges = max(1, min(-(-max(wanted, cores) // chunks), size["items"]))
 
-    chunked = pruned.withColumn("chunk", F.pmod(F.xxhash64("basket_id"), F.lit(chunks)).cast("int"))
+    grouped = materialise(_by_first_item(pruned, chunks, ranges), "chunked-baskets")
     one = singles.select(F.array("item").alias("items"), "freq")
-    larger = _mine_in_chunks(chunked, support, chunks)
+    larger = _mine_in_chunks(grouped, support, chunks)
     return _canonical(one.unionByName(larger))
 
 
+def _by_first_item(pruned: DataFrame, chunks: int, ranges: int) -> DataFrame:
+    """(chunk, range, basket_id, item, first): each basket once per range of its items, from the range's first one on.
+
+    ``first`` marks the items of the range. A basket is copied at most once per item that it holds.
+    """
+    placed = pruned.select(
+        "basket_id",
+        "item",
+        F.pmod(F.xxhash64("basket_id"), F.lit(chunks)).cast("int").alias("chunk"),
+        F.pmod(F.xxhash64(F.lit(1), "item"), F.lit(ranges)).cast("int").alias("own"),
+    )
+    starts = placed.groupBy("basket_id", F.col("own").alias("range")).agg(F.min("item").alias("start"))
+    return (
+        placed.join(starts, "basket_id")
+        .where(F.col("item") >= F.col("start"))
+        .select("chunk", "range", "basket_id", "item", (F.col("own") == F.col("range")).alias("first"))
+    )
+
+
 def _canonical(found: DataFrame) -> DataFrame:
     items = F.array_sort("items")
     return found.select(items.alias("items"), F.size("items").alias("size"), F.col("freq").cast("bigint").alias("freq"))
@@ -82,33 +104,30 @@ def _mine_with_fpgrowth(pruned: DataFrame, support: int) -> DataFrame:
     return found.filter(F.col("freq") >= support).select("items", "freq")
 
 
-def _mine_in_chunks(chunked: DataFrame, support: int, chunks: int) -> DataFrame:
+def _mine_in_chunks(grouped: DataFrame, support: int, chunks: int) -> DataFrame:
     """Itemsets of two and more items.
 
     An itemset with ``support`` baskets in all has ``support / chunks`` of them in some
-    chunk. So the sets frequent inside a chunk are the only candidates.
+    chunk. So the sets frequent inside a chunk are the only candidates. They are recounted
+    in rounds of bounded size; the candidates of a round are released before the next.
     """
-    spark = chunked.sparkSession
-    item_type = chunked.schema["item"].dataType
+    spark = grouped.sparkSession
+    item_type = grouped.schema["item"].dataType
     found = T.StructType([T.StructField("items", T.ArrayType(item_type)), T.StructField("freq", T.LongType())])
     if chunks == 1:
-        return chunked.groupBy("chunk").applyInPandas(local_miner(support), found)
+        return grouped.groupBy("chunk", "range").applyInPandas(local_miner(support), found)
 
-    chunked = materialise(chunked, "chunked-baskets")
-    local = chunked.groupBy("chunk").applyInPandas(local_miner(-(-support // chunks)), found)
+    local = grouped.groupBy("chunk", "range").applyInPandas(local_miner(-(-support // chunks)), found)
     candidates = materialise(local.select("items").distinct(), "candidates")
     rounds = max(1, -(-candidates.count() // ROUND_CANDIDATES))
-    if rounds > 1:
-        candidates = candidates.withColumn("round", F.pmod(F.xxhash64("items"), F.lit(rounds)).cast("int"))
-    else:
-        candidates = candidates.withColumn("round", F.lit(0))
+    numbered = candidates.withColumn("round", F.pmod(F.xxhash64("items"), F.lit(rounds)).cast("int"))
 
     totals = None
     for i in range(rounds):
-        batch = [tuple(r["items"]) for r in candidates.filter(F.col("round") == i).collect()]
-        counter = local_counter(spark.sparkContext.broadcast(batch))
-        part = chunked.groupBy("chunk").applyInPandas(counter, found)
-        part = part.groupBy("items").agg(F.sum("freq").alias("freq")).filter(F.col("freq") >= support)
+        sent = spark.sparkContext.broadcast([tuple(r["items"]) for r in numbered.filter(F.col("round") == i).collect()])
+        part = grouped.groupBy("chunk", "range").applyInPandas(local_counter(sent), found)
+        part = materialise(part.groupBy("items").agg(F.sum("freq").alias("freq")).filter(F.col("freq") >= support), "round")
+        sent.destroy()
         totals = part if totals is None else totals.unionByName(part)
     return totals
 
@@ -128,10 +147,11 @@ def _counts(bits: np.ndarray) -> np.ndarray:
 
 
 def local_miner(threshold: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """Itemsets of two and more items that ``threshold`` baskets of one chunk hold."""
+    """Itemsets of two and more items that ``threshold`` baskets of one chunk hold, by their first item."""
 
     def mine(chunk: pd.DataFrame) -> pd.DataFrame:
         items, bits = _basket_bits(chunk)
+        first = np.isin(items, chunk.loc[chunk["first"], "item"].unique())
         often = np.flatnonzero(_counts(bits) >= threshold)
         sets: list[list] = []
         freqs: list[int] = []
@@ -140,6 +160,8 @@ def local_miner(threshold: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
         while pending:
             prefix, tail, held = pending.pop()
             for i in range(len(tail) - 1):
+                if not prefix and not first[tail[i]]:
+                    continue
                 both = held[i + 1 :] & held[i]
                 counts = _counts(both)
                 keep = np.flatnonzero(counts >= threshold)
@@ -157,16 +179,17 @@ def local_miner(threshold: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
 
 
 def local_counter(candidates) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """Baskets of one chunk that hold each of the broadcast candidates."""
+    """Baskets of one chunk that hold each of the broadcast candidates whose first item is the group's."""
     block = 4096
 
     def count(chunk: pd.DataFrame) -> pd.DataFrame:
         items, bits = _basket_bits(chunk)
         place = {item: i for i, item in enumerate(items.tolist())}
+        first = set(chunk.loc[chunk["first"], "item"])
         missing = len(items)
         bits = np.vstack([bits, np.zeros((1, bits.shape[1]), dtype=bits.dtype)])
         by_size: dict[int, list[tuple]] = {}
-        for candidate in candidates.value:
+        for candidate in (c for c in candidates.value if c[0] in first):
             by_size.setdefault(len(candidate), []).append(candidate)
         sets: list[list] = []
         freqs: list[int] = []

@@ -57,7 +57,6 @@ def skewed(seed):
 @pytest.mark.parametrize("chunk_rows", [10**9, 400, 60])
 def test_chunks_equal_brute_force(spark, monkeypatch, chunk_rows):
     monkeypatch.setattr(itemsets, "MIN_LOCAL_SUPPORT", 2)
-    monkeypatch.setattr(itemsets, "SLACK", 10**6)
     monkeypatch.setattr(itemsets, "ROUND_CANDIDATES", 100)  # several rounds of recounting
     baskets = skewed(chunk_rows)
     df = spark.createDataFrame([(b, i) for b, s in baskets.items() for i in s], "basket_id string, item string")
@@ -71,13 +70,38 @@ def test_integer_items_sort_as_numbers(spark):
     assert (2, 10, 100) in collected(itemsets.frequent_itemsets(df, 3))
 
 
-def test_hand_over_to_the_library_miner(spark, monkeypatch):
-    monkeypatch.setattr(itemsets, "SLACK", 1)
+def test_groups_do_not_depend_on_the_support(spark):
+    """Even one chunk is mined by several groups, and they hold no more than is needed for their first items."""
     baskets = skewed(9)
     df = spark.createDataFrame([(b, i) for b, s in baskets.items() for i in s], "basket_id string, item string")
+    grouped = itemsets._by_first_item(df, 1, 8)
+    assert grouped.select("chunk", "range").distinct().count() > 1
+    assert grouped.filter("first").count() == df.count()
     assert collected(itemsets.frequent_itemsets(df, 25, chunk_rows=50)) == brute_force(baskets, 25)
 
 
+def test_one_round_of_candidates_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(itemsets, "MIN_LOCAL_SUPPORT", 2)
+    monkeypatch.setattr(itemsets, "ROUND_CANDIDATES", 50)
+    alive, most, sizes = set(), [], []
+    real = spark.sparkContext.broadcast
+
+    def broadcast(value):
+        sent = real(value)
+        destroy = sent.destroy
+        alive.add(id(sent))
+        most.append(len(alive))
+        sizes.append(len(value))
+        monkeypatch.setattr(sent, "destroy", lambda: (alive.discard(id(sent)), destroy()))
+        return sent
+
+    monkeypatch.setattr(spark.sparkContext, "broadcast", broadcast)
+    baskets = skewed(5)
+    df = spark.createDataFrame([(b, i) for b, s in baskets.items() for i in s], "basket_id string, item string")
+    assert collected(itemsets.frequent_itemsets(df, 20, chunk_rows=200)) == brute_force(baskets, 20)
+    assert len(most) > 2 and max(most) == 1 and not alive
+
+
 def test_supports_shrink_with_size_and_threshold(spark):
     baskets = skewed(3)
     df = spark.createDataFrame([(b, i) for b, s in baskets.items() for i in s], "basket_id string, item string")
