@@ -9,8 +9,9 @@ that share a leaf are compared in three steps:
    confirmed on the full sets, and the links give components.
 2. Of the other pairs of a leaf, those within one component cannot change the result. The rest are
    pairs of an item outside the leaf's main component and any item of another component. All
-   those that agree in size and sketch are confirmed on the full sets. In a leaf of thousands of
-   near copies nearly all are in one component, so few pairs are left.
+   those that agree in size, sketch and parity are confirmed on the full sets. The parity of a set
+   is the number of its tokens, odd or even, in each of ``PARITY`` buckets: sets differ in at least as
+   many tokens as parities, so it rejects no pair that reaches the threshold.
 3. All links together give the final components.
 
 A pair of similarity ``j`` meets in one tree with probability ``j ** depth``. At 0.8 all trees miss a
@@ -39,6 +40,7 @@ from oreflow.session import materialise
 
 TREES, LEVELS, SMALL = 21, (2, 4, 6), 32
 HASHES, AGREE = 128, 90
+PARITY = 1024
 
 _WORD = np.ones(256, dtype=bool)
 _WORD[[9, 10, 11, 12, 13, 32]] = False
@@ -98,25 +100,31 @@ def _paths(low: np.ndarray) -> np.ndarray:
     return np.stack(out, axis=1).ravel().view(np.int64)
 
 
+def _parity(shingles: np.ndarray) -> np.ndarray:
+    """Whether the number of tokens in each bucket is odd, 64 buckets to a number."""
+    counts = np.bincount((_mixed(shingles ^ _ODD) % np.uint64(PARITY)).astype(np.int64), minlength=PARITY)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
 def _describe(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns: list[list] = [[] for _ in range(5)]
+            columns: list[list] = [[] for _ in range(6)]
             for text in batch.column("text"):
                 shingles = shingle_set(np.frombuffer(text.as_buffer(), dtype=np.uint8), words)
                 if len(shingles):
                     low = _minwise(shingles)
                     bits = np.packbits((_mixed(low) & np.uint64(1)).astype(np.uint8)).view(np.int64)
                     name = np.array([shingles.sum(dtype=np.uint64), np.bitwise_xor.reduce(_mixed(shingles + _ODD))]).tobytes()
-                    values = [name, len(shingles), int(bits[0]), int(bits[1]), _paths(low)]
+                    values = [name, len(shingles), int(bits[0]), int(bits[1]), _paths(low), _parity(shingles)]
                 else:
-                    values = [None, 0, None, None, None]
+                    values = [None, 0, None, None, None, None]
                 for column, value in zip(columns, values, strict=True):
                     column.append(value)
-            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("version"), *(pa.array(x, k) for x, k in zip(columns, kinds, strict=True))],
-                ["doc_id", "version", "item", "n", "s1", "s2", "paths"],
+                ["doc_id", "version", "item", "n", "s1", "s2", "paths", "parity"],
             )
 
     return run
@@ -138,6 +146,12 @@ def similar(a: str, b: str, percent: int) -> Column:
     return size & (HASHES - apart >= AGREE)
 
 
+def close_parity(a: str, b: str, percent: int) -> Column:
+    """False only if the sets differ in more tokens than the threshold allows."""
+    odd = sum(F.bit_count(F.col(f"{a}.p{k}").bitwiseXOR(F.col(f"{b}.p{k}"))) for k in range(PARITY // 64))
+    return odd * (100 + percent) <= (100 - percent) * (F.col(f"{a}.n") + F.col(f"{b}.n"))
+
+
 def leaves(items: DataFrame) -> DataFrame:
     """(node, item, n, s1, s2): the items of every leaf with at least two."""
     kept = None
@@ -170,12 +184,15 @@ def classes(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, version, n_shingles, component_id) of every row; ``version`` is a hash of the text."""
     texts = documents_only(docs).withColumn("version", F.xxhash64("text"))
     described = materialise(
-        texts.mapInArrow(_describe(words), "doc_id long, version long, item binary, n long, s1 long, s2 long, paths array<long>"), "described"
+        texts.mapInArrow(
+            _describe(words), "doc_id long, version long, item binary, n long, s1 long, s2 long, paths array<long>, parity array<long>"
+        ),
+        "described",
     )
     linked = described.where("doc_id IS NOT NULL AND item IS NOT NULL")
     # Of copies one stands for all; its row is where the text is read again.
     items = materialise(
-        linked.groupBy("item").agg(*(F.first(c).alias(c) for c in ("n", "s1", "s2", "paths")), F.min(F.struct("doc_id", "version")).alias("row")), "items"
+        linked.groupBy("item").agg(*(F.first(c).alias(c) for c in ("n", "s1", "s2", "paths", "parity")), F.min(F.struct("doc_id", "version")).alias("row")), "items"
     )
     members = materialise(leaves(items), "leaves")
 
@@ -192,7 +209,8 @@ def classes(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     # Full sets of all items that have a leaf in common with an item of like sketch.
     close = _close_items(members, percent)
     rows = items.join(close, "item").select("item", "row.doc_id", "row.version")
-    wanted = texts.join(materialise(rows, "close-rows"), ["doc_id", "version"]).dropDuplicates(["item"]).select("item", "text")
+    # Shuffled at every size: the items' number has no bound that would let them be broadcast.
+    wanted = texts.join(materialise(rows, "close-rows").hint("merge"), ["doc_id", "version"]).dropDuplicates(["item"]).select("item", "text")
     sets = materialise(wanted.mapInArrow(_sets(words), "item binary, set array<long>"), "sets")
 
     links = materialise(confirmed(stars, sets, percent), "star-links")
@@ -200,12 +218,14 @@ def classes(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     labelled = materialise(members.join(roots, "item", "left").withColumn("root", F.coalesce("root", "item")), "labelled")
     counts = labelled.groupBy("node", "root").agg(F.count("*").alias("n_root"))
     mains = materialise(counts.groupBy("node").agg(F.max(F.struct("n_root", "root"))["root"].alias("main"), F.count("*").alias("n_roots")).where("n_roots > 1"), "mains")
-    mixed = materialise(labelled.join(mains, "node"), "mixed")
+    parities = items.select("item", *(F.col("parity")[k].alias(f"p{k}") for k in range(PARITY // 64)))
+    mixed = materialise(labelled.join(mains, "node").join(parities, "item"), "mixed")
     a, b = mixed.where("root <> main").alias("a"), mixed.alias("b")
     crossing = a.join(b, "node").where(
         (F.col("a.root") != F.col("b.root"))
         & ((F.col("b.root") == F.col("b.main")) | (F.col("a.item") < F.col("b.item")))
         & similar("a", "b", percent)
+        & close_parity("a", "b", percent)
     )
     pairs = crossing.select(F.least("a.item", "b.item").alias("a"), F.greatest("a.item", "b.item").alias("b")).distinct()
     more = confirmed(pairs.join(stars, ["a", "b"], "left_anti"), sets, percent)
