@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import documents_only, free_name
+from oreflow.llm.common import documents_only
 from oreflow.llm.components import connected_components
 from oreflow.session import materialise
 
@@ -258,11 +258,10 @@ def _close_items(members: DataFrame, percent: int) -> DataFrame:
 
 def deduplicate(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of their class, and those without an id, with all columns."""
-    row, found = free_name([], "row"), free_name([], "found")
     kept = classes(docs, words, percent).where("doc_id IS NULL OR doc_id = component_id").select("doc_id", "version").distinct()
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(row))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     joined = rows.join(
-        kept.select(F.struct("doc_id", "version").alias(found)),
+        kept.select(F.struct("doc_id", "version").alias("found")),
         F.col("row.doc_id").cast("long").eqNullSafe(F.col("found.doc_id")) & (F.xxhash64(F.coalesce("row.text", F.lit(""))) == F.col("found.version")),
         "left_semi",
     )

@@ -56,7 +56,7 @@ TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.DOTALL
 )
 ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s\"'>]+)))?")
-SPACE = re.compile(r"[ \t\n\r\f\v\x85\xa0  -     　]+")
+SPACE = re.compile(r"\s+")
 
 
 class Node:

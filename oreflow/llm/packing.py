@@ -316,7 +316,7 @@ def _pieces(plan: Plan, first_full: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, doc, n, rest, k, full = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("row", "number", "n_tokens", "rest", "k", "full_before"))
+            row, n, rest, k, full = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("row", "n_tokens", "rest", "k", "full_before"))
             out = []
 
             def add(at, start, length, sequence, offset):
@@ -384,7 +384,7 @@ def pack(tokens: DataFrame, window: int = WINDOW) -> DataFrame:
     ).join(bases, ["rest", "part"])
     rest_base = tokens.sparkSession.createDataFrame(list(full_bases.items()), "rest long, b0 long")
     located = numbered.join(rest_base, "rest").select(
-        "row", "doc_id", F.coalesce("doc_id", F.lit(-1)).alias("number"), "n_tokens", "rest",
+        "row", "doc_id", "n_tokens", "rest",
         (F.col("k0") + F.col("k1")).alias("k"), (F.col("b0") + F.col("f0") + F.col("f1")).alias("full_before"),
     )
     return located.mapInArrow(_pieces(plan, first_full), PIECES)
