@@ -8,12 +8,13 @@ its windows is a segment.
 
 1. Anchors meet by hash. A segment equal to an earlier one is repeated as a whole. Where an anchor
    has several different segments, the first of each goes on; all other anchors are done.
-2. Their suffixes are range-partitioned by their leading bytes at sampled splitters. Each bucket
+2. Their suffixes are range-partitioned by their leading bytes, the anchor's, at sampled splitters;
+   the suffixes of an anchor that fills half a bucket or more are dealt over several. Each bucket
    sorts its suffixes by multikey quicksort, and in the same way what stands before them, read
    backwards. Common prefixes of neighbours then tell for each offset which windows are equal;
    all but the first of equal windows are repeated.
-3. Suffixes whose anchor may go on in the bucket before or after send the windows that are first in
-   their bucket across: of equal ones all but the first are repeated.
+3. Suffixes of an anchor that goes on in other buckets send the windows that are first in their
+   bucket across: of equal ones all but the first are repeated.
 
 A document is a row's whole text as UTF-8 bytes; a null text is empty. Strings never cross
 documents. Documents are ordered by id, null ids last, and rows that share an id by a hash of their
@@ -109,11 +110,11 @@ def _anchor_rows(length: int):
     return run
 
 
-REPEATS = "kind int, doc long, version long, a long, b long, c long"
+REPEATS = "kind int, doc long, version long, a long, b long, c long, anchor long"
 
 
 def _split_segments(length: int):
-    """From anchors in order: repeated byte ranges (kind 0: begin, end) and suffixes to compare (kind 1: position, offsets)."""
+    """From anchors in order: repeated byte ranges (kind 0: begin, end) and suffixes to compare (kind 1: position, offsets, and the anchor's hash)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # The last group's anchor, segment, the segment's first row, and that row if it still waits for a second segment.
@@ -153,34 +154,36 @@ def _split_segments(length: int):
                 waiting = None
             # A lone segment of the last group waits for the next batch.
             if last_anchor >= 0 and sizes[group[-1]] == 1 and group[-1] > 0:
-                waiting = (doc[last_anchor], version[last_anchor], place[last_anchor])
+                waiting = (doc[last_anchor], version[last_anchor], place[last_anchor], h[last_anchor])
             out[1][1][starts[several]] = True
             anchor, segment = h[-1], s[-1]
             if first[-1] >= 0:
                 head = (doc[first[-1]], version[first[-1]], place[first[-1]])
-            kinds, docs, versions, places = [], [], [], []
+            kinds, docs, versions, places, anchors = [], [], [], [], []
             for kind, mask in out:
                 kinds.append(np.full(int(mask.sum()), kind, dtype=np.int32))
                 docs.append(doc[mask])
                 versions.append(version[mask])
                 places.append(place[mask])
+                anchors.append(h[mask])
             if extra is not None:
                 kinds.append(np.ones(1, dtype=np.int32))
                 docs.append(np.array([extra[0]]))
                 versions.append(np.array([extra[1]]))
                 places.append(np.array([extra[2]]))
+                anchors.append(np.array([extra[3]]))
             kind, where = np.concatenate(kinds), np.concatenate(places)
             at, low, high = where >> 16, (where >> 8) & 255, where & 255
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (kind, np.concatenate(docs), np.concatenate(versions), np.where(kind == 0, at - high, at), np.where(kind == 0, at - low + length, low), np.where(kind == 0, 0, high))],
-                ["kind", "doc", "version", "a", "b", "c"],
+                [pa.array(x) for x in (kind, np.concatenate(docs), np.concatenate(versions), np.where(kind == 0, at - high, at), np.where(kind == 0, at - low + length, low), np.where(kind == 0, 0, high), np.concatenate(anchors))],
+                ["kind", "doc", "version", "a", "b", "c", "anchor"],
             )
 
     return run
 
 
 def _suffixes(length: int):
-    """(head, before, doc, version, at, low, high): the bytes from each anchor on, and those before it read backwards."""
+    """(head, before, doc, version, at, low, high, part): the bytes from each anchor on, and those before it read backwards."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -190,7 +193,7 @@ def _suffixes(length: int):
                 for anchor in anchors.as_py():
                     at = anchor["a"]
                     before = raw[max(at - length + ANCHOR, 0) : at][::-1]
-                    rows.append((raw[at : at + length].ljust(length, b"\0"), before.ljust(length - ANCHOR, b"\0"), doc, version, at, anchor["b"], anchor["c"]))
+                    rows.append((raw[at : at + length].ljust(length, b"\0"), before.ljust(length - ANCHOR, b"\0"), doc, version, at, anchor["b"], anchor["c"], anchor["part"]))
                 if len(rows) > 50_000:
                     yield _rows(rows)
                     rows = []
@@ -200,12 +203,12 @@ def _suffixes(length: int):
     return run
 
 
-SUFFIX = "head binary, before binary, doc long, version long, at long, low int, high int"
+SUFFIX = "head binary, before binary, doc long, version long, at long, low int, high int, part int"
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
-    names = ["head", "before", "doc", "version", "at", "low", "high"]
+    kinds = (pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
+    names = ["head", "before", "doc", "version", "at", "low", "high", "part"]
     return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
 
@@ -251,7 +254,10 @@ FOUND = "kind int, doc long, version long, a long, b long, window binary"
 
 
 def _buckets(length: int):
-    """Repeated ranges of a bucket (kind 0: begin, end), and windows that are first in it but may be repeated in the next (kind 1: start)."""
+    """Repeated ranges of a bucket (kind 0: begin, end), and windows that are first in it but may be repeated in another (kind 1: start).
+
+    ``part`` is positive for suffixes whose anchor is dealt over several buckets.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [batch for batch in batches if batch.num_rows]
@@ -260,7 +266,7 @@ def _buckets(length: int):
         table = pa.Table.from_batches(got)
         heads = np.frombuffer(b"".join(table.column("head").to_pylist()), dtype=np.uint8).reshape(-1, length)
         backs = np.frombuffer(b"".join(table.column("before").to_pylist()), dtype=np.uint8).reshape(-1, length - ANCHOR)
-        doc, version, at, low, high = (table.column(x).to_numpy() for x in ("doc", "version", "at", "low", "high"))
+        doc, version, at, low, high, part = (table.column(x).to_numpy() for x in ("doc", "version", "at", "low", "high", "part"))
         n = len(doc)
         by_place = np.lexsort((at, version, doc))
         # Rows of equal documents are the same occurrence.
@@ -275,9 +281,7 @@ def _buckets(length: int):
 
         head_order, head_common = ranked(heads)
         back_order, back_common = ranked(backs)
-        opens = np.zeros(n, dtype=bool)
-        for edge in (head_order[0], head_order[-1]):
-            opens |= (heads[:, :ANCHOR] == heads[edge, :ANCHOR]).all(axis=1)
+        opens = part > 0
         span = length - ANCHOR + 1
         repeated, first_open = np.zeros((n, span + 1), dtype=bool), []
         for offset in range(span):
@@ -325,9 +329,15 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     split = materialise(dealt.mapInArrow(_split_segments(length), REPEATS), "segments")
     compared = split.where("kind = 1")
     n = compared.count()
-    anchors = compared.groupBy("doc", "version").agg(F.collect_list(F.struct("a", "b", "c")).alias("anchors"))
+    # Fewer than 2 n / BUCKET anchors.
+    large = compared.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > BUCKET // 2)
+    parts = large.select("anchor", F.ceil(F.col("n") / (BUCKET // 2)).cast("int").alias("parts"))
+    dealt_out = compared.join(materialise(parts, "large-anchors"), "anchor", "left").withColumn(
+        "part", F.coalesce(F.pmod(F.xxhash64("doc", "version", "a"), F.col("parts")).cast("int") + 1, F.lit(0))
+    )
+    anchors = dealt_out.groupBy("doc", "version").agg(F.collect_list(F.struct("a", "b", "c", "part")).alias("anchors"))
     suffixes = texts.join(anchors, ["doc", "version"]).mapInArrow(_suffixes(length), SUFFIX)
-    ranged = suffixes.repartitionByRange(max(1, math.ceil(n / BUCKET)), "head", "doc", "version", "at")
+    ranged = suffixes.repartitionByRange(max(1, math.ceil(n / BUCKET)), F.substring("head", 1, ANCHOR), "part")
     found = materialise(ranged.mapInArrow(_buckets(length), FOUND), "buckets")
     across = found.where("kind = 1")
     firsts = across.groupBy("window").agg(F.min(F.struct("doc", "version", "a")).alias("first"), F.count("*").alias("n")).where("n > 1")
