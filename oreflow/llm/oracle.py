@@ -36,3 +36,56 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (drop_it)::BIGINT AS
     sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT drop_it), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+SQL["op2_suffix_dedup"] = r"""
+WITH docs AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+), parts AS (
+    SELECT doc_id, length(x) // 2 AS n, start, substr(x, 2 * start + 1, 2 * (256 + 99)) AS part
+    FROM (SELECT *, unnest(range(0, length(x) // 2, 256)) AS start FROM docs)
+), places AS (
+    SELECT *, unnest(range(least(256, n - start))) AS k FROM parts
+), windows AS (
+    SELECT doc_id, start + k AS i, substr(part, 2 * k + 1, 2) AS byte,
+        CASE WHEN start + k + 100 <= n THEN md5(substr(part, 2 * k + 1, 200)) END AS k
+    FROM places
+), repeats AS (
+    SELECT *, k IS NOT NULL AND row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1 AS again FROM windows
+), covered AS (
+    SELECT *, bool_or(again) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 99 PRECEDING AND CURRENT ROW) AS gone FROM repeats
+), runs AS (
+    SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS begins FROM covered
+), kept AS (
+    SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (begins) AS n_spans,
+        coalesce(string_agg(byte, '' ORDER BY i) FILTER (NOT gone), '') AS rest
+    FROM runs GROUP BY doc_id
+)
+SELECT doc_id, (length(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+    coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(rest, ''))) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)
+"""
+
+SQL["op6_chosen_path"] = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+        lambda w: w <> '') AS w
+    FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN len(w) < 2 THEN w
+        ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s
+    FROM words
+), shingles AS (
+    SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets
+), links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach AS (
+    SELECT doc_id, doc_id AS root FROM sets
+    UNION
+    SELECT links.b, reach.root FROM reach JOIN links ON links.a = reach.doc_id
+), lowest AS (
+    SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN lowest USING (doc_id)
+"""
