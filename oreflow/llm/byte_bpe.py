@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import documents_only
+from oreflow.llm.common import bounded_batches, documents_only
 
 # Distinct pieces that a task remembers before it starts afresh, and the longest piece that it remembers.
 REMEMBERED, SHORT = 500_000, 64
@@ -283,6 +283,7 @@ def _decoder(lines):
 
 def _ranks(frame: DataFrame, ranks_path: str):
     """The file's lines, sent to the executors once; a vocabulary file is of a fixed size."""
+    bounded_batches(frame.sparkSession)
     with open(ranks_path, "rb") as file:
         return frame.sparkSession.sparkContext.broadcast(file.read())
 

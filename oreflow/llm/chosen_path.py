@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import documents_only
+from oreflow.llm.common import bounded_batches, documents_only
 from oreflow.llm.components import connected_components
 from oreflow.session import materialise
 
@@ -182,6 +182,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def classes(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, version, n_shingles, component_id) of every row; ``version`` is a hash of the text."""
+    bounded_batches(docs.sparkSession)
     texts = documents_only(docs).withColumn("version", F.xxhash64("text"))
     described = materialise(
         texts.mapInArrow(

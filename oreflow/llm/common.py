@@ -24,6 +24,16 @@ def ascii_lower(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
 
 
+# What a Python worker gets at once, at most; a longer text comes alone.
+BATCH_BYTES, _SETTING = "16m", "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bounds the texts that a Python worker holds, unless the session has a bound of its own."""
+    if spark.conf.get(_SETTING) in ("67108864b", "64MB", "67108864"):  # Spark's default
+        spark.conf.set(_SETTING, BATCH_BYTES)
+
+
 def documents_only(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``text`` of every row; a null text becomes the empty text."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from oreflow.llm.common import bounded_batches
 from oreflow.session import materialise
 
 # A subtree is template if it is on so many of the host's distinct pages, and on such a part of them.
@@ -264,6 +265,7 @@ def site_templates(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share
 
 def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
     """(page_id, url, text): the main text of every row."""
+    bounded_batches(pages.sparkSession)
     templates = site_templates(pages, least_pages, least_share).withColumnRenamed("host", "template_host")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"), host(F.col("url")).alias("host"))
     joined = rows.join(templates, F.col("host") == F.col("template_host"), "left").select("page_id", "url", "html", "template")

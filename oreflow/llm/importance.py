@@ -20,16 +20,15 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import free_name
+from oreflow.llm.common import bounded_batches, free_name
 from oreflow.session import materialise
 
 # Buckets of hashed n-grams; bytes of text that are looked at together.
-BUCKETS, SEGMENT = 1 << 16, 4 << 20
+BUCKETS, SEGMENT = 1 << 16, 1 << 19
 # Most labelled documents that the target model is fitted on: the ones with the lowest hash of their id.
 LABELLED = 50_000
 # Standard errors that the estimated share of good documents is raised by, in favour of keeping.
@@ -124,9 +123,9 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> tuple[n
 def log_weight(text: Column, ratio: np.ndarray) -> Column:
     """The log-ratio of the text's likelihoods under both models."""
 
-    @F.pandas_udf("double")
-    def weigh(texts: pd.Series) -> pd.Series:
-        return pd.Series([float(ratio[buckets(raw)].sum()) for raw in _bytes(pa.array(texts, pa.large_string()))])
+    @F.arrow_udf("double")
+    def weigh(texts: pa.Array) -> pa.Array:
+        return pa.array([float(ratio[buckets(raw)].sum()) for raw in _bytes(texts)], pa.float64())
 
     return weigh(text)
 
@@ -166,6 +165,7 @@ def kth_largest(keys: DataFrame, k: int, few: int = 1000) -> float:
 
 def score(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, seed: int = 1) -> tuple[DataFrame, str, str, float]:
     """``docs`` written with two more columns, their names (log-weight and key), and the least key that is kept."""
+    bounded_batches(docs.sparkSession)
     ratio, share = fit(docs, labels, labelled)
     weight, key = free_name(docs.columns, "log_weight"), free_name(docs.columns, "sample_key")
     weighed = docs.withColumn(weight, log_weight(F.coalesce("text", F.lit("")), ratio))

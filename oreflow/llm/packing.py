@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import documents_only
+from oreflow.llm.common import bounded_batches, documents_only
 from oreflow.session import materialise
 
 WINDOW, CLOSING = 4096, 2
@@ -177,6 +177,7 @@ def tokenise(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, closing
     ``row`` numbers the rows, ``crcs`` has the checksum of the ids of each window. Written once,
     as the numbers must not change when a task runs again.
     """
+    bounded_batches(docs.sparkSession)
     with open(tokenizer_path, encoding="utf-8") as file:
         json = docs.sparkSession.sparkContext.broadcast(file.read())
     return materialise(documents_only(docs).mapInArrow(_tokenise(json, window, closing), TOKENS), "tokens")

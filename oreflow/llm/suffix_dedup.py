@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import documents_only
+from oreflow.llm.common import bounded_batches, documents_only
 from oreflow.session import materialise
 
 LENGTH, ANCHOR = 100, 24
@@ -321,6 +321,7 @@ def _found(kind: int, doc, version, begin, end, windows: list) -> pa.RecordBatch
 
 def repeated_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc, version, begin, end): ranges of bytes that earlier text repeats; ``doc`` is the id, or the highest long for null."""
+    bounded_batches(docs.sparkSession)
     texts = _texts(docs)
     rows = texts.where(F.octet_length("text") >= length).mapInArrow(
         _anchor_rows(length), "anchor long, segment long, doc long, version long, place long"
