@@ -36,8 +36,9 @@ RUN = r"A-Za-z0-9+/_\-"
 CANDIDATE = "|".join(
     [
         r"-----BEGIN [A-Z ]*PRIVATE KEY-----[\s\S]*?-----END [A-Z ]*PRIVATE KEY-----",
-        rf"(?<=(?i:{NAMES.replace('?', '{0,1}')})[\"']{{0,1}}[ \t]{{0,3}}[=:][ \t]{{0,3}}[\"']{{0,1}})[^\s\"'=:]{{6,}}",
-        r"(?<=://[^\s:/@]{1,64}:)[^\s@/]{4,}(?=@)",
+        # What is assigned, after a name. The short look back comes first: it fails at once in ordinary text.
+        rf"(?<=[=:][ \t]{{0,3}}[\"']{{0,1}})(?<=(?i:{NAMES.replace('?', '{0,1}')})[\"']{{0,1}}[ \t]{{0,3}}[=:][ \t]{{0,3}}[\"']{{0,1}})[^\s\"'=:]{{6,}}",
+        r"(?<=:)(?<=://[^\s:/@]{1,64}:)[^\s@/]{4,}(?=@)",
         rf"(?<![{RUN}])(?:(?=[A-Za-z+/_\-]*[0-9])[{RUN}]{{12,}}|[A-Z]{{16,}}|(?=[a-z+/_\-]*[A-Z][A-Z+/_\-]*[a-z])[A-Za-z+/_\-]{{28,}})={{0,2}}",
     ]
 )
