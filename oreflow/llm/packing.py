@@ -29,7 +29,7 @@ from oreflow.session import materialise
 
 WINDOW, CLOSING = 4096, 2
 # Distinct words that a Python worker remembers before it starts afresh, and the longest of them.
-REMEMBERED, SHORT = 700_000, 64
+REMEMBERED, SHORT = 450_000, 64
 # Rows of one length that one task numbers, on average.
 NUMBERED = 20_000
 # Most lengths of a combination.
@@ -39,7 +39,7 @@ MARKS = ".,;:!?*#$%&|"
 WORD = re.compile(r"[^ \t\n\r\x0b\x0c]+")
 
 # Characters of texts that are tokenised together.
-TOGETHER = 1 << 21
+TOGETHER = 1 << 20
 
 NAMES, KINDS = ("row", "doc_id", "n_tokens", "crcs", "ids"), (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
 TOKENS = "row long, doc_id long, n_tokens long, crcs array<long>, ids binary"
