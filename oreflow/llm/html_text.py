@@ -3,7 +3,10 @@
 Every element subtree of a page is hashed; Spark counts, per host, the distinct pages that hold a
 subtree, and subtrees that recur on a large part of a host's pages are deleted. Elements that are
 never part of an article (menus, footers, adverts, forms, scripts, comments and the like, known by
-tag, role or class) go as well. If the page marks its article, only that counts.
+tag, role or class) go as well. If the page marks its article, only that counts. A class name tells
+by its first or last word, unless it negates it or names a state (``no-sidebar``, ``comments-open``).
+Headings and headers inside an article stay whatever their class, and so do an article and the
+elements around it if it has more text than the rest of the page.
 
 Character references are decoded, white space inside a block becomes one space, and blocks are
 joined in page order by a line feed. A null or empty page, and one without an article's text, has
@@ -51,6 +54,8 @@ MARKS = frozenset(
     "share sharing social related recommended newsletter subscribe subscription popup modal overlay widget pagination pager login signup search "
     "toolbar skip".split()
 )
+# A class name with one of these words does not say what the element is.
+NO_MARK = frozenset("no not non without with has have open opened closed on off enabled disabled".split())
 NOT_BY_MARK = frozenset("html body main h1 h2 h3 h4 h5 h6".split())
 
 TOKEN = re.compile(
@@ -60,29 +65,41 @@ ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^
 SPACE = re.compile(r"\s+")
 
 
+# How an element is ruled out: not, by the names of its classes, or by its tag, role or style.
+KEPT, MARKED, RULED_OUT = 0, 1, 2
+
+
 class Node:
-    """An element: its tag, whether tag or attributes rule it out, and its texts and elements in order."""
+    """An element: its tag, how it is ruled out, whether it is inside an article, and its texts and elements in order."""
 
-    __slots__ = ("tag", "never", "parts", "digest")
+    __slots__ = ("tag", "never", "inside", "parts", "digest")
 
-    def __init__(self, tag: str, never: bool):
-        self.tag, self.never, self.parts, self.digest = tag, never, [], 0
+    def __init__(self, tag: str, never: int, inside: bool = False):
+        self.tag, self.never, self.inside, self.parts, self.digest = tag, never, inside, [], 0
 
 
-def _never(tag: str, attributes: str) -> bool:
+def _never(tag: str, attributes: str, inside: bool) -> int:
     if tag in NEVER:
-        return True
+        return RULED_OUT
     if not attributes or attributes.isspace():
-        return False
+        return KEPT
     values = {name.lower(): html.unescape(a or b or c).lower() for name, a, b, c in ATTRIBUTE.findall(attributes)}
     if "hidden" in values or values.get("aria-hidden") == "true" or "display:none" in values.get("style", "").replace(" ", ""):
-        return True
+        return RULED_OUT
     if tag in NOT_BY_MARK:
-        return False
+        return KEPT
     if values.get("role") in ROLES:
-        return True
-    words = re.findall(r"[a-z]+", f"{values.get('class', '')} {values.get('id', '')}")
-    return any(word in MARKS for word in words)
+        return RULED_OUT
+    if tag == "header" and inside:
+        return KEPT
+    for name in f"{values.get('class', '')} {values.get('id', '')}".split():
+        words = re.findall(r"[a-z]+", name)
+        # Classes of an article also name its subjects (category-social), so only a whole name counts.
+        if tag == "article" and len(words) > 1 or not NO_MARK.isdisjoint(words):
+            continue
+        if any(word in MARKS and not (inside and word == "header") for word in (words[:1] + words[-1:])):
+            return MARKED
+    return KEPT
 
 
 def parse(page: str) -> Node:
@@ -114,7 +131,8 @@ def parse(page: str) -> Node:
         if tag in SIBLINGS:
             _end(stack, SIBLINGS[tag])
         attributes = match[3]
-        node = Node(tag, _never(tag, attributes))
+        inside = stack[-1].inside or stack[-1].tag == "article"
+        node = Node(tag, _never(tag, attributes, inside), inside)
         stack[-1].parts.append(node)
         if tag in VOID:
             continue
@@ -128,9 +146,45 @@ def parse(page: str) -> Node:
         elif not attributes.rstrip().endswith("/") or tag in BLOCKS:
             stack.append(node)
     text(page[at:])
+    _clear_paths(root)
     return root
 
 
+def _length(node: Node) -> int:
+    """Characters of text in the node, without what is ruled out below it."""
+    total, open_ = 0, list(node.parts)
+    while open_:
+        part = open_.pop()
+        if isinstance(part, str):
+            total += len(part.strip())
+        elif not part.never:
+            open_ += part.parts
+    return total
+
+
+def _clear_paths(root: Node) -> None:
+    """Takes the marks off an article, and off what lies on the path to it, if it has more text than the unmarked rest."""
+    for wanted in ("article", "main"):
+        scopes, open_ = [], [(root, ())]
+        while open_:
+            node, marked = open_.pop()
+            if node.never == RULED_OUT:
+                continue
+            if node.never:
+                marked = (node, marked)
+            if node.tag == wanted:
+                if marked:
+                    scopes.append((node, marked))
+            else:
+                open_ += [(part, marked) for part in node.parts if isinstance(part, Node)]
+        if scopes:
+            rest = _length(root)
+            for node, marked in scopes:
+                if _length(node) > rest:
+                    while marked:
+                        marked[0].never, marked = KEPT, marked[1]
+
+
 def _end(stack: list[Node], tags: set[str]) -> None:
     """Ends the nearest open element of ``tags``, unless a container lies between."""
     for depth in range(len(stack) - 1, 0, -1):

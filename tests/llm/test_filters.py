@@ -48,6 +48,14 @@ def text_of(page, template=frozenset()):
         ("<DIV CLASS=AD>x</DIV><P>Y < 3", "Y < 3"),
         ("<p>" * 5000 + "deep", "deep"),
         ("<div>" * 5000 + "deep", "deep"),
+        ("<article><header class='entry-header'><h1>Title</h1></header><p>Text</article>", "Title\nText"),
+        ("<article><div class='post-header'><h1>Title</h1></div><p>Text<div class='post-comments'>Reader</div></article>", "Title\nText"),
+        ("<div class='ad'>Buy</div><article class='post comments-open category-social'><p>Text</article>", "Text"),
+        ("<div id='content' class='no-sidebar'><article><p>Text</article></div>", "Text"),
+        ("<div id='content' class='no-sidebar'><p>Text</div><div class='left-sidebar'>Side</div>", "Text"),
+        ("<p>Site</p><div class='page sidebar'><article class='banner'><p>The text</article></div>", "The text"),
+        ("<main><p>The page's own text</p><div class='related'><article>Other</article></div></main>", "The page's own text"),
+        ("<article><p>The page's text</article><article class='comment'>A reader</article>", "The page's text"),
     ],
 )
 def test_main_text(page, text):
