@@ -1,7 +1,12 @@
 """Main text of web pages by removal of site templates.
 
-Every element subtree of a page is hashed; Spark counts, per host, the distinct pages that hold a
-subtree, and subtrees that recur on a large part of a host's pages are deleted. Elements that are
+Every element subtree of a page's article, or of the whole page if it marks none, is hashed. Spark
+counts, per host, the distinct contents that a subtree stands beside: the longest block of text
+outside it, if that is half as long as the subtree at least. So an article that is reprinted under
+changing menus counts once. Subtrees that recur are deleted: outside articles those of ``WORDS`` words from
+``LEAST_PAGES`` contents on, shorter ones, which recur by chance, from four times as many for each
+word less, and any on half of the host's contents. On a host of ``LARGE`` pages, so is what nearly
+all of them hold, however long. Elements that are
 never part of an article (menus, footers, adverts, forms, scripts, comments and the like, known by
 tag, role or class) go as well. If the page marks its article, only that counts. A class name tells
 by its first or last word, unless it negates it or names a state (``no-sidebar``, ``comments-open``).
@@ -11,7 +16,8 @@ elements around it if it has more text than the rest of the page.
 Character references are decoded, white space inside a block becomes one space, and blocks are
 joined in page order by a line feed. A null or empty page, and one without an article's text, has
 the empty text. Pages without a host are compared with no others. Equal pages count once in the
-host's statistics; every row gets its result. An empty table gives an empty result.
+host's statistics; every row gets its result. A page meets the templates that it holds, not all of
+its host's. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,11 +31,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import bounded_batches
+from oreflow.llm.common import bounded_batches, two_hashes
 from oreflow.session import materialise
 
-# A subtree is template if it is on so many of the host's distinct pages, and on such a part of them.
+# A subtree is template beside so many distinct contents of the host if it is long, or beside such a part of them.
 LEAST_PAGES, LEAST_SHARE = 5, 0.5
+# Words of a long subtree; below LEAST_WORDS only the share counts.
+WORDS, LEAST_WORDS = 8, 3
+# On hosts of so many pages, what such a part of them holds is template.
+LARGE, NEARLY_ALL = 50, 0.9
 
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -214,8 +224,91 @@ def hash_subtrees(root: Node) -> list[Node]:
     return order
 
 
-def _has_text(node: Node) -> bool:
-    return any(part.strip() if isinstance(part, str) else part.digest for part in node.parts)
+def _scopes(root: Node, wanted: str, template: frozenset[int] | set[int]) -> list[Node]:
+    """The outermost elements with the wanted tag that are not ruled out, in page order."""
+    found, open_ = [], [root]
+    while open_:
+        node = open_.pop()
+        if node is not root and (node.never or node.digest in template):
+            continue
+        if node.tag == wanted:
+            found.append(node)
+        else:
+            open_ += [part for part in reversed(node.parts) if isinstance(part, Node)]
+    return found
+
+
+def _hash(text: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
+
+
+def contents(root: Node) -> tuple[int, list[tuple[int, int, int | None]]]:
+    """The hash of the page's text, and its subtrees: hash, number of words up to ``WORDS`` (0 in a marked article), and the content it stands beside.
+
+    That is the hash of the longest block outside the subtree, or null if the subtree is more than twice as long.
+    """
+    blocks: list[tuple[int, int]] = []
+    spans: list[tuple[int, int, int, int, int]] = []
+    for wanted in ("article", "main", "#root"):
+        for scope in _scopes(root, wanted, frozenset()):
+            _span(scope, wanted == "article", blocks, spans)
+        if blocks:
+            break
+    in_article = wanted == "article"
+    # The longest blocks before and from each place on.
+    before, after = [(0, 0)], [(0, 0)]
+    for block in blocks:
+        before.append(max(before[-1], block))
+    for block in reversed(blocks):
+        after.append(max(after[-1], block))
+    after.reverse()
+    found = {}
+    for digest, begin, end, size, n_words in spans:
+        if begin == end and begin < len(blocks):  # a part of one block, whose rest is outside
+            rest = (blocks[begin][0] - size, blocks[begin][1])
+            length, beside = max(before[begin], after[begin + 1], rest)
+        else:
+            length, beside = max(before[begin], after[end])
+        # Of a subtree that the page holds twice, one is beside the other; the last one decides.
+        found[digest] = (0 if in_article else min(n_words, WORDS), beside if length and 2 * length >= size else None)
+    whole = _hash(b"".join(digest.to_bytes(8, "little", signed=True) for _, digest in blocks))
+    return whole, [(digest, *found[digest]) for digest in sorted(found)]
+
+
+def _span(scope: Node, in_article: bool, blocks: list, spans: list) -> None:
+    """Adds the scope's blocks (length, hash) and its subtrees with text (hash, first block, end, characters, words)."""
+    pieces: list[str] = []
+    size = n_words = 0
+
+    def close() -> None:
+        if block := SPACE.sub(" ", "".join(pieces)).strip(" "):
+            blocks.append((len(block), _hash(block.encode("utf-8", "replace"))))
+        pieces.clear()
+
+    open_: list = [scope]
+    while open_:
+        part = open_.pop()
+        if isinstance(part, str):
+            pieces.append(part)
+            words = part.split()
+            n_words += len(words)
+            size += len(words) + sum(map(len, words))
+        elif isinstance(part, tuple):
+            node, begin, size_before, words_before = part
+            if node.tag in BLOCKS:
+                close()
+            if node.tag != "#root" and n_words > words_before:
+                spans.append((node.digest, begin, len(blocks), size - size_before, n_words - words_before))
+        else:
+            if part.tag in BLOCKS:
+                close()
+            if part is not scope and (part.never or part.tag == "header" and not in_article):
+                continue
+            if part.tag == "br":
+                pieces.append(" ")
+            open_.append((part, len(blocks), size, n_words))
+            open_ += reversed(part.parts)
+    close()
 
 
 def main_text(root: Node, template: frozenset[int] | set[int]) -> str:
@@ -224,18 +317,6 @@ def main_text(root: Node, template: frozenset[int] | set[int]) -> str:
     def gone(node: Node) -> bool:
         return node.never or node.digest in template
 
-    def scopes(wanted: str) -> list[Node]:
-        found, open_ = [], [root]
-        while open_:
-            node = open_.pop()
-            if node is not root and gone(node):
-                continue
-            if node.tag == wanted:
-                found.append(node)
-            else:
-                open_ += [part for part in reversed(node.parts) if isinstance(part, Node)]
-        return found
-
     blocks: list[str] = []
 
     def collect(scope: Node, in_article: bool) -> None:
@@ -266,7 +347,7 @@ def main_text(root: Node, template: frozenset[int] | set[int]) -> str:
         close()
 
     for wanted in ("article", "main", "#root"):
-        for scope in scopes(wanted):
+        for scope in _scopes(root, wanted, template):
             collect(scope, wanted == "article")
         if blocks:
             break
@@ -279,17 +360,22 @@ def host(url: Column) -> Column:
     return F.when(found != "", found)
 
 
+SUBTREES = "host string, h1 long, h2 long, content long, subtrees array<struct<subtree:long,words:int,beside:long>>"
+SUBTREE = pa.list_(pa.struct([("subtree", pa.int64()), ("words", pa.int32()), ("beside", pa.int64())]))
+
+
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per page the hash of the whole and the distinct hashes of its subtrees that hold text."""
+    """Per page the hash of its text, and the distinct subtrees that hold text."""
     for batch in batches:
         wholes, lists = [], []
         for page in batch.column("html"):
-            order = hash_subtrees(parse(page.as_py()))
-            wholes.append(order[-1].digest)
-            lists.append(sorted({node.digest for node in order[:-1] if not node.never and _has_text(node)}))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("host"), pa.array(wholes, pa.int64()), pa.array(lists, pa.list_(pa.int64()))], ["host", "whole", "subtrees"]
-        )
+            root = parse(page.as_py())
+            hash_subtrees(root)
+            whole, found = contents(root)
+            wholes.append(whole)
+            lists.append([{"subtree": digest, "words": words, "beside": beside} for digest, words, beside in found])
+        columns = [batch.column(name) for name in ("host", "h1", "h2")]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(wholes, pa.int64()), pa.array(lists, SUBTREE)], ["host", "h1", "h2", "content", "subtrees"])
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,25 +390,41 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
 
-def site_templates(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
-    """(host, template): the hashes of each host's template subtrees."""
-    rows = pages.select(host(F.col("url")).alias("host"), F.coalesce("html", F.lit("")).alias("html")).where("host IS NOT NULL")
-    distinct = materialise(rows.mapInArrow(_subtrees, "host string, whole long, subtrees array<long>").dropDuplicates(["host", "whole"]), "subtrees")
-    sizes = distinct.groupBy("host").agg(F.count("*").alias("pages"))
-    counts = distinct.select("host", F.explode("subtrees").alias("subtree")).groupBy("host", "subtree").agg(F.count("*").alias("n"))
+def _with_keys(pages: DataFrame) -> DataFrame:
+    """(page_id, url, html, host, h1, h2): every row, with two hashes of its page."""
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"), host(F.col("url")).alias("host"))
+    h1, h2 = two_hashes(F.col("html"))
+    return rows.select("*", h1.alias("h1"), h2.alias("h2"))
+
+
+def page_subtrees(pages: DataFrame) -> DataFrame:
+    """(host, h1, h2, content, subtrees) of the distinct pages of each host."""
+    rows = _with_keys(pages).where("host IS NOT NULL").select("host", "h1", "h2", "html")
+    return materialise(rows.mapInArrow(_subtrees, SUBTREES).dropDuplicates(["host", "h1", "h2"]), "subtrees")
+
+
+def site_templates(subtrees: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
+    """(host, subtree): the hashes of each host's template subtrees."""
+    sizes = subtrees.groupBy("host", "content").agg(F.count("*").alias("n")).groupBy("host").agg(F.count("*").alias("contents"), F.sum("n").alias("pages"))
+    # By content first, so that neither a host nor a subtree is counted in one task.
+    beside = subtrees.select("host", F.explode("subtrees").alias("s")).groupBy("host", "s.subtree", "s.beside").agg(F.max("s.words").alias("words"), F.count("*").alias("n"))
+    counts = beside.groupBy("host", "subtree").agg(F.max("words").alias("words"), F.count("beside").alias("n"), F.sum("n").alias("on_pages"))
     # Both sides are stored, so that a join that needs a shuffle can split a large host.
-    frequent = materialise(counts.where(F.col("n") >= least_pages), "subtree-counts")
-    recurring = frequent.join(materialise(sizes, "host-sizes"), "host").where(F.col("n") >= least_share * F.col("pages"))
-    # At most 1 / least_share times as many subtrees as the host's pages have on average.
-    return materialise(recurring.groupBy("host").agg(F.sort_array(F.collect_list("subtree")).alias("template")), "templates")
+    frequent = materialise(counts.where(F.col("on_pages") >= least_pages), "subtree-counts")
+    by_number = (F.col("words") >= LEAST_WORDS) & (F.col("n") >= least_pages * F.pow(F.lit(4.0), WORDS - F.col("words")))
+    by_share = F.col("n") >= least_share * F.col("contents")
+    everywhere = (F.col("pages") >= LARGE) & (F.col("on_pages") >= NEARLY_ALL * F.col("pages"))
+    recurring = frequent.join(materialise(sizes, "host-sizes"), "host").where((F.col("n") >= least_pages) & (by_number | by_share) | everywhere)
+    return materialise(recurring.select("host", "subtree"), "templates")
 
 
 def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
     """(page_id, url, text): the main text of every row."""
     bounded_batches(pages.sparkSession)
-    templates = site_templates(pages, least_pages, least_share).withColumnRenamed("host", "template_host")
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"), host(F.col("url")).alias("host"))
-    joined = rows.join(templates, F.col("host") == F.col("template_host"), "left").select("page_id", "url", "html", "template")
+    subtrees = page_subtrees(pages)
+    held = subtrees.select("host", "h1", "h2", F.explode("subtrees.subtree").alias("subtree")).join(site_templates(subtrees, least_pages, least_share), ["host", "subtree"], "left_semi")
+    marks = materialise(held.groupBy("host", "h1", "h2").agg(F.sort_array(F.collect_list("subtree")).alias("template")), "page-templates")
+    joined = _with_keys(pages).join(marks, ["host", "h1", "h2"], "left").select("page_id", "url", "html", "template")
     return joined.mapInArrow(_texts, "page_id long, url string, text string")
 
 

@@ -77,6 +77,43 @@ def test_site_templates(spark):
     assert html_text.digest(frame.limit(0)).count() == 0
 
 
+STORY = "<h1>A storm over the northern coast</h1><p>The storm came in the night and took the roofs of forty houses near the harbour.<p>Nobody was hurt, said the mayor, and the school opens again on Monday."
+STORY_TEXT = re.sub("<[^>]*>", "\n", STORY).strip().replace("\n\n", "\n")
+LAYOUTS = [
+    "<div><p>Our reporters answer your letters every Thursday, write to the desk</p></div>",
+    "<div><span>The shop is open all day and sends parcels abroad for nothing</span></div>",
+    "<section><p>Rules of the forum: be kind, be brief and stay with the subject</p></section>",
+]
+
+
+def test_reprints_are_no_template(spark):
+    """One story under changing menus on half of a host's pages stays; with and without article, menus in known elements or not."""
+    shells = [("<nav>Menu {0}</nav><article>", "</article><div class='ad'>Advert {0}</div>"), ("<div>Menu {0}</div><div>", "</div><div>Advert {0}</div>")]
+    rows = [(100 * k + i, f"http://h{k}.example/{i}", a.format(i) + STORY + b.format(i)) for k, (a, b) in enumerate(shells) for i in range(10)]
+    rows += [(1000 + i, f"http://h{i % 2}.example/o{i}", f"<article><p>Another story of the year {i}, with {i * i} words in its only block</article>") for i in range(20)]
+    texts = {row["page_id"]: row["text"] for row in html_text.digest(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert len(texts) == 40
+    for i in range(10):
+        assert texts[i] == STORY_TEXT
+        assert texts[100 + i] == f"Menu {i}\n{STORY_TEXT}\nAdvert {i}"
+
+
+def test_three_layouts(spark):
+    """What recurs on a third of a host's pages goes; a short heading that recurs as often stays."""
+    own = [f"Page {i} tells of the town number {i * 7} and of its {i} bridges" for i in range(36)]
+    rows = [(i, f"http://h.example/{i}", f"{LAYOUTS[i % 3]}<h2>Part {i % 3}</h2><p>{text}</p>") for i, text in enumerate(own)]
+    texts = {row["page_id"]: row["text"] for row in html_text.digest(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert texts == {i: f"Part {i % 3}\n{text}" for i, text in enumerate(own)}
+
+
+def test_lines_of_articles_stay(spark):
+    """A line that a third of a host's marked articles quote is theirs."""
+    rows = [(i, "http://h.example", f"<article><p>{'Licensed to all who keep this line with each copy that they make' if i % 3 else i}<p>Text {i} of {i * i}</article>") for i in range(0, 30, 2)]
+    rows += [(100 + i, "http://h.example", f"<article><p>Another text {i} of {i * i} without the line of the licence</article>") for i in range(30)]
+    got = html_text.digest(spark.createDataFrame(rows, "page_id long, url string, html string")).where("text LIKE 'Licensed%'")
+    assert got.count() == 10
+
+
 def test_given_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     html = {row["page_id"]: row["html"] for row in pages.collect()}
