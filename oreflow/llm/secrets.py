@@ -5,7 +5,9 @@ password, credentials in URLs and private key blocks. Features are the candidate
 kinds of characters, transitions between kinds, how much of it letter triples of ordinary words
 cover (a dictionary counted over all documents), the path it stands in, and its neighbouring words.
 The forest is trained on labelled findings: those the caller gives, or else a few fixed ones and
-at most ``LABELLED`` candidates per class of these documents, labelled by strict formats.
+at most ``LABELLED`` distinct candidates per class of these documents that a rule proves to be a secret
+or none; what no rule proves is not trained on. Both classes weigh the same, so that their numbers
+in a large corpus do not decide.
 
 A null or empty text has no candidates. Rows are scanned each by itself; rows that repeat an id and
 a text get equal results; null ids are ids like any other. If all labels are of one class there is
@@ -31,7 +33,7 @@ REDACTED = "[SECRET]"
 # A letter triple belongs to the dictionary from this share of all triples on; there are at most 26 ** 3.
 COMMON_TRIPLE = 1e-4
 
-NAMES = "password|passwd|passphrase|pwd|secret|token|api_?key|access_?key|auth|credentials?"
+NAMES = "password|passwd|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credentials?"
 RUN = r"A-Za-z0-9+/_\-"
 CANDIDATE = "|".join(
     [
@@ -50,6 +52,14 @@ FORMATS = (
 PLACEHOLDER = r"(?i)example|changeme|placeholder|your[_\-]|dummy|xxxx|\*\*\*|<[^>]*>|\$\{|1234567|(.)\1{5,}"
 NAMED = rf"(?i)(?:{NAMES})[\"']?[ \t]*[=:][ \t]*[\"']?$"
 NUMBERED = r"(?i)(?:commit|sha-?\d*|md5|digest|checksum|hash|uuid|guid|revision|version|build|isbn|order|invoice|phone|tel|card)[\"']?[ \t#=:]*[\"']?$"
+# Before a password in a URL and before an opaque token.
+IN_URL, BEARER = r"://[^\s:/@]{1,64}:$", r"(?i)\bbearer[ \t]+$"
+# A password without a digit: capitals or signs inside.
+PASSWORD, NO_WORD = r"(?i)(?:password|passwd|passphrase|pwd)[\"']?[ \t]*[=:][ \t]*[\"']?$", r"[a-z][A-Z]|[A-Za-z][!@#$%^~][A-Za-z]"
+# Numbers, identifiers with hyphens, and paths of ordinary names.
+HARMLESS = r"^[0-9][0-9+/_\-]*$|^[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$|^/?(?:[a-z][a-z_\-]{0,30}[0-9.]{0,4}/)+[a-z][a-z_\-]{0,30}[0-9.]{0,4}$"
+# A run of letters with so many triples in the dictionary is a word.
+KNOWN_WORD = 0.9
 
 # Fixed findings that every forest sees: text before, candidate, text after, whether it is a secret.
 FIXED = [
@@ -61,6 +71,12 @@ FIXED = [
     ("Authorization: Bearer ", "eyJhbGciOiJIUzI1NiJ9eyJzdWIiOiI0NyJ9", "\n", 1),
     ("postgres://app:", "s3cr3tPw9", "@db", 1),
     ("secret=", "b2f0c9d1e4a57788", "\n", 1),
+    ("mysql://root:", "KuhBergWolke", "@host", 1),
+    ("Authorization: Bearer ", "q7Zt0LmXv93bKeR2hWcY", "\n", 1),
+    ("x-api-key: ", "hG5kQ0vTz81LsWd", "\n", 1),
+    ("password=", "Tr-KuhBergWolke!", " and", 1),
+    ("password: ", "required", "\n", 0),
+    ("the secret: ", "friendship", " and", 0),
     ("commit ", "9c1f4b7a2e8d6035c1f4b7a2e8d6035a9c1f4b7a", " fixes", 0),
     ("sha256:", "3b5d5c3712955042212316173ccf37be800a1b2c3d4e5f60718293a4b5c6d7e8", "\n", 0),
     ("md5 ", "d41d8cd98f00b204e9800998ecf8427e", " of", 0),
@@ -158,10 +174,15 @@ def features(found: DataFrame, common: bytes) -> DataFrame:
 
 
 def strict_label() -> Column:
-    """Whether formats or an assignment to a telling name make the candidate a secret beyond doubt."""
-    value = F.col("value")
-    named = F.col("before").rlike(NAMED) & value.rlike("[0-9]") & value.rlike("[A-Za-z]")
-    return ((value.rlike(FORMATS) | named) & ~value.rlike(PLACEHOLDER)).cast("int")
+    """1 for what formats, an assignment or its place prove to be a secret, 0 for what rules prove to be none, else null."""
+    value, before = F.col("value"), F.col("before")
+    mixed = value.rlike("[0-9]") & value.rlike("[A-Za-z]")
+    named = before.rlike(NAMED)
+    in_url = before.rlike(IN_URL) & F.startswith("after", F.lit("@"))
+    secret = value.rlike(FORMATS) | named & mixed | before.rlike(PASSWORD) & value.rlike(NO_WORD) | in_url | before.rlike(BEARER) & mixed & (F.length(value) >= 16)
+    word = value.rlike("^[A-Za-z]+$") & (F.col("f_dictionary") >= KNOWN_WORD)
+    harmless = ~named & (before.rlike(NUMBERED) | value.rlike(HARMLESS) | word)
+    return F.when(value.rlike(PLACEHOLDER), 0).when(secret, 1).when(harmless, 0).cast("int")
 
 
 def judge(found: DataFrame, common: bytes, findings: DataFrame | None = None, trees: int = 20, seed: int = 7) -> DataFrame:
@@ -174,16 +195,20 @@ def judge(found: DataFrame, common: bytes, findings: DataFrame | None = None, tr
     names = [c for c in described.columns if c.startswith("f_")]
     if findings is None:
         rows = described.withColumn("label", strict_label())
-        samples = [rows.where(F.col("label") == y).orderBy(F.xxhash64("value", "before"), "value", "before").limit(LABELLED) for y in (0, 1)]
+        distinct = materialise(rows.where("label IS NOT NULL").select("value", "before", "after", "label", *names).dropDuplicates(["value", "before", "after"]), "proved")
+        order = [F.xxhash64("value", "before", "after"), "value", "before", "after"]
+        samples = [distinct.where(F.col("label") == y).orderBy(*order).limit(LABELLED) for y in (0, 1)]
         fixed = features(spark.createDataFrame(FIXED, "before string, value string, after string, label int"), common)
         labelled = samples[0].unionByName(samples[1]).select(*names, "label").unionByName(fixed.select(*names, "label"))
     else:
         labelled = features(findings.select("before", "value", "after", F.col("label").cast("int")), common).where("label IS NOT NULL")
     labelled = materialise(labelled.select(*names, F.col("label").cast("double").alias("label")), "labelled")
-    if labelled.select("label").distinct().count() < 2:
-        return described.withColumn("probability", strict_label().cast("double")).select(*found.columns, "probability")
+    sizes = {row["label"]: row["count"] for row in labelled.groupBy("label").count().collect()}
+    if len(sizes) < 2:
+        return described.withColumn("probability", F.coalesce(strict_label(), F.lit(0)).cast("double")).select(*found.columns, "probability")
     assembler = VectorAssembler(inputCols=names, outputCol="features")
-    forest = RandomForestClassifier(numTrees=trees, maxDepth=8, seed=seed, subsamplingRate=1.0).fit(assembler.transform(labelled))
+    weighted = labelled.withColumn("weight", F.when(F.col("label") == 1, 0.5 / sizes.get(1.0, 1)).otherwise(0.5 / sizes.get(0.0, 1)) * sum(sizes.values()))
+    forest = RandomForestClassifier(numTrees=trees, maxDepth=8, seed=seed, subsamplingRate=1.0, weightCol="weight").fit(assembler.transform(weighted))
     scored = forest.transform(assembler.transform(described))
     return scored.select(*found.columns, vector_to_array("probability")[1].alias("probability"))
 
