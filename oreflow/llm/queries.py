@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.llm import byte_bpe, chosen_path, html_text, importance, line_dedup, packing, quality_rules, secrets, suffix_dedup, topk
+from oreflow.llm import (
+    byte_bpe,
+    chosen_path,
+    collocations,
+    html_text,
+    importance,
+    line_dedup,
+    merkle,
+    packing,
+    personal,
+    quality_rules,
+    secrets,
+    suffix_dedup,
+    topk,
+)
 from oreflow.llm.common import read_table
 
 
@@ -53,6 +67,18 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.digest(read_table(spark, folder, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.digest(read_table(spark, folder, "documents"))
+
+
+def op12_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return personal.digest(read_table(spark, folder, "documents"))
+
+
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.digest(read_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_topk": op1_exact_topk,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -64,4 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_importance_resampling": op9_importance_resampling,
     "op10_quality_rules": op10_quality_rules,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_personal_data": op12_personal_data,
+    "op13_collocations": op13_collocations,
 }
