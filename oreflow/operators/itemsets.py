@@ -1,4 +1,12 @@
-"""Exact frequent itemsets over baskets, of every size."""
+"""Exact frequent itemsets over baskets, of every size.
+
+Sets are enumerated as a tree: a set's children add one item that comes later in a fixed order, rarer
+items first. What a set needs to grow is its projected table: the baskets that hold it, with their
+items after its last one. A round counts the extensions of all its sets at once by a grouped sum, and
+the number of rows of each extension's own table with them. Small tables are dealt to tasks by the
+hash of their set and mined there to the end; large ones are split again by the next item in another round.
+So no task holds more than its share, however often one item occurs.
+"""
 
 from __future__ import annotations
 
@@ -7,20 +15,17 @@ from collections.abc import Callable
 import numpy as np
 import pandas as pd
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oreflow.functions.text import label_of
 from oreflow.session import materialise
 
-# Rows and bytes of bits that a group of baskets aims for.
-CHUNK_ROWS = 500_000
-CHUNK_BYTES = 256 << 20
-# A chunk's own threshold is kept at or above this, or chance pairs flood the candidates.
-MIN_LOCAL_SUPPORT = 10
-# Candidates recounted in one round; more of them take more rounds.
-ROUND_CANDIDATES = 500_000
+# Rows of projected tables that a task aims for.
+TASK_ROWS = 2_000_000
+# A table above this part of a task's rows is split by its next item.
+SPLIT = 16
 
 
 def build_baskets(rows: DataFrame) -> DataFrame:
@@ -33,59 +38,32 @@ def frequent_items(baskets: DataFrame, support: int) -> DataFrame:
     return baskets.groupBy("item").agg(F.count("*").alias("freq")).filter(F.col("freq") >= support)
 
 
-def frequent_itemsets(rows: DataFrame, support: int, method: str = "chunks", chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def frequent_itemsets(rows: DataFrame, support: int, method: str = "prefixes", task_rows: int = TASK_ROWS) -> DataFrame:
     """(items, size, freq) of all itemsets held by at least ``support`` baskets.
 
-    Items inside a set ascend. ``chunks`` mines chunks of baskets and recounts what they
-    propose; ``fpgrowth`` uses the library miner. Both are exact.
-
-    A chunk's work is split by the first item of a set: a group holds, of the chunk's
-    baskets, those with a first item of its range, from that item on. There are as many
-    groups as the data and the cores ask for, whatever the support.
+    Items inside a set ascend. ``prefixes`` grows sets by prefix-projected tables; ``fpgrowth`` uses the
+    library miner. Both are exact. A task mines about ``task_rows`` rows of projected tables, or less if
+    that leaves cores idle. Neither this nor the number of tasks depends on the support.
     """
     if support < 1:
         raise ValueError("support must be at least 1")
-    if method not in ("chunks", "fpgrowth"):
-        raise ValueError("method must be 'chunks' or 'fpgrowth'")
+    if method not in ("prefixes", "fpgrowth"):
+        raise ValueError("method must be 'prefixes' or 'fpgrowth'")
     baskets = materialise(build_baskets(rows), "baskets")
     singles = materialise(frequent_items(baskets, support), "items")
-    # Items below the support are in no frequent set. What stays of a basket is at most
-    # one row per frequent item, and there are at most rows / support of those.
-    pruned = baskets.join(singles.select("item"), "item", "left_semi")
-
-    size = singles.agg(F.sum("freq").alias("rows"), F.count("*").alias("items")).first()
-    n_baskets = baskets.agg(F.approx_count_distinct("basket_id")).first()[0]
-    kept = size["rows"] or 0
-    wanted = max(1, -(-kept // chunk_rows), -(-size["items"] * n_baskets // (8 * CHUNK_BYTES)))
+    # Items below the support are in no frequent set.
+    pruned = baskets.join(singles, "item")
     if method == "fpgrowth":
-        return _canonical(_mine_with_fpgrowth(pruned, support))
-    chunks = min(wanted, max(1, support // MIN_LOCAL_SUPPORT))
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    ranges = max(1, min(-(-max(wanted, cores) // chunks), size["items"]))
-
-    grouped = materialise(_by_first_item(pruned, chunks, ranges), "chunked-baskets")
-    one = singles.select(F.array("item").alias("items"), "freq")
-    larger = _mine_in_chunks(grouped, support, chunks)
-    return _canonical(one.unionByName(larger))
+        return _canonical(_mine_with_fpgrowth(pruned.select("basket_id", "item"), support))
+    return _canonical(_mine_prefixes(_ordered(pruned), support, task_rows))
 
 
-def _by_first_item(pruned: DataFrame, chunks: int, ranges: int) -> DataFrame:
-    """(chunk, range, basket_id, item, first): each basket once per range of its items, from the range's first one on.
-
-    ``first`` marks the items of the range. A basket is copied at most once per item that it holds.
-    """
-    placed = pruned.select(
-        "basket_id",
-        "item",
-        F.pmod(F.xxhash64("basket_id"), F.lit(chunks)).cast("int").alias("chunk"),
-        F.pmod(F.xxhash64(F.lit(1), "item"), F.lit(ranges)).cast("int").alias("own"),
-    )
-    starts = placed.groupBy("basket_id", F.col("own").alias("range")).agg(F.min("item").alias("start"))
-    return (
-        placed.join(starts, "basket_id")
-        .where(F.col("item") >= F.col("start"))
-        .select("chunk", "range", "basket_id", "item", (F.col("own") == F.col("range")).alias("first"))
-    )
+def _ordered(pruned: DataFrame) -> DataFrame:
+    """(basket_id, item, place, later): each item's place in its basket, rarer items first, and how many items follow it."""
+    basket = Window.partitionBy("basket_id")
+    place = F.row_number().over(basket.orderBy("freq", "item"))
+    numbered = pruned.select("basket_id", "item", place.alias("place"), F.count("*").over(basket).alias("n"))
+    return materialise(numbered.select("basket_id", "item", "place", (F.col("n") - F.col("place")).alias("later")), "ordered-baskets")
 
 
 def _canonical(found: DataFrame) -> DataFrame:
@@ -104,109 +82,124 @@ def _mine_with_fpgrowth(pruned: DataFrame, support: int) -> DataFrame:
     return found.filter(F.col("freq") >= support).select("items", "freq")
 
 
-def _mine_in_chunks(grouped: DataFrame, support: int, chunks: int) -> DataFrame:
-    """Itemsets of two and more items.
+def extensions(parents: DataFrame | None, ordered: DataFrame) -> DataFrame:
+    """(prefix, basket_id, item, place, later): the projected tables of all ``parents`` (prefix, basket_id, last).
 
-    An itemset with ``support`` baskets in all has ``support / chunks`` of them in some
-    chunk. So the sets frequent inside a chunk are the only candidates. They are recounted
-    in rounds of bounded size; the candidates of a round are released before the next.
+    Without parents it is the table itself, as the projection of the empty set.
     """
-    spark = grouped.sparkSession
-    item_type = grouped.schema["item"].dataType
-    found = T.StructType([T.StructField("items", T.ArrayType(item_type)), T.StructField("freq", T.LongType())])
-    if chunks == 1:
-        return grouped.groupBy("chunk", "range").applyInPandas(local_miner(support), found)
-
-    local = grouped.groupBy("chunk", "range").applyInPandas(local_miner(-(-support // chunks)), found)
-    candidates = materialise(local.select("items").distinct(), "candidates")
-    rounds = max(1, -(-candidates.count() // ROUND_CANDIDATES))
-    numbered = candidates.withColumn("round", F.pmod(F.xxhash64("items"), F.lit(rounds)).cast("int"))
-
-    totals = None
-    for i in range(rounds):
-        sent = spark.sparkContext.broadcast([tuple(r["items"]) for r in numbered.filter(F.col("round") == i).collect()])
-        part = grouped.groupBy("chunk", "range").applyInPandas(local_counter(sent), found)
-        part = materialise(part.groupBy("items").agg(F.sum("freq").alias("freq")).filter(F.col("freq") >= support), "round")
-        sent.destroy()
-        totals = part if totals is None else totals.unionByName(part)
-    return totals
-
-
-def _basket_bits(chunk: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The chunk's items in order, and one bit per basket for each of them."""
-    basket, _ = pd.factorize(chunk["basket_id"])
-    item, items = pd.factorize(chunk["item"], sort=True)
-    words = (basket.max(initial=-1) + 64) // 64
-    bits = np.zeros((len(items), words * 8), dtype=np.uint8)
-    np.bitwise_or.at(bits, (item, basket >> 3), (1 << (basket & 7)).astype(np.uint8))
-    return np.asarray(items), bits.view(np.uint64)
-
-
-def _counts(bits: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
-
-
-def local_miner(threshold: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """Itemsets of two and more items that ``threshold`` baskets of one chunk hold, by their first item."""
-
-    def mine(chunk: pd.DataFrame) -> pd.DataFrame:
-        items, bits = _basket_bits(chunk)
-        first = np.isin(items, chunk.loc[chunk["first"], "item"].unique())
-        often = np.flatnonzero(_counts(bits) >= threshold)
-        sets: list[list] = []
-        freqs: list[int] = []
-        # Each entry: a prefix, and the items after it with the baskets that hold both.
-        pending = [([], often, bits[often])]
-        while pending:
-            prefix, tail, held = pending.pop()
-            for i in range(len(tail) - 1):
-                if not prefix and not first[tail[i]]:
-                    continue
-                both = held[i + 1 :] & held[i]
-                counts = _counts(both)
-                keep = np.flatnonzero(counts >= threshold)
-                if not len(keep):
-                    continue
-                grown = prefix + [items[tail[i]]]
-                after = tail[i + 1 :][keep]
-                sets.extend(grown + [items[j]] for j in after)
-                freqs.extend(counts[keep].tolist())
-                if len(keep) > 1:
-                    pending.append((grown, after, both[keep]))
-        return pd.DataFrame({"items": pd.Series(sets, dtype=object), "freq": np.array(freqs, dtype=np.int64)})
+    if parents is None:
+        none = F.array().cast(T.ArrayType(ordered.schema["item"].dataType))
+        return ordered.withColumn("prefix", none)
+    return parents.join(ordered, "basket_id").where(F.col("place") > F.col("last")).select("prefix", "basket_id", "item", "place", "later")
 
-    return mine
 
+def _counted(table: DataFrame, support: int) -> DataFrame:
+    """(prefix, item, freq, work) of the frequent extensions; ``work`` is the number of rows of their own tables."""
+    counts = table.groupBy("prefix", "item").agg(F.count("*").alias("freq"), F.sum("later").alias("work"))
+    return counts.filter(F.col("freq") >= support)
 
-def local_counter(candidates) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """Baskets of one chunk that hold each of the broadcast candidates whose first item is the group's."""
-    block = 4096
-
-    def count(chunk: pd.DataFrame) -> pd.DataFrame:
-        items, bits = _basket_bits(chunk)
-        place = {item: i for i, item in enumerate(items.tolist())}
-        first = set(chunk.loc[chunk["first"], "item"])
-        missing = len(items)
-        bits = np.vstack([bits, np.zeros((1, bits.shape[1]), dtype=bits.dtype)])
-        by_size: dict[int, list[tuple]] = {}
-        for candidate in (c for c in candidates.value if c[0] in first):
-            by_size.setdefault(len(candidate), []).append(candidate)
-        sets: list[list] = []
-        freqs: list[int] = []
-        for group in by_size.values():
-            for begin in range(0, len(group), block):
-                part = group[begin : begin + block]
-                rows = np.array([[place.get(item, missing) for item in c] for c in part])
-                held = bits[rows[:, 0]]
-                for column in rows.T[1:]:
-                    held &= bits[column]
-                counts = _counts(held)
-                for i in np.flatnonzero(counts):
-                    sets.append(list(part[i]))
-                    freqs.append(int(counts[i]))
-        return pd.DataFrame({"items": pd.Series(sets, dtype=object), "freq": np.array(freqs, dtype=np.int64)})
-
-    return count
+
+def task_tables(table: DataFrame, small: DataFrame, tasks: int) -> DataFrame:
+    """(task, prefix, basket_id, item, place, own): what each task needs to mine the ``small`` extensions dealt to it.
+
+    A basket comes once per task and prefix, from its first item there on; ``own`` marks the task's items.
+    """
+    task = F.pmod(F.xxhash64("prefix", "item"), F.lit(tasks)).cast("int")
+    dealt = table.join(small.select("prefix", "item", task.alias("task")), ["prefix", "item"])
+    starts = dealt.groupBy("task", "prefix", "basket_id").agg(F.min("place").alias("start"), F.collect_set("place").alias("places"))
+    needed = table.join(starts, ["prefix", "basket_id"]).where(F.col("place") >= F.col("start"))
+    return needed.select("task", "prefix", "basket_id", "item", "place", F.array_contains("places", F.col("place")).alias("own"))
+
+
+def _mine_prefixes(ordered: DataFrame, support: int, task_rows: int) -> DataFrame:
+    item_type = ordered.schema["item"].dataType
+    schema = T.StructType([T.StructField("items", T.ArrayType(item_type)), T.StructField("freq", T.LongType())])
+    cores = ordered.sparkSession.sparkContext.defaultParallelism
+    found, parents = None, None
+    while True:
+        table = extensions(parents, ordered)
+        if parents is not None:
+            table = materialise(table, "projected")
+        counted = materialise(_counted(table, support), "extensions")
+        rows = counted.select(F.concat("prefix", F.array("item")).alias("items"), "freq")
+        found = rows if found is None else found.unionByName(rows)
+
+        open_sets = counted.filter("work > 0")
+        size = open_sets.agg(F.sum("work")).first()[0] or 0
+        limit = max(1, min(task_rows, -(-size // cores)) // SPLIT)
+        small, large = open_sets.filter(F.col("work") <= limit), open_sets.filter(F.col("work") > limit)
+        sizes = open_sets.agg(
+            F.sum(F.when(F.col("work") <= limit, F.col("work"))).alias("small"), F.count_if(F.col("work") > limit).alias("large")
+        ).first()
+        if sizes["small"]:
+            # Half of a task's share on average, so that the sum of those that meet by chance stays near it.
+            tasks = max(1, -(-2 * sizes["small"] // max(limit * SPLIT, 1)))
+            mined = task_tables(table, small, tasks).groupBy("task").applyInPandas(local_miner(support), schema)
+            found = found.unionByName(materialise(mined, "mined"))
+        if not sizes["large"]:
+            return found
+        parents = materialise(
+            table.join(large.select("prefix", "item"), ["prefix", "item"])
+            .filter("later > 0")
+            .select(F.concat("prefix", F.array("item")).alias("prefix"), "basket_id", F.col("place").alias("last")),
+            "large-prefixes",
+        )
+
+
+def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges, one after the other."""
+    sizes = ends - starts
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
+def _grow(prefix: list, items: np.ndarray, ends: np.ndarray, allowed: np.ndarray | None, names: np.ndarray, support: int, out: tuple[list, list]) -> None:
+    """Adds all frequent sets that extend ``prefix`` by two items or more, or by one where ``allowed`` is none.
+
+    ``items`` are the rows of the projected table, basket by basket; ``ends`` is where each row's basket ends.
+    ``allowed`` marks the rows whose item may come first.
+    """
+    pending = [(prefix, items, ends, allowed)]
+    while pending:
+        prefix, items, ends, allowed = pending.pop()
+        first = np.arange(len(items)) if allowed is None else np.flatnonzero(allowed)
+        order = first[np.argsort(items[first], kind="stable")]
+        codes, begins = np.unique(items[order], return_index=True)
+        for code, begin, end in zip(codes.tolist(), begins.tolist(), [*begins[1:].tolist(), len(order)], strict=True):
+            at = order[begin:end]
+            rows = _ranges(at + 1, ends[at])
+            if not len(rows):
+                continue
+            counts = np.bincount(items[rows], minlength=len(names))
+            often = np.flatnonzero(counts >= support)
+            if not len(often):
+                continue
+            grown = [*prefix, names[code]]
+            out[0].extend([*grown, names[i]] for i in often.tolist())
+            out[1].extend(counts[often].tolist())
+            if len(often) > 1:
+                # The child's table holds frequent items only.
+                sizes = ends[at] - at - 1
+                keep = counts[items[rows]] >= support
+                left = np.add.reduceat(keep, np.cumsum(sizes[sizes > 0]) - sizes[sizes > 0])
+                pending.append((grown, items[rows][keep], np.repeat(np.cumsum(left), left), None))
+
+
+def local_miner(support: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Frequent itemsets of one task: those that extend a prefix by one of the task's own items and at least one later item."""
+
+    def mine(task: pd.DataFrame) -> pd.DataFrame:
+        out: tuple[list, list] = ([], [])
+        task["_prefix"] = [tuple(p) for p in task["prefix"]]
+        for prefix, rows in task.groupby("_prefix", sort=False):
+            basket, _ = pd.factorize(rows["basket_id"])
+            order = np.lexsort((rows["place"].to_numpy(), basket))
+            codes, names = pd.factorize(rows["item"])
+            sizes = np.bincount(basket)
+            ends = np.repeat(np.cumsum(sizes), sizes)
+            _grow(list(prefix), codes[order], ends, rows["own"].to_numpy()[order], np.asarray(names), support, out)
+        return pd.DataFrame({"items": pd.Series(out[0], dtype=object), "freq": np.array(out[1], dtype=np.int64)})
+
+    return mine
 
 
 def itemset_report(found: DataFrame) -> DataFrame:

@@ -372,8 +372,8 @@ def frequent_itemsets(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def frequent_itemsets_many_chunks(spark: SparkSession, folder: str) -> DataFrame:
-    """The same with small chunks, so that candidates are proposed, merged and recounted."""
-    return _labelled(_found(spark, folder, chunk_rows=15_000))
+    """The same with small tasks, so that large projected tables are split by further items."""
+    return _labelled(_found(spark, folder, task_rows=15_000))
 
 
 @query

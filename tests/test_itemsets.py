@@ -5,6 +5,7 @@ import random
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
 from oreflow.operators import itemsets
 from oreflow.session import scratch_path
@@ -32,7 +33,7 @@ def collected(df):
 def test_small(spark):
     rows = [("1", "a"), ("1", "b"), ("2", "a"), ("2", "b"), ("2", "c"), ("3", "a"), ("3", "a")]
     df = spark.createDataFrame(rows, "basket_id string, item string")
-    for method in ("chunks", "fpgrowth"):
+    for method in ("prefixes", "fpgrowth"):
         found = itemsets.frequent_itemsets(df, 2, method)
         assert collected(found) == {("a",): 3, ("b",): 2, ("a", "b"): 2}
         assert {r["size"] for r in found.collect()} == {1, 2}
@@ -40,7 +41,7 @@ def test_small(spark):
 
 def test_nothing_frequent(spark):
     df = spark.createDataFrame([("1", "a"), ("2", "b")], "basket_id string, item string")
-    for method in ("chunks", "fpgrowth"):
+    for method in ("prefixes", "fpgrowth"):
         assert itemsets.frequent_itemsets(df, 2, method).count() == 0
 
 
@@ -54,13 +55,12 @@ def skewed(seed):
     return baskets
 
 
-@pytest.mark.parametrize("chunk_rows", [10**9, 400, 60])
-def test_chunks_equal_brute_force(spark, monkeypatch, chunk_rows):
-    monkeypatch.setattr(itemsets, "MIN_LOCAL_SUPPORT", 2)
-    monkeypatch.setattr(itemsets, "ROUND_CANDIDATES", 100)  # several rounds of recounting
-    baskets = skewed(chunk_rows)
+@pytest.mark.parametrize("task_rows", [10**9, 400, 16])
+def test_prefixes_equal_brute_force(spark, task_rows):
+    baskets = skewed(task_rows)
     df = spark.createDataFrame([(b, i) for b, s in baskets.items() for i in s], "basket_id string, item string")
-    found = itemsets.frequent_itemsets(df, 20, chunk_rows=chunk_rows)
+    found = itemsets.frequent_itemsets(df, 20, task_rows=task_rows)
+    assert found.count() == found.select("items").distinct().count()
     assert collected(found) == brute_force(baskets, 20)
 
 
@@ -70,36 +70,38 @@ def test_integer_items_sort_as_numbers(spark):
     assert (2, 10, 100) in collected(itemsets.frequent_itemsets(df, 3))
 
 
-def test_groups_do_not_depend_on_the_support(spark):
-    """Even one chunk is mined by several groups, and they hold no more than is needed for their first items."""
-    baskets = skewed(9)
-    df = spark.createDataFrame([(b, i) for b, s in baskets.items() for i in s], "basket_id string, item string")
-    grouped = itemsets._by_first_item(df, 1, 8)
-    assert grouped.select("chunk", "range").distinct().count() > 1
-    assert grouped.filter("first").count() == df.count()
-    assert collected(itemsets.frequent_itemsets(df, 25, chunk_rows=50)) == brute_force(baskets, 25)
-
-
-def test_one_round_of_candidates_at_a_time(spark, monkeypatch):
-    monkeypatch.setattr(itemsets, "MIN_LOCAL_SUPPORT", 2)
-    monkeypatch.setattr(itemsets, "ROUND_CANDIDATES", 50)
-    alive, most, sizes = set(), [], []
-    real = spark.sparkContext.broadcast
-
-    def broadcast(value):
-        sent = real(value)
-        destroy = sent.destroy
-        alive.add(id(sent))
-        most.append(len(alive))
-        sizes.append(len(value))
-        monkeypatch.setattr(sent, "destroy", lambda: (alive.discard(id(sent)), destroy()))
-        return sent
-
-    monkeypatch.setattr(spark.sparkContext, "broadcast", broadcast)
-    baskets = skewed(5)
-    df = spark.createDataFrame([(b, i) for b, s in baskets.items() for i in s], "basket_id string, item string")
-    assert collected(itemsets.frequent_itemsets(df, 20, chunk_rows=200)) == brute_force(baskets, 20)
-    assert len(most) > 2 and max(most) == 1 and not alive
+def test_hot_item_is_dealt_evenly(spark):
+    """One item holds a third of three million rows; no task gets more than twice the median, at any support."""
+    rows = spark.range(1_000_000).select(
+        F.col("id").alias("basket_id"),
+        F.explode(F.array(F.lit(0), *(F.pmod(F.xxhash64("id", F.lit(k)), F.lit(200)).cast("int") + 1 for k in range(2)))).alias("item"),
+    )
+    baskets = itemsets.build_baskets(rows)
+    for support in (500, 5000):
+        ordered = itemsets._ordered(baskets.join(itemsets.frequent_items(baskets, support), "item"))
+        table = itemsets.extensions(None, ordered)
+        counted = itemsets._counted(table, support)
+        work = counted.agg(F.sum("work"), F.max("work")).first()
+        # Rarer items come first, so the item of all baskets has nothing after it and its sets are its partners'.
+        assert counted.filter("item = 0").first()["work"] == 0
+        assert work[1] * itemsets.SPLIT * 8 <= 20 * work[0]
+        sizes = sorted(r["count"] for r in itemsets.task_tables(table, counted.filter("work > 0"), 16).groupBy("task").count().collect())
+        assert len(sizes) == 16 and sizes[-1] <= 2 * sizes[8]
+
+
+def test_large_tables_are_split_by_further_items(spark, monkeypatch):
+    rounds = []
+    real = itemsets.extensions
+
+    def counting(parents, ordered):
+        rounds.append(parents)
+        return real(parents, ordered)
+
+    monkeypatch.setattr(itemsets, "extensions", counting)
+    baskets = {b: set(range(12)) - {b % 12} for b in range(60)}
+    df = spark.createDataFrame([(b, i) for b, s in baskets.items() for i in s], "basket_id int, item int")
+    assert collected(itemsets.frequent_itemsets(df, 35, task_rows=64)) == brute_force(baskets, 35)
+    assert len(rounds) > 2
 
 
 def test_supports_shrink_with_size_and_threshold(spark):
