@@ -97,6 +97,12 @@ def survey_salary_stats_any_size(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def survey_exact_means(spark: SparkSession, folder: str) -> DataFrame:
+    """Exact means as text, with salaries of thirty and forty digits among the others."""
+    return survey.exact_means(views.survey_any_size(spark, folder))
+
+
 @query
 def survey_csv_scan(spark: SparkSession, folder: str) -> DataFrame:
     """The survey written as a wider CSV with a header, read back and summarised."""

@@ -393,6 +393,27 @@ SELECT country, count(*) AS n, min(yearly)::BIGINT AS min_salary,
   max(yearly) >= 1e18 AS has_large, round(sum(yearly) / count(*) / 1e36, 3) AS mean_e36
 FROM survey GROUP BY country"""
 
+# Totals in three parts of eighteen digits, divided from the top. Twelve times 1e30 is 12000000000000001e15 as a double.
+SQL["survey_exact_means"] = """WITH survey AS (
+  SELECT n_name AS country, o_orderkey % 97 AS kind, CAST(floor(o_totalprice) AS HUGEINT) * 12 AS yearly
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+  WHERE o_orderkey % 97 NOT IN (7, 8, 9, 10)
+), totals AS (
+  SELECT country, count(*)::HUGEINT AS n, (count(*) FILTER (kind = 6))::HUGEINT * 120000 AS high,
+    (count(*) FILTER (kind = 5))::HUGEINT * 12000000000000 AS middle, coalesce(sum(yearly) FILTER (kind NOT IN (5, 6)), 0)::HUGEINT + (count(*) FILTER (kind = 5))::HUGEINT * 1000000000000000 AS low
+  FROM survey GROUP BY country
+), first AS (
+  SELECT *, high // n AS q1, (high % n) * 1000000000000000000 + middle AS rest1 FROM totals
+), second AS (
+  SELECT *, rest1 // n AS q2, (rest1 % n) * 1000000000000000000 + low AS rest2 FROM first
+), third AS (
+  SELECT *, rest2 // n + (200 * (rest2 % n) + n) // (2 * n) // 100 AS q3, (200 * (rest2 % n) + n) // (2 * n) % 100 AS cents FROM second
+)
+SELECT country, n::BIGINT AS n,
+  CASE WHEN q1 > 0 THEN q1::VARCHAR || lpad(q2::VARCHAR, 18, '0') || lpad(q3::VARCHAR, 18, '0')
+    WHEN q2 > 0 THEN q2::VARCHAR || lpad(q3::VARCHAR, 18, '0') ELSE q3::VARCHAR END || '.' || lpad(cents::VARCHAR, 2, '0') AS mean_salary
+FROM third"""
+
 SQL["dataset_labels"] = """SELECT 'small' AS label, least(count(*), 1) AS n FROM orders
 UNION ALL SELECT 'large', count(*) FROM orders"""
 SQL["cf_evaluation_lines"] = f"""SELECT label AS metric, CAST(n AS DOUBLE) AS value FROM ({SQL['cf_error_bands']})

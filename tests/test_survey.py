@@ -1,6 +1,7 @@
 from __future__ import annotations
 
-from decimal import Decimal
+import random
+from decimal import ROUND_HALF_UP, Decimal, localcontext
 
 import pytest
 
@@ -91,3 +92,26 @@ def test_layouts_keep_all_rows(spark):
 def test_one_scan_and_one_exchange_before_the_sort(answers):
     plan = survey.salary_stats(answers)._jdf.queryExecution().toString()
     assert plan.count("Exchange hashpartitioning(country") == 1
+
+
+def test_exact_means_of_any_size(spark):
+    """Equal to decimal arithmetic over the decimal forms that the JVM gives the doubles, whatever their size and sign."""
+    rng = random.Random(4)
+    rows = []
+    for country, powers in (("A", (-3, 12)), ("B", (-300, 300)), ("C", (28, 45)), ("D", (0, 4)), ("E", (17, 24))):
+        for _ in range(rng.randint(3, 40)):
+            rows.append((country, repr(rng.choice([-1, 1, 1, 1]) * rng.random() * 10.0 ** rng.randint(*powers)), "Yearly"))
+    rows += [("F", "1e40", "Yearly"), ("F", "-1e40", "Yearly"), ("F", "0.01", "Yearly"), ("F", "0", "Yearly"), ("G", "-0.005", ""), ("H", "0.005", ""), ("I", "-1", ""), ("I", "1", "")]
+    rows += [("J", "9" * 30, "Monthly"), ("J", "NaN", ""), ("K", "999999999999.995", ""), ("L", "1e308", "")]
+    df = spark.createDataFrame(rows, "country string, salary string, salary_type string").repartition(4)
+    values = {}
+    for country, number in survey._yearly(df).selectExpr("country", "CAST(yearly AS STRING)").collect():
+        values.setdefault(country, []).append(Decimal(number))
+    with localcontext(prec=700):
+        expected = {c: (len(v), format((sum(v) / len(v)).quantize(Decimal("0.01"), ROUND_HALF_UP), "f")) for c, v in values.items()}
+        expected = {c: (n, "0.00" if text == "-0.00" else text) for c, (n, text) in expected.items()}
+    assert {r["country"]: (r["n"], r["mean_salary"]) for r in survey.exact_means(df).collect()} == expected
+
+
+def test_exact_means_of_nothing(spark):
+    assert survey.exact_means(spark.createDataFrame([("A", "NA", "")], "country string, salary string, salary_type string")).count() == 0
