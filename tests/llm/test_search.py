@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -13,18 +14,24 @@ from oreflow.llm import topk
 SCHEMA = "vec_id long, embedding array<float>, label string"
 
 
+LEAST, MOST = -(2**63), 2**63 - 1
+
+
 def brute(rows, k):
-    usable = sorted({(i, tuple(math.floor(64 * float(np.float32(x))) for x in v)) for i, v, *_ in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)})
-    found = set()
-    for i, q in usable:
+    """One list per query row; rows are told apart, scores end where longs do."""
+    usable = [(i, v) for i, v, *_ in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    usable = [(i, [math.floor(64 * float(np.float32(x))) for x in v]) for i, v in usable if all(abs(64 * float(np.float32(x))) < 2.0**62 for x in v)]
+    found = Counter()
+    for n, (i, q) in enumerate(usable):
         if i % 20 == 0:
-            near = sorted((-sum(a * b for a, b in zip(q, v, strict=True)), j) for j, v in usable if j != i and len(v) == len(q))[:k]
-            found |= {(i, rank, j, -score) for rank, (score, j) in enumerate(near, 1)}
+            others = [(j, v) for m, (j, v) in enumerate(usable) if m != n and len(v) == len(q)]
+            near = sorted((-min(max(sum(a * b for a, b in zip(q, v, strict=True)), LEAST), MOST), j) for j, v in others)[:k]
+            found.update((i, rank, j, -score) for rank, (score, j) in enumerate(near, 1))
     return found
 
 
 def rows_of(frame):
-    return {tuple(row) for row in frame.collect()}
+    return Counter(tuple(row) for row in frame.collect())
 
 
 @pytest.mark.parametrize(("shard", "strip", "block", "fan_in"), [(16384, 1024, 2048, 16), (40, 16, 3, 2)])
@@ -40,8 +47,14 @@ def test_brute_force(spark, monkeypatch, shard, strip, block, fan_in):
 
 
 def test_products_beyond_doubles(spark):
-    rows = [(0, [1e8, 1.0], None), (1, [1e8, 2.0], None), (2, [1e8, 3.0], None), (20, [-1e8, 5.0], None)]
-    assert rows_of(topk.search(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 20 == 0, k=2)) == brute(rows, 2)
+    rows = [(0, [1e8, 1.0], None), (1, [1e8, 2.0], None), (2, [1e8, 3.0], None), (20, [-1e8, 5.0], None), (40, [3e7, 7.0], None), (3, [3e7, 9.0], None)]
+    assert rows_of(topk.search(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 20 == 0, k=3)) == brute(rows, 3)
+
+
+def test_components_out_of_range(spark):
+    rows = [(0, [1.0, 1.0], None), (1, [1e30, 2.0], None), (2, [-1e30, 3.0], None), (20, [1e30, 5.0], None), (3, [7e16, 0.0], None), (4, [8e16, 0.0], None)]
+    got = rows_of(topk.search(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 20 == 0, k=5))
+    assert got == brute(rows, 5) and {vec_id for _, _, vec_id, _ in got} == {3}
 
 
 def test_empty(spark):
