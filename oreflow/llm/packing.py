@@ -14,7 +14,6 @@ own, repeated or not, with or without an id. An empty table gives an empty resul
 from __future__ import annotations
 
 import re
-import sys
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,8 +27,8 @@ from oreflow.llm.common import bounded_batches, documents_only
 from oreflow.session import materialise
 
 WINDOW, CLOSING = 4096, 2
-# Distinct words that a Python worker remembers before it starts afresh, and the longest of them.
-REMEMBERED, SHORT = 450_000, 64
+# Bytes of words that a Python worker remembers before it starts afresh, about, and the longest of them in characters.
+REMEMBERED, SHORT, ENTRY = 64 << 20, 64, 160
 # Rows of one length that one task numbers, on average.
 NUMBERED = 20_000
 # Most lengths of a combination.
@@ -43,6 +42,9 @@ TOGETHER = 1 << 20
 
 NAMES, KINDS = ("row", "doc_id", "n_tokens", "crcs", "ids"), (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
 TOKENS = "row long, doc_id long, n_tokens long, crcs array<long>, ids binary"
+# Words and their ids, by tokenizer. Python workers run one task after another; what one task has learnt stays for the next.
+_WORDS: dict[int, dict[str, bytes]] = {}
+
 PIECES = "row long, doc_id long, doc_tokens long, start long, length long, sequence_id long, offset long"
 
 
@@ -66,9 +68,8 @@ class WordTokenizer:
         if suffix:
             self.closes = np.zeros(max(vocabulary.values()) + 1 + len(special), dtype=bool)
             self.closes[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
-        # Python workers run one task after another; what one task has learnt stays for the next.
-        memory = sys.modules["tokenizers"].__dict__.setdefault("remembered_words", {})
-        self.known = memory.setdefault(hash(json), {})
+        self.known = _WORDS.setdefault(hash(json), {})
+        self.size = sum(len(word) + len(ids) + ENTRY for word, ids in self.known.items())
 
     def _learn(self, words: list[str], latin: bool) -> None:
         """Remembers the ids of ``words``.
@@ -123,8 +124,10 @@ class WordTokenizer:
         """The ids of each text. Words that are new in any of the texts are tokenised together."""
         kinds = [not NOT_LATIN.search(text) for text in texts]
         lists = [text.split() if latin else WORD.findall(text) for text, latin in zip(texts, kinds, strict=True)]
-        if len(self.known) > REMEMBERED:
+        if self.size > REMEMBERED:
             self.known.clear()
+            self.size = 0
+        before = len(self.known)
         known, own = self.known, {}
         for latin in (True, False):
             new: set[str] = set()
@@ -135,12 +138,14 @@ class WordTokenizer:
             apart = {word for word in new if len(word) > SHORT or "<|" in word}
             own.update((word, self.whole(word)) for word in apart)
             self._learn(list(new - apart), latin)
+        # Words of up to ``SHORT`` characters; their ids take no more than four bytes for each of theirs.
+        self.size += (len(known) - before) * (ENTRY + SHORT // 2)
         if own:
             return [b"".join([own[word] if word in own else known[word] for word in words]) for words in lists]
         return [b"".join([known[word] for word in words]) for words in lists]
 
 
-def _tokenise(tokenizer_json, window: int, closing: int):
+def _tokenise(tokenizer_json, window: int, closing: int, narrow: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -150,7 +155,10 @@ def _tokenise(tokenizer_json, window: int, closing: int):
             for doc_ids, texts in _together(batch):
                 encoded = [ids + end for ids in tokenizer.encode(texts)]
                 crcs = [[zlib.crc32(ids[at : at + 4 * window]) for at in range(0, len(ids), 4 * window)] for ids in encoded]
-                columns = (range(row, row + len(encoded)), doc_ids, [len(ids) // 4 for ids in encoded], crcs, encoded)
+                sizes = [len(ids) // 4 for ids in encoded]
+                if narrow:
+                    encoded = [np.frombuffer(ids, "<u4").astype("<u2").tobytes() for ids in encoded]
+                columns = (range(row, row + len(encoded)), doc_ids, sizes, crcs, encoded)
                 yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(columns, KINDS, strict=True)], NAMES)
                 row += len(encoded)
 
@@ -172,15 +180,20 @@ def _together(batch: pa.RecordBatch) -> Iterator[tuple[list, list[str]]]:
 
 
 def tokenise(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, closing: int = CLOSING) -> DataFrame:
-    """(row, doc_id, n_tokens, crcs, ids): every row's ids and the closing id, as little-endian 32-bit numbers.
+    """(row, doc_id, n_tokens, crcs, ids): every row's ids and the closing id, as little-endian numbers.
 
-    ``row`` numbers the rows, ``crcs`` has the checksum of the ids of each window. Written once,
-    as the numbers must not change when a task runs again.
+    Ids take two bytes if none of the vocabulary needs more, else four. ``row`` numbers the rows, ``crcs``
+    has the checksum of the ids of each window, as 32-bit numbers. Written once, as the numbers must not
+    change when a task runs again.
     """
+    from tokenizers import Tokenizer
+
     bounded_batches(docs.sparkSession)
     with open(tokenizer_path, encoding="utf-8") as file:
-        json = docs.sparkSession.sparkContext.broadcast(file.read())
-    return materialise(documents_only(docs).mapInArrow(_tokenise(json, window, closing), TOKENS), "tokens")
+        text = file.read()
+    narrow = max(closing, *Tokenizer.from_str(text).get_vocab().values()) < 1 << 16
+    json = docs.sparkSession.sparkContext.broadcast(text)
+    return materialise(documents_only(docs).mapInArrow(_tokenise(json, window, closing, narrow), TOKENS), "tokens")
 
 
 def combinations(histogram: dict[int, int], window: int, depth: int = DEPTH) -> list[tuple[int, ...]]:
@@ -398,17 +411,36 @@ def with_checksums(pieces: DataFrame, tokens: DataFrame, window: int = WINDOW) -
     known = stored.where(plain).join(tokens.select("row", "crcs"), "row").select(
         *stored.columns, F.get("crcs", (F.col("start") / window).cast("int")).alias("ids_crc32")
     )
-    cut = stored.where(~plain).join(tokens.select("row", "ids"), "row").select(
-        *stored.columns, F.crc32(F.substring("ids", (4 * F.col("start") + 1).cast("int"), (4 * F.col("length")).cast("int"))).alias("ids_crc32")
-    )
+    cut = _own_ids(stored.where(~plain), tokens).mapInArrow(_checked, f"{PIECES}, ids_crc32 long")
     return known.unionByName(cut)
 
 
+def _own_ids(pieces: DataFrame, tokens: DataFrame) -> DataFrame:
+    """``pieces`` with their own part of the stored ids."""
+    width = F.octet_length("ids") / F.col("doc_tokens")
+    own = F.substring("ids", (width * F.col("start") + 1).cast("int"), (width * F.col("length")).cast("int"))
+    return pieces.join(tokens.select("row", "ids"), "row").select(*pieces.columns, own.alias("ids"))
+
+
+def _wide(batch: pa.RecordBatch) -> list[bytes]:
+    """The ids of each piece as 32-bit numbers."""
+    sizes = batch.column("length").to_pylist()
+    return [ids if len(ids) == 4 * n else np.frombuffer(ids, "<u2").astype("<u4").tobytes() for ids, n in zip(batch.column("ids").to_pylist(), sizes, strict=True)]
+
+
+def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield batch.drop_columns(["ids"]).append_column("ids_crc32", pa.array([zlib.crc32(ids) for ids in _wide(batch)], pa.int64()))
+
+
+def _widened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield batch.drop_columns(["ids"]).append_column("ids", pa.array(_wide(batch), pa.binary()))
+
+
 def with_ids(pieces: DataFrame, tokens: DataFrame) -> DataFrame:
     """Adds ``ids``, the ids of every piece as little-endian 32-bit numbers."""
-    return pieces.join(tokens.select("row", "ids"), "row").withColumn(
-        "ids", F.substring("ids", (4 * F.col("start") + 1).cast("int"), (4 * F.col("length")).cast("int"))
-    )
+    return _own_ids(pieces, tokens).mapInArrow(_widened, f"{PIECES}, ids binary")
 
 
 def digest(docs: DataFrame, tokenizer_path: str, window: int = WINDOW) -> DataFrame:

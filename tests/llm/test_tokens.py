@@ -130,9 +130,24 @@ def test_packing_digest(odd, clashing, nothing):
     lengths = {row["row"]: row["n_tokens"] for row in tokens.select("row", "n_tokens").collect()}
     assert len(lengths) == odd.count()
     assert check_pieces(pieces.collect(), lengths, 4096) == 0
-    ids = {row["row"]: bytes(row["ids"]) for row in tokens.collect()}
+    ids = {row["row"]: np.frombuffer(row["ids"], "<u2").astype("<u4").tobytes() for row in tokens.collect()}
     expected = sorted(np.array([*whole.encode(row["text"] or "", add_special_tokens=False).ids, 2], "<u4").tobytes() for row in odd.collect())
     assert sorted(ids.values()) == expected
     for row in packing.with_checksums(pieces, tokens).collect():
         assert row["ids_crc32"] == zlib.crc32(ids[row["row"]][4 * row["start"] : 4 * (row["start"] + row["length"])])
+    for row in packing.with_ids(pieces, tokens).collect():
+        assert row["ids"] == ids[row["row"]][4 * row["start"] : 4 * (row["start"] + row["length"])]
     assert packing.digest(nothing, WORDS).count() == 0
+
+
+def test_words_are_remembered_within_bounds(monkeypatch):
+    """However many words a process sees, it keeps few, and ids stay those of the library."""
+    monkeypatch.setattr(packing, "REMEMBERED", 50_000)
+    with open(WORDS, encoding="utf-8") as file:
+        tokenizer = packing.WordTokenizer(file.read())
+    whole = Tokenizer.from_file(WORDS)
+    for part in range(20):
+        text = " ".join(f"word{part}x{i}, Über{i} 中文{part}" for i in range(200))
+        (ids,) = tokenizer.encode([text])
+        assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+        assert sum(len(w) + len(x) + packing.ENTRY for w, x in tokenizer.known.items()) < 50_000 + 2000 * 200
