@@ -19,7 +19,7 @@ def test_sql(spark, name):
 
 def test_every_operator_is_registered():
     names = contract.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in names if name.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in names if name.startswith("op")}
     assert "pipeline" in names
 
 
