@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window
@@ -40,6 +41,7 @@ def user_statistics(pairs: DataFrame, heavy_over: int = HEAVY_OVER) -> DataFrame
         F.sum("n").alias("ratings"),
         F.count("*").alias("items"),
         (F.sum("n") > heavy_over).alias("heavy"),
+        F.max(F.abs("rating")).alias("highest"),
     )
 
 
@@ -55,7 +57,7 @@ class RatingTables:
     """
 
     def __init__(self, train: DataFrame, heavy_over: int = HEAVY_OVER):
-        self._train, self._heavy_over = train, heavy_over
+        self._train, self.heavy_over = train, heavy_over
 
     @cached_property
     def pairs(self) -> DataFrame:
@@ -63,7 +65,7 @@ class RatingTables:
 
     @cached_property
     def users(self) -> DataFrame:
-        return materialise(user_statistics(self.pairs, self._heavy_over), "users")
+        return materialise(user_statistics(self.pairs, self.heavy_over), "users")
 
     @cached_property
     def items(self) -> DataFrame:
@@ -79,6 +81,51 @@ def rating_tables(train: DataFrame, heavy_over: int = HEAVY_OVER) -> RatingTable
     return RatingTables(train, heavy_over)
 
 
+def within_reach(tables: RatingTables, overlap_over: int, cosine_over: float) -> DataFrame:
+    """The heavy users that can be similar enough to a light one at all.
+
+    A light user has at most ``heavy_over`` items, so the product of both is at most the light norm times the
+    heavy user's highest rating times the root of that number. What is left of the cosine must pass the bound,
+    which no user with very many ratings can do: those are not indexed.
+    """
+    heavy = tables.users.filter(F.col("heavy") & (F.col("items") > overlap_over))
+    if cosine_over <= 0:
+        return heavy
+    # A little more than the bound, for rounding.
+    reach = F.col("highest") * (math.sqrt(tables.heavy_over) / cosine_over * (1 + 1e-9))
+    return heavy.filter(F.col("norm") <= reach)
+
+
+def candidate_pairs(
+    tables: RatingTables, light: DataFrame, heavy: DataFrame, overlap_over: int, min_hot_rows: int = MIN_ROWS
+) -> DataFrame:
+    """(user, neighbour) of a light and a heavy user that may share more than ``overlap_over`` items.
+
+    Items stand in one order, rarer ones first. Each user, on either side, leaves out its last
+    ``overlap_over + 1 - h`` items. Of a pair's shared items those left out by the one or the other all
+    lie among the last ones of whichever leaves out more of them, so at least ``h`` of ``overlap_over + 1`` are
+    met in the index. The items everybody rated pair nobody.
+    """
+    hits = min(PROBE_HITS, overlap_over + 1)
+    ranked = tables.pairs.select("user", "item").join(tables.items.select("item", "raters"), "item")
+    # Light users have few items; heavy ones within reach have a norm that bounds their number, too.
+    last_first = Window.partitionBy("user").orderBy(F.desc("raters"), F.desc("item"))
+
+    def kept(users: DataFrame) -> DataFrame:
+        own = ranked.join(users, "user", "left_semi").withColumn("from_last", F.row_number().over(last_first))
+        return own.filter(F.col("from_last") > overlap_over + 1 - hits).select("user", "item")
+
+    index = kept(heavy).select(F.col("user").alias("neighbour"), "item")
+    hot = hot_keys(tables.items, "item", "raters", min_hot_rows)
+    return (
+        salted_join(index, kept(light), "item", hot)
+        .groupBy("user", "neighbour")
+        .agg(F.count("*").alias("hits"))
+        .filter(F.col("hits") >= hits)
+        .select("user", "neighbour")
+    )
+
+
 def neighbour_weights(
     tables: RatingTables,
     active: DataFrame | None = None,
@@ -89,43 +136,21 @@ def neighbour_weights(
 ) -> DataFrame:
     """Similar heavy users of every light user (or of those in ``active``).
 
-    A pair has to share ``overlap_over + 1`` items. Leave out any ``overlap_over + 1 - h``
-    items of the light user, and it still shares ``h`` of the others. So the light user's
-    most popular items are left out of the look-up of candidates: the items everybody
-    rated pair nobody. Candidates with ``h`` hits are then compared over all their items.
+    Candidates come from :func:`candidate_pairs` and are compared over all their items.
     """
     if centering not in ("sum", "mean"):
         raise ValueError("centering must be 'sum' or 'mean'")
-    hits = min(PROBE_HITS, overlap_over + 1)
     light = tables.users.filter(~F.col("heavy") & (F.col("items") > overlap_over)).select("user")
     if active is not None:
         light = light.join(active.select("user"), "user", "left_semi")
-    heavy = tables.users.filter("heavy").select("user")
+    heavy = within_reach(tables, overlap_over, cosine_over).select("user")
     ratings = tables.pairs.select("user", "item", "rating")
-
+    candidates = candidate_pairs(tables, light, heavy, overlap_over, min_hot_rows)
     mine = ratings.join(light, "user", "left_semi")
     others = ratings.join(heavy, "user", "left_semi").select(
         F.col("user").alias("neighbour"), "item", F.col("rating").alias("other_rating")
     )
 
-    # A light user has few rows by definition, so this window never sees a large group.
-    per_user = Window.partitionBy("user")
-    probes = (
-        mine.join(tables.items.select("item", "raters"), "item")
-        .withColumn("rarity", F.row_number().over(per_user.orderBy("raters", "item")))
-        .withColumn("size", F.count("*").over(per_user))
-        .filter(F.col("rarity") <= F.col("size") - (overlap_over + 1 - hits))
-        .select("user", "item")
-    )
-    hot = hot_keys(tables.items, "item", "raters", min_hot_rows)
-    candidates = (
-        salted_join(others.select("neighbour", "item"), probes, "item", hot)
-        .groupBy("user", "neighbour")
-        .agg(F.count("*").alias("hits"))
-        .filter(F.col("hits") >= hits)
-        .select("user", "neighbour")
-    )
-
     n, a, b = F.col("n"), F.col("sum_a"), F.col("sum_b")
     compared = (
         candidates.join(mine, "user")

@@ -153,10 +153,10 @@ def partition_timing(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def dataset_labels(spark: SparkSession, folder: str) -> DataFrame:
-    """The label of the orders in one partition and dealt over four, with their numbers."""
+    """The label of all orders in one partition and dealt over four, with their numbers."""
     orders = views.table(spark, folder, "orders").select("o_orderkey")
     rows = [
-        (layout.dataset_label(placed), placed.count()) for placed in (orders.coalesce(1).limit(1), orders.repartition(4))
+        (layout.dataset_label(placed), placed.count()) for placed in (orders.coalesce(1), orders.repartition(4))
     ]
     return spark.createDataFrame(rows, "label string, n bigint")
 
@@ -686,18 +686,20 @@ def bloom_batch_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The events as ``STREAM_FILES`` files by id, written one after the other, one to a batch.
+    """The events in ``STREAM_FILES`` parts by id, written one after the other, one to a batch.
 
-    Ids have nineteen digits, as those of a message service do; their order is the events'.
+    Each part is as many files as there are cores. Events without an id, or with a negative one, are in the
+    first. Ids have nineteen digits, as those of a message service do; their order is the events'.
     """
     events = views.table(spark, folder, "events")
     last = events.agg(F.max("event_id")).first()[0] or 0
     path = scratch_path(spark, "event-files")
-    part = F.floor(F.col("event_id") * STREAM_FILES / (last + 1))
+    part = F.coalesce(F.greatest(F.floor(F.col("event_id") * STREAM_FILES / (last + 1)), F.lit(0)), F.lit(0))
+    files_of_part = spark.sparkContext.defaultParallelism
     for i in range(STREAM_FILES):
         rows = events.where(part == i).withColumn("event_id", F.col("event_id") + LARGE_ID)
-        rows.coalesce(1).write.mode("append").parquet(path)
-    stream = files.stream_messages(spark, path, "parquet", events.schema, files_per_batch=1)
+        rows.repartition(files_of_part).write.mode("append").parquet(path)
+    stream = files.stream_messages(spark, path, "parquet", events.schema, files_per_batch=files_of_part)
     return views.messages(stream)
 
 

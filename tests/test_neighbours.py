@@ -210,3 +210,34 @@ def test_tables_are_written_when_asked_for(spark):
     assert not {"pairs", "users", "items"} & set(vars(tables))
     tables.items.count()
     assert {"pairs", "users", "items"} & set(vars(tables)) == {"pairs", "items"}
+
+
+def test_fewer_candidates_than_leaving_out_on_one_side(spark):
+    """The index leaves out popular items of both sides and users that no light user can resemble, and loses no pair."""
+    train, _ = dataset(5, hot=True)
+    train += [("giant", f"i{i}", 1.0) for i in range(30)] + [("giant", f"g{i}", 1.0) for i in range(500)]
+    df = spark.createDataFrame(train, "user string, item string, rating double")
+    tables = neighbours.rating_tables(df, heavy_over=12)
+    overlap, cosine = 5, 0.5
+    users = {r["user"]: r for r in tables.users.collect()}
+    light = tables.users.filter(f"NOT heavy AND items > {overlap}").select("user")
+    reached = neighbours.within_reach(tables, overlap, cosine).select("user")
+    assert users["giant"]["heavy"] and "giant" not in {r["user"] for r in reached.collect()}
+    both = {tuple(r) for r in neighbours.candidate_pairs(tables, light, reached, overlap).select("user", "neighbour").collect()}
+
+    # The look-up that leaves items out of the light users only.
+    items = {r["item"]: r["raters"] for r in tables.items.collect()}
+    held = {}
+    for u, i, _ in train:
+        held.setdefault(u, set()).add(i)
+    drop = overlap + 1 - neighbours.PROBE_HITS
+    one_side = set()
+    for a in (r["user"] for r in light.collect()):
+        probes = sorted(held[a], key=lambda i: (items[i], i))[: len(held[a]) - drop]
+        one_side |= {(a, b) for b, u in users.items() if u["heavy"] and len(held[b] & set(probes)) >= neighbours.PROBE_HITS}
+    assert both < one_side
+    shared = {(a, b) for a, b in one_side if len(held[a] & held[b]) > overlap and b != "giant"}
+    assert shared <= both
+    expected = {(a, b) for a, found in brute_force(train, [], 12, overlap, cosine)[1].items() for b in found}
+    weights = neighbours.neighbour_weights(tables, overlap_over=overlap, cosine_over=cosine)
+    assert {tuple(r) for r in weights.select("user", "neighbour").collect()} == expected
