@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.recommendation import ALS
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from oreflow.session import materialise, scratch_root
@@ -99,7 +96,7 @@ def fit(
         "numbered",
     )
     if solver == "sums":
-        user_factors, item_factors = _fit_by_sums(numbered, rank, iterations, regularisation, seed)
+        user_factors, item_factors = _fit_by_sums(numbered, items, rank, iterations, regularisation, seed)
         return Factorisation(user_factors, item_factors, users, items)
 
     blocks = blocks or max(FEWEST_BLOCKS, numbered.count() // BLOCK_RATINGS)
@@ -124,20 +121,22 @@ def fit(
     return Factorisation(factors(model.userFactors, "user"), factors(model.itemFactors, "item"), users, items)
 
 
+def hashed_start(key: Column, place: int, seed: int) -> Column:
+    """A number from 0.1 to 1.1 for an id and a place of its factor, which any engine with md5 repeats."""
+    digest = F.md5(F.concat(F.lit(f"{seed}-{place}-"), key.cast("string")).cast("binary"))
+    return F.conv(F.left(digest, F.lit(8)), 16, 10).cast("double") / float(1 << 32) + 0.1
+
+
 def _fit_by_sums(
-    numbered: DataFrame, rank: int, iterations: int, regularisation: float, seed: int
+    numbered: DataFrame, items: DataFrame, rank: int, iterations: int, regularisation: float, seed: int
 ) -> tuple[DataFrame, DataFrame]:
     """Alternating least squares whose normal equations are grouped sums.
 
     Sums are formed per task before the shuffle, so an id may have any number of
     ratings: what meets in one place is one small equation per task and id.
     """
-    start = [
-        (F.pmod(F.xxhash64("item_idx", F.lit(seed), F.lit(i)), F.lit(1 << 20)) / float(1 << 20) + 0.1)
-        for i in range(rank)
-    ]
-    item_factors = numbered.select("item_idx").distinct().select("item_idx", F.array(*start).alias("item_factor"))
-    item_factors = materialise(item_factors, "item-factors")
+    start = F.array(*(hashed_start(F.col("item"), i, seed) for i in range(rank)))
+    item_factors = materialise(items.select("item_idx", start.alias("item_factor")), "item-factors")
     user_factors = None
     for _ in range(iterations):
         user_factors = _solve(numbered, item_factors, "item", "user", rank, regularisation)
@@ -146,27 +145,28 @@ def _fit_by_sums(
 
 
 def _solve(ratings: DataFrame, fixed: DataFrame, known: str, wanted: str, rank: int, regularisation: float) -> DataFrame:
-    """The best factors of one side for given factors of the other."""
+    """The best factors of one side for given factors of the other.
+
+    The lower triangle of each id's normal equations is summed; elimination and back substitution are
+    column expressions, one step per place of the factor.
+    """
     f = [F.col(f"{known}_factor")[i] for i in range(rank)]
     r = F.col("rating").cast("double")
-    products = [F.sum(f[i] * f[j]).alias(f"a{i}_{j}") for i in range(rank) for j in range(i + 1)]
+    more = regularisation * F.count("*")
+    products = [(F.sum(f[i] * f[j]) + (more if i == j else 0.0)).alias(f"a{i}_{j}") for i in range(rank) for j in range(i + 1)]
     targets = [F.sum(r * f[i]).alias(f"b{i}") for i in range(rank)]
-    sums = (
-        ratings.join(fixed, f"{known}_idx")
-        .groupBy(f"{wanted}_idx")
-        .agg(F.count("*").alias("n"), *products, *targets)
-    )
-
-    def solve(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            left = np.empty((len(frame), rank, rank))
-            for i in range(rank):
-                for j in range(i + 1):
-                    left[:, i, j] = left[:, j, i] = frame[f"a{i}_{j}"]
-                left[:, i, i] += regularisation * frame["n"]
-            right = frame[[f"b{i}" for i in range(rank)]].to_numpy()[:, :, None]
-            found = np.linalg.solve(left, right)[:, :, 0]
-            yield pd.DataFrame({f"{wanted}_idx": frame[f"{wanted}_idx"], f"{wanted}_factor": list(found)})
-
-    solved = sums.mapInPandas(solve, f"{wanted}_idx int, {wanted}_factor array<double>")
-    return materialise(solved, f"{wanted}-factors")
+    solved = ratings.join(fixed, f"{known}_idx").groupBy(f"{wanted}_idx").agg(*products, *targets)
+    for k in range(rank - 1):
+        below = range(k + 1, rank)
+        ratio = {i: F.col(f"a{i}_{k}") / F.col(f"a{k}_{k}") for i in below}
+        solved = solved.withColumns(
+            {f"a{i}_{j}": F.col(f"a{i}_{j}") - ratio[i] * F.col(f"a{j}_{k}") for i in below for j in range(k + 1, i + 1)}
+            | {f"b{i}": F.col(f"b{i}") - ratio[i] * F.col(f"b{k}") for i in below}
+        )
+    for i in reversed(range(rank)):
+        rest = F.col(f"b{i}")
+        for j in range(i + 1, rank):
+            rest = rest - F.col(f"a{j}_{i}") * F.col(f"x{j}")
+        solved = solved.withColumn(f"x{i}", rest / F.col(f"a{i}_{i}"))
+    factor = F.array(*(F.col(f"x{i}") for i in range(rank))).alias(f"{wanted}_factor")
+    return materialise(solved.select(f"{wanted}_idx", factor), f"{wanted}-factors")

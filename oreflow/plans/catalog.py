@@ -322,6 +322,26 @@ def als_error_bands(spark: SparkSession, folder: str) -> DataFrame:
     return evaluation.error_bands(evaluation.with_errors(test, factorisation.fit(train).predict(test)))
 
 
+def _two_rounds(spark: SparkSession, folder: str) -> tuple[factorisation.Factorisation, DataFrame]:
+    train, test = _split(spark, folder)
+    return factorisation.fit(train, iterations=2, solver="sums"), test
+
+
+@query
+def als_by_sums_factors(spark: SparkSession, folder: str) -> DataFrame:
+    """The items' factors after two rounds from the hashed start."""
+    model, _ = _two_rounds(spark, folder)
+    factors = model.items.join(model.item_factors, "item_idx").select("item", *(F.col("item_factor")[i].alias(f"f{i}") for i in range(2)))
+    return factors.select("item", rounded("f0", "f0"), rounded("f1", "f1"))
+
+
+@query
+def als_by_sums_errors(spark: SparkSession, folder: str) -> DataFrame:
+    """The error over the tested pairs after two rounds from the hashed start."""
+    model, test = _two_rounds(spark, folder)
+    return evaluation.rmse(evaluation.with_errors(test, model.predict(test))).select("n", rounded("rmse", "rmse"))
+
+
 @query
 def als_by_sums_rmse(spark: SparkSession, folder: str) -> DataFrame:
     """The solver for ids with very many ratings."""

@@ -433,3 +433,31 @@ SQL["cluster_file"] = SQL["cluster_report"]
 SQL["kmeans_totals"] = "SELECT CAST(8 AS BIGINT) AS clusters, count(*) AS documents, true AS adds_up FROM documents"
 SQL["bisecting_totals"] = SQL["kmeans_totals"]
 SQL["mixture_totals"] = "SELECT CAST(3 AS BIGINT) AS components, CAST(1 AS DOUBLE) AS weight, true AS symmetric"
+
+
+def _als_step(name: str, fixed: str, known: str, wanted: str) -> str:
+    """The factors of one side for those of the other: two equations with two unknowns for each id."""
+    return f"""{name} AS MATERIALIZED (
+  SELECT {wanted}, (b0 * a11 - b1 * a10) / (a00 * a11 - a10 * a10) AS f0, (b1 * a00 - b0 * a10) / (a00 * a11 - a10 * a10) AS f1
+  FROM (
+    SELECT {wanted}, sum(f0 * f0) + 0.28 * count(*) AS a00, sum(f0 * f1) AS a10, sum(f1 * f1) + 0.28 * count(*) AS a11,
+      sum(rating * f0) AS b0, sum(rating * f1) AS b1
+    FROM rated JOIN {fixed} USING ({known}) GROUP BY {wanted}
+  )
+)"""
+
+
+def _als(rounds: int = 2) -> str:
+    starts = ", ".join(
+        f"('0x' || substr(md5('42-{k}-' || i), 1, 8))::BIGINT / 4294967296.0::DOUBLE + 0.1::DOUBLE AS f{k}" for k in range(2)
+    )
+    steps = [f"items0 AS MATERIALIZED (SELECT i, {starts} FROM (SELECT DISTINCT i FROM train))"]
+    for n in range(1, rounds + 1):
+        steps += [_als_step(f"users{n}", f"items{n - 1}", "i", "u"), _als_step(f"items{n}", f"users{n}", "u", "i")]
+    return f"{_RATINGS}, rated AS (SELECT u, i, r::FLOAT::DOUBLE AS rating FROM train), " + ", ".join(steps)
+
+
+SQL["als_by_sums_factors"] = f"WITH {_als()} SELECT i AS item, round(f0, 6) AS f0, round(f1, 6) AS f1 FROM items2"
+SQL["als_by_sums_errors"] = f"""WITH {_als()}
+SELECT count(*) AS n, round(sqrt(avg(pow(t.r - (x.f0 * y.f0 + x.f1 * y.f1), 2))), 6) AS rmse
+FROM test t JOIN users2 x ON x.u = t.u JOIN items2 y ON y.i = t.i"""

@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 import random
 
+import numpy as np
 import pytest
 
 from oreflow.operators import evaluation, factorisation, neighbours
@@ -241,3 +242,20 @@ def test_fewer_candidates_than_leaving_out_on_one_side(spark):
     expected = {(a, b) for a, found in brute_force(train, [], 12, overlap, cosine)[1].items() for b in found}
     weights = neighbours.neighbour_weights(tables, overlap_over=overlap, cosine_over=cosine)
     assert {tuple(r) for r in weights.select("user", "neighbour").collect()} == expected
+
+
+@pytest.mark.parametrize("rank", [1, 2, 4])
+def test_equations_are_solved_in_columns(spark, rank):
+    """A step of the solver by sums gives the regularised least squares of each id, at any rank, without Python workers."""
+    rng = np.random.default_rng(rank)
+    factors = {i: rng.random(rank) + 0.1 for i in range(9)}
+    rows = [(u, int(i), float(rng.integers(1, 6))) for u in range(6) for i in rng.choice(9, rng.integers(1, 9), replace=False)]
+    rows += rows[:3]
+    ratings = spark.createDataFrame(rows, "user_idx int, item_idx int, rating float")
+    fixed = spark.createDataFrame([(i, f.tolist()) for i, f in factors.items()], "item_idx int, item_factor array<double>")
+    found = factorisation._solve(ratings, fixed, "item", "user", rank, 0.28)
+    for row in found.collect():
+        own = [(factors[i], r) for u, i, r in rows if u == row["user_idx"]]
+        left = sum(np.outer(f, f) for f, _ in own) + 0.28 * len(own) * np.eye(rank)
+        assert np.allclose(row["user_factor"], np.linalg.solve(left, sum(f * r for f, r in own)))
+    assert found.count() == 6
