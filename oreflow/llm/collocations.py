@@ -41,7 +41,7 @@ from oreflow.session import materialise
 # What ends a piece, what separates words.
 PIECE_END, WORD_GAP = r"[.,;:!?\x0A-\x0D]+", r"[\x20\x09]+"
 # Words of a shard and pairs of a bucket, about.
-SHARD_WORDS, BUCKET_PAIRS = 1 << 21, 1 << 22
+SHARD_WORDS, BUCKET_PAIRS = 5 << 18, 1 << 21
 # The longest phrases, in words.
 LONGEST = 4
 
