@@ -25,8 +25,8 @@ def _capped(stored: DataFrame, n: int) -> DataFrame:
 
 
 def dataset_label(df: DataFrame) -> str:
-    """``large`` for data in more than one partition; used to name reports."""
-    return "large" if materialise(df, "layout").rdd.getNumPartitions() > 1 else "small"
+    """``large`` for data in more than one partition; used to name reports. Only the plan is made, nothing is written."""
+    return "large" if df.rdd.getNumPartitions() > 1 else "small"
 
 
 def by_key(df: DataFrame, n: int, key: str) -> DataFrame:
