@@ -15,7 +15,7 @@ from collections.abc import Callable
 import numpy as np
 import pandas as pd
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,17 +85,25 @@ def _mine_with_fpgrowth(pruned: DataFrame, support: int) -> DataFrame:
 def extensions(parents: DataFrame | None, ordered: DataFrame) -> DataFrame:
     """(prefix, basket_id, item, place, later): the projected tables of all ``parents`` (prefix, basket_id, last).
 
-    Without parents it is the table itself, as the projection of the empty set.
+    Without parents it is the table itself, as the projection of the empty set, and has no prefix.
     """
     if parents is None:
-        none = F.array().cast(T.ArrayType(ordered.schema["item"].dataType))
-        return ordered.withColumn("prefix", none)
+        return ordered
     return parents.join(ordered, "basket_id").where(F.col("place") > F.col("last")).select("prefix", "basket_id", "item", "place", "later")
 
 
+def _prefix(table: DataFrame) -> list[str]:
+    return [c for c in table.columns if c == "prefix"]
+
+
+def _longer(table: DataFrame) -> Column:
+    """The prefix of a row with its item."""
+    return F.concat("prefix", F.array("item")) if _prefix(table) else F.array("item")
+
+
 def _counted(table: DataFrame, support: int) -> DataFrame:
     """(prefix, item, freq, work) of the frequent extensions; ``work`` is the number of rows of their own tables."""
-    counts = table.groupBy("prefix", "item").agg(F.count("*").alias("freq"), F.sum("later").alias("work"))
+    counts = table.groupBy(*_prefix(table), "item").agg(F.count("*").alias("freq"), F.sum("later").alias("work"))
     return counts.filter(F.col("freq") >= support)
 
 
@@ -104,11 +112,13 @@ def task_tables(table: DataFrame, small: DataFrame, tasks: int) -> DataFrame:
 
     A basket comes once per task and prefix, from its first item there on; ``own`` marks the task's items.
     """
-    task = F.pmod(F.xxhash64("prefix", "item"), F.lit(tasks)).cast("int")
-    dealt = table.join(small.select("prefix", "item", task.alias("task")), ["prefix", "item"])
-    starts = dealt.groupBy("task", "prefix", "basket_id").agg(F.min("place").alias("start"), F.collect_set("place").alias("places"))
-    needed = table.join(starts, ["prefix", "basket_id"]).where(F.col("place") >= F.col("start"))
-    return needed.select("task", "prefix", "basket_id", "item", "place", F.array_contains("places", F.col("place")).alias("own"))
+    prefix = _prefix(table)
+    owner = F.pmod(F.xxhash64(*prefix, "item"), F.lit(tasks)).cast("int")
+    dealt = table.join(small.select(*prefix, "item", owner.alias("owner")), [*prefix, "item"], "left")
+    starts = dealt.where("owner IS NOT NULL").groupBy(F.col("owner").alias("task"), *prefix, "basket_id").agg(F.min("place").alias("start"))
+    needed = dealt.join(starts, [*prefix, "basket_id"]).where(F.col("place") >= F.col("start"))
+    own = F.coalesce(F.col("owner") == F.col("task"), F.lit(False))
+    return needed.select("task", *prefix, "basket_id", "item", "place", own.alias("own"))
 
 
 def _mine_prefixes(ordered: DataFrame, support: int, task_rows: int) -> DataFrame:
@@ -121,7 +131,7 @@ def _mine_prefixes(ordered: DataFrame, support: int, task_rows: int) -> DataFram
         if parents is not None:
             table = materialise(table, "projected")
         counted = materialise(_counted(table, support), "extensions")
-        rows = counted.select(F.concat("prefix", F.array("item")).alias("items"), "freq")
+        rows = counted.select(_longer(counted).alias("items"), "freq")
         found = rows if found is None else found.unionByName(rows)
 
         open_sets = counted.filter("work > 0")
@@ -139,9 +149,9 @@ def _mine_prefixes(ordered: DataFrame, support: int, task_rows: int) -> DataFram
         if not sizes["large"]:
             return found
         parents = materialise(
-            table.join(large.select("prefix", "item"), ["prefix", "item"])
+            table.join(large.select(*_prefix(table), "item"), [*_prefix(table), "item"])
             .filter("later > 0")
-            .select(F.concat("prefix", F.array("item")).alias("prefix"), "basket_id", F.col("place").alias("last")),
+            .select(_longer(table).alias("prefix"), "basket_id", F.col("place").alias("last")),
             "large-prefixes",
         )
 
@@ -185,12 +195,15 @@ def _grow(prefix: list, items: np.ndarray, ends: np.ndarray, allowed: np.ndarray
 
 
 def local_miner(support: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """Frequent itemsets of one task: those that extend a prefix by one of the task's own items and at least one later item."""
+    """Frequent itemsets of one task: those that extend a prefix, if there is any, by one of the task's own items and at least one later item."""
 
     def mine(task: pd.DataFrame) -> pd.DataFrame:
         out: tuple[list, list] = ([], [])
-        task["_prefix"] = [tuple(p) for p in task["prefix"]]
-        for prefix, rows in task.groupby("_prefix", sort=False):
+        if "prefix" in task:
+            parts = task.groupby(pd.Series([tuple(p) for p in task["prefix"]], index=task.index, dtype=object), sort=False)
+        else:
+            parts = [((), task)]
+        for prefix, rows in parts:
             basket, _ = pd.factorize(rows["basket_id"])
             order = np.lexsort((rows["place"].to_numpy(), basket))
             codes, names = pd.factorize(rows["item"])
