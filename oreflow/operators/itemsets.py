@@ -22,8 +22,8 @@ from pyspark.sql import types as T
 from oreflow.functions.text import label_of
 from oreflow.session import materialise
 
-# Rows of projected tables that a task aims for.
-TASK_ROWS = 2_000_000
+# Rows of projected tables that a task aims for, at most and, where more tasks would leave little to each, at least.
+TASK_ROWS, LEAST_ROWS = 2_000_000, 1_000_000
 # A table above this part of a task's rows is split by its next item.
 SPLIT = 16
 
@@ -42,8 +42,8 @@ def frequent_itemsets(rows: DataFrame, support: int, method: str = "prefixes", t
     """(items, size, freq) of all itemsets held by at least ``support`` baskets.
 
     Items inside a set ascend. ``prefixes`` grows sets by prefix-projected tables; ``fpgrowth`` uses the
-    library miner. Both are exact. A task mines about ``task_rows`` rows of projected tables, or less if
-    that leaves cores idle. Neither this nor the number of tasks depends on the support.
+    library miner. Both are exact. A task mines about ``task_rows`` rows of projected tables, or fewer if
+    there are few. Neither this nor the number of tasks depends on the support.
     """
     if support < 1:
         raise ValueError("support must be at least 1")
@@ -136,14 +136,15 @@ def _mine_prefixes(ordered: DataFrame, support: int, task_rows: int) -> DataFram
 
         open_sets = counted.filter("work > 0")
         size = open_sets.agg(F.sum("work")).first()[0] or 0
-        limit = max(1, min(task_rows, -(-size // cores)) // SPLIT)
+        share = min(task_rows, max(-(-size // cores), LEAST_ROWS))
+        limit = max(1, share // SPLIT)
         small, large = open_sets.filter(F.col("work") <= limit), open_sets.filter(F.col("work") > limit)
         sizes = open_sets.agg(
             F.sum(F.when(F.col("work") <= limit, F.col("work"))).alias("small"), F.count_if(F.col("work") > limit).alias("large")
         ).first()
         if sizes["small"]:
             # Half of a task's share on average, so that the sum of those that meet by chance stays near it.
-            tasks = max(1, -(-2 * sizes["small"] // max(limit * SPLIT, 1)))
+            tasks = max(cores, -(-2 * sizes["small"] // share))
             mined = task_tables(table, small, tasks).groupBy("task").applyInPandas(local_miner(support), schema)
             found = found.unionByName(materialise(mined, "mined"))
         if not sizes["large"]:
