@@ -8,7 +8,8 @@ that share a leaf are compared in three steps:
 1. Each item meets the first item of its leaves that its sketch agrees with; the similarity is
    confirmed on the full sets, and the links give components.
 2. Of the other pairs of a leaf, those within one component cannot change the result. The rest are
-   pairs of an item outside the leaf's main component and any item of another component. All
+   pairs of an item outside the leaf's main component and any item of another component. They are
+   met in rounds of more and more items, with components merged in between. All
    those that agree in size, sketch and parity are confirmed on the full sets. The parity of a set
    is the number of its tokens, odd or even, in each of ``PARITY`` buckets: sets differ in at least as
    many tokens as parities, so it rejects no pair that reaches the threshold.
@@ -41,6 +42,7 @@ from oreflow.session import materialise
 TREES, LEVELS, SMALL = 21, (2, 4, 6), 32
 HASHES, AGREE = 128, 90
 PARITY = 1024
+FIRST, TIMES_MORE = 8, 8
 
 _WORD = np.ones(256, dtype=bool)
 _WORD[[9, 10, 11, 12, 13, 32]] = False
@@ -169,14 +171,14 @@ def leaves(items: DataFrame) -> DataFrame:
     return kept
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold."""
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int, *more: str) -> DataFrame:
+    """The pairs (a, b), with the columns ``more``, whose full sets reach the threshold."""
     first, second = sets.select(F.col("item").alias("a"), F.col("set").alias("set_a")), sets.select(F.col("item").alias("b"), F.col("set").alias("set_b"))
     both = F.size(F.array_intersect("set_a", "set_b"))
     return (
         materialise(pairs, "pairs").join(first, "a").join(second, "b")
         .where(100 * both >= percent * (F.size("set_a") + F.size("set_b") - both))
-        .select("a", "b")
+        .select("a", "b", *more)
     )
 
 
@@ -217,20 +219,8 @@ def classes(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     links = materialise(confirmed(stars, sets, percent), "star-links")
     roots = materialise(connected_components(links).select(F.col("node").alias("item"), "root"), "star-roots")
     labelled = materialise(members.join(roots, "item", "left").withColumn("root", F.coalesce("root", "item")), "labelled")
-    counts = labelled.groupBy("node", "root").agg(F.count("*").alias("n_root"))
-    mains = materialise(counts.groupBy("node").agg(F.max(F.struct("n_root", "root"))["root"].alias("main"), F.count("*").alias("n_roots")).where("n_roots > 1"), "mains")
-    parities = items.select("item", *(F.col("parity")[k].alias(f"p{k}") for k in range(PARITY // 64)))
-    mixed = materialise(labelled.join(mains, "node").join(parities, "item"), "mixed")
-    a, b = mixed.where("root <> main").alias("a"), mixed.alias("b")
-    crossing = a.join(b, "node").where(
-        (F.col("a.root") != F.col("b.root"))
-        & ((F.col("b.root") == F.col("b.main")) | (F.col("a.item") < F.col("b.item")))
-        & similar("a", "b", percent)
-        & close_parity("a", "b", percent)
-    )
-    pairs = crossing.select(F.least("a.item", "b.item").alias("a"), F.greatest("a.item", "b.item").alias("b")).distinct()
-    more = confirmed(pairs.join(stars, ["a", "b"], "left_anti"), sets, percent)
-    final = connected_components(links.unionByName(more)).select(F.col("node").alias("item"), "root")
+    merged = _merge_crossing(labelled, items, stars, sets, percent)
+    final = _follow(labelled.select("item", "root").distinct(), merged)
 
     owned = materialise(linked.select("item", "doc_id").distinct().join(final, "item", "left").select("doc_id", "item", F.coalesce("root", "item").alias("root")), "owned")
     lowest = materialise(owned.groupBy("root").agg(F.min("doc_id").alias("component_id")), "lowest")
@@ -243,6 +233,72 @@ def classes(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     )
 
 
+def _follow(rows: DataFrame, merged: DataFrame | None) -> DataFrame:
+    """``rows`` with each root replaced by the one that it has been merged into."""
+    if merged is None:
+        return rows
+    moved = rows.join(merged.select(F.col("node").alias("root"), F.col("root").alias("into")), "root", "left")
+    return moved.withColumn("root", F.coalesce("into", "root")).drop("into")
+
+
+def _merge_crossing(labelled: DataFrame, items: DataFrame, stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+    """(node, root): the components to merge, by links between items of one leaf but different components.
+
+    An item outside its leaf's main component belongs with all items of the main one and with the later
+    ones outside. It meets them in rounds: first about ``FIRST`` of the leaf, drawn by a hash, then
+    ``TIMES_MORE`` times as many. What a round links is merged before the next, and pairs within a component
+    are met no more: an item with many links to the main component finds some of them in an early
+    round, and only items without any are compared with all.
+    """
+    counts = labelled.groupBy("node", "root").agg(F.count("*").alias("n_root"))
+    mains = materialise(
+        counts.groupBy("node").agg(F.max(F.struct("n_root", "root"))["root"].alias("main"), F.count("*").alias("n_roots"), F.sum("n_root").alias("size")).where("n_roots > 1"),
+        "mains",
+    )
+    largest = mains.agg(F.max("size")).first()[0]
+    if largest is None:
+        return None
+    rounds = _rounds(largest)
+    parities = items.select("item", *(F.col("parity")[k].alias(f"p{k}") for k in range(PARITY // 64)))
+    draw = F.pmod(F.xxhash64("item", "node"), F.lit(1 << 30)) / (1 << 30) * F.col("size")
+    later = sum(((draw >= FIRST * TIMES_MORE**r).cast("int") for r in range(rounds - 1)), F.lit(0))
+    mixed = materialise(
+        labelled.join(mains, "node").join(parities, "item").withColumn("outside", F.col("root") != F.col("main")).withColumn("round", later).drop("main", "n_roots", "size"),
+        "mixed",
+    )
+    merged, links = None, None
+    for r in range(rounds):
+        a = _follow(mixed.where("outside"), merged).alias("a")
+        b = _follow(mixed.where(F.col("round") == r), merged).alias("b")
+        crossing = a.join(b, "node").where(
+            (F.col("a.root") != F.col("b.root"))
+            & (~F.col("b.outside") | (F.col("a.item") < F.col("b.item")))
+            & similar("a", "b", percent)
+            & close_parity("a", "b", percent)
+        )
+        ordered = F.col("a.item") < F.col("b.item")
+        pairs = crossing.select(
+            F.least("a.item", "b.item").alias("a"),
+            F.greatest("a.item", "b.item").alias("b"),
+            F.when(ordered, F.col("a.root")).otherwise(F.col("b.root")).alias("root_a"),
+            F.when(ordered, F.col("b.root")).otherwise(F.col("a.root")).alias("root_b"),
+        ).distinct()
+        found = confirmed(pairs.join(stars, ["a", "b"], "left_anti"), sets, percent, "root_a", "root_b")
+        new = materialise(found.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).distinct(), "crossing-links")
+        if not new.isEmpty():
+            links = new if links is None else links.unionByName(new)
+            merged = materialise(connected_components(links), "merged")
+    return merged
+
+
+def _rounds(largest: int) -> int:
+    """The number of rounds after which all items of a leaf of ``largest`` have been met."""
+    rounds = 1
+    while FIRST * TIMES_MORE ** (rounds - 1) < largest:
+        rounds += 1
+    return rounds
+
+
 def _close_items(members: DataFrame, percent: int) -> DataFrame:
     """The items that are worth a look at their full sets.
 
