@@ -186,6 +186,33 @@ def test_near_many_copies(spark, monkeypatch):
     assert by_id(chosen_path.digest(frame)) == near(docs, 2)
 
 
+def test_near_unlinked_group(spark, monkeypatch):
+    """Many near copies around the threshold: few have a link to the leaf's first item, later rounds find the rest."""
+    rng = random.Random(6)
+    base = [f"w{k}" for k in range(150)]
+    docs = {}
+    for i in range(700):
+        words = list(base)
+        for at in rng.sample(range(150), rng.choice((4, 5, 6, 7, 9))):
+            words[at] = f"n{i}x{at}"
+        docs[i] = " ".join(words)
+    compared, real = [], chosen_path.materialise
+
+    def counted(frame, name):
+        out = real(frame, name)
+        if name == "pairs":
+            compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(chosen_path, "materialise", counted)
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(3)
+    want = near(docs, 2)
+    assert 2 <= len({row[1] for row in want.values()}) < 700
+    assert by_id(chosen_path.digest(frame)) == want
+    # All pairs of the group would be 245,000.
+    assert len(compared) > 3 and sum(compared) < 20_000
+
+
 def test_near_odd(odd, clashing, nothing):
     assert chosen_path.digest(nothing).count() == 0
     rows = chosen_path.digest(odd).collect()
