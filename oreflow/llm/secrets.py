@@ -9,7 +9,8 @@ at most ``LABELLED`` distinct candidates per class of these documents that a rul
 or none; what no rule proves is not trained on. Both classes weigh the same, so that their numbers
 in a large corpus do not decide.
 
-A null or empty text has no candidates. Rows are scanned each by itself; rows that repeat an id and
+A candidate is described as a whole, of any length. A null or empty text has no candidates; a key header
+without a closing line before the next header is none. Rows are scanned each by itself; rows that repeat an id and
 a text get equal results; null ids are ids like any other. If all labels are of one class there is
 nothing to learn, and the labels' rules decide. An empty table gives an empty result.
 
@@ -37,7 +38,8 @@ NAMES = "password|passwd|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|
 RUN = r"A-Za-z0-9+/_\-"
 CANDIDATE = "|".join(
     [
-        r"-----BEGIN [A-Z ]*PRIVATE KEY-----[\s\S]*?-----END [A-Z ]*PRIVATE KEY-----",
+        # A key block ends before the next header, so that headers without an end are not scanned again and again.
+        r"-----BEGIN [A-Z ]*PRIVATE KEY-----[^-]*+(?:-(?!----(?:BEGIN|END) )[^-]*+)*+-----END [A-Z ]*PRIVATE KEY-----",
         # What is assigned, after a name. The short look back comes first: it fails at once in ordinary text.
         rf"(?<=[=:][ \t]{{0,3}}[\"']{{0,1}})(?<=(?i:{NAMES.replace('?', '{0,1}')})[\"']{{0,1}}[ \t]{{0,3}}[=:][ \t]{{0,3}}[\"']{{0,1}})[^\s\"'=:]{{6,}}",
         r"(?<=:)(?<=://[^\s:/@]{1,64}:)[^\s@/]{4,}(?=@)",
@@ -130,14 +132,14 @@ def _share(value: Column, characters: str) -> Column:
 def features(found: DataFrame, common: bytes) -> DataFrame:
     """``found`` with one column per feature; ``common`` is a dictionary of letter triples."""
     value, before, after = F.col("value"), F.col("before"), F.col("after")
-    short = F.lower(F.left(value, F.lit(4096)))
-    places = F.when(F.length(short) > 2, F.sequence(F.lit(1), F.length(short) - 2)).otherwise(F.array().cast("array<int>"))
-
-    def letter(i: Column) -> Column:
-        return F.ascii(F.substr(short, i, F.lit(1))) - 97
+    # The letters' places in the alphabet, once per candidate and not once per triple.
+    found_columns = found.columns
+    found = found.withColumn("letters", F.transform(F.split(F.lower(value), ""), lambda c: F.ascii(c) - 97))
+    n_triples = F.greatest(F.size("letters") - 2, F.lit(0))
+    places = F.when(n_triples > 0, F.sequence(F.lit(0), n_triples - 1)).otherwise(F.array().cast("array<int>"))
 
     def in_dictionary(i: Column) -> Column:
-        letters = [letter(i + k) for k in range(3)]
+        letters = [F.get("letters", i + k) for k in range(3)]
         at = (letters[0] * 26 + letters[1]) * 26 + letters[2]
         return F.when(
             letters[0].between(0, 25) & letters[1].between(0, 25) & letters[2].between(0, 25),
@@ -146,9 +148,9 @@ def features(found: DataFrame, common: bytes) -> DataFrame:
 
     known = F.filter(places, in_dictionary)
     before_word = F.lower(F.regexp_extract(before, r"(\p{L}+)\P{L}*$", 1))
-    return found.withColumns(
+    described = found.withColumns(
         {
-            "f_length": F.least(F.length(value), F.lit(256)).cast("double"),
+            "f_length": F.length(value).cast("double"),
             "f_digits": _share(value, "[0-9]"),
             "f_upper": _share(value, "[A-Z]"),
             "f_lower": _share(value, "[a-z]"),
@@ -157,8 +159,8 @@ def features(found: DataFrame, common: bytes) -> DataFrame:
             "f_digit_letter": _share(value, "[0-9](?=[A-Za-z])"),
             "f_case": _share(value, "[a-z](?=[A-Z])|[A-Z](?=[a-z])"),
             "f_repeat": _share(value, r"(.)(?=\1)"),
-            "f_distinct": F.size(F.array_distinct(F.split(short, ""))) / F.greatest(F.length(short), F.lit(1)),
-            "f_dictionary": F.size(known) / F.greatest(F.size(places), F.lit(1)),
+            "f_distinct": F.size(F.array_distinct("letters")) / F.greatest(F.size("letters"), F.lit(1)),
+            "f_dictionary": F.size(known) / F.greatest(n_triples, F.lit(1)),
             "f_format": value.rlike(FORMATS).cast("double"),
             "f_placeholder": value.rlike(PLACEHOLDER).cast("double"),
             "f_path": (F.regexp_count(value, F.lit("[/.]")) + F.when(before.rlike(r"[/.\\]$"), 1).otherwise(0)).cast("double"),
@@ -171,6 +173,7 @@ def features(found: DataFrame, common: bytes) -> DataFrame:
             **{f"f_word_{k}": (F.pmod(F.xxhash64(before_word), F.lit(8)) == k).cast("double") for k in range(8)},
         }
     )
+    return described.select(*found_columns, *(c for c in described.columns if c.startswith("f_")))
 
 
 def strict_label() -> Column:
