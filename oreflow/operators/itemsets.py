@@ -2,18 +2,18 @@
 
 Sets are enumerated as a tree: a set's children add one item that comes later in a fixed order, rarer
 items first. What a set needs to grow is its projected table: the baskets that hold it, with their
-items after its last one. A round counts the extensions of all its sets at once by a grouped sum, and
-the number of rows of each extension's own table with them. Small tables are dealt to tasks by the
-hash of their set and mined there to the end; large ones are split again by the next item in another round.
-So no task holds more than its share, however often one item occurs.
+items after its last one. Projected tables travel as one array per basket and set. Small ones are dealt
+to tasks by the hash of their set and mined there to the end. Large ones are cut by the hash of the basket,
+the extensions in each piece are counted and the counts summed; only what is frequent is written
+as the table of the next round. So no task holds more than its share, however often one item occurs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -54,7 +54,7 @@ def frequent_itemsets(rows: DataFrame, support: int, method: str = "prefixes", t
     # Items below the support are in no frequent set.
     pruned = baskets.join(singles, "item")
     if method == "fpgrowth":
-        return _canonical(_mine_with_fpgrowth(pruned.select("basket_id", "item"), support))
+        return _canonical(_mine_with_fpgrowth(_ordered(pruned), singles, support, task_rows))
     return _canonical(_mine_prefixes(_ordered(pruned), support, task_rows))
 
 
@@ -71,25 +71,42 @@ def _canonical(found: DataFrame) -> DataFrame:
     return found.select(items.alias("items"), F.size("items").alias("size"), F.col("freq").cast("bigint").alias("freq"))
 
 
-def _mine_with_fpgrowth(pruned: DataFrame, support: int) -> DataFrame:
-    arrays = materialise(pruned.groupBy("basket_id").agg(F.collect_set("item").alias("items")), "basket-arrays")
+def _mine_with_fpgrowth(ordered: DataFrame, singles: DataFrame, support: int, task_rows: int) -> DataFrame:
+    """The library miner on what is left of the baskets without items that are in no frequent pair."""
+    alone = singles.select(F.array("item").alias("items"), "freq")
+    size = ordered.agg(F.sum("later")).first()[0] or 0
+    every = materialise(_marked(ordered, singles.select("item", F.lit(-1).alias("owner"))), "marked-baskets")
+    pairs = materialise(frequent_extensions(children(every), support, size), "pairs")
+    paired = pairs.select(F.col("prefix")[0].alias("item")).union(pairs.select("item")).distinct()
+    left = ordered.join(paired, "item", "left_semi").groupBy("basket_id").agg(F.collect_list("item").alias("items"))
+    arrays = materialise(left.where(F.size("items") > 1).select("items"), "basket-arrays")
     total = arrays.count()
     if total < support:
-        return arrays.select("items", F.lit(0).alias("freq")).limit(0)
+        return alone
     # Half a basket of margin keeps the fraction from rounding across the threshold.
-    miner = FPGrowth(itemsCol="items", minSupport=(support - 0.5) / total)
-    found = miner.fit(arrays.select("items")).freqItemsets
-    return found.filter(F.col("freq") >= support).select("items", "freq")
+    work = arrays.agg(F.sum(F.size("items") * (F.size("items") - 1) / 2)).first()[0]
+    parts = max(ordered.sparkSession.sparkContext.defaultParallelism, int(work // task_rows))
+    miner = FPGrowth(itemsCol="items", minSupport=(support - 0.5) / total, numPartitions=parts)
+    found = miner.fit(arrays).freqItemsets
+    return alone.unionByName(found.filter((F.col("freq") >= support) & (F.size("items") > 1)).select("items", "freq"))
 
 
-def extensions(parents: DataFrame | None, ordered: DataFrame) -> DataFrame:
-    """(prefix, basket_id, item, place, later): the projected tables of all ``parents`` (prefix, basket_id, last).
+def extensions(parents: DataFrame | None, rows: DataFrame) -> DataFrame:
+    """(prefix, basket_id, item, place, later): the projected tables of all ``parents`` (prefix, basket_id, items).
 
-    Without parents it is the table itself, as the projection of the empty set, and has no prefix.
+    Of their items only the frequent extensions (prefix, item) in ``rows`` stay. Without parents ``rows`` is the table
+    itself, as the projection of the empty set, and has no prefix.
     """
     if parents is None:
-        return ordered
-    return parents.join(ordered, "basket_id").where(F.col("place") > F.col("last")).select("prefix", "basket_id", "item", "place", "later")
+        return rows
+    often = rows.select("prefix", "item")
+    grows = parents.join(often.select("prefix").distinct(), "prefix", "left_semi")
+    each = grows.select("prefix", "basket_id", F.posexplode("items").alias("at", "item")).join(often, ["prefix", "item"])
+    basket = Window.partitionBy("prefix", "basket_id")
+    numbered = each.select(
+        "prefix", "basket_id", "item", F.row_number().over(basket.orderBy("at")).alias("place"), F.count("*").over(basket).alias("n")
+    )
+    return numbered.select("prefix", "basket_id", "item", "place", (F.col("n") - F.col("place")).alias("later"))
 
 
 def _prefix(table: DataFrame) -> list[str]:
@@ -107,54 +124,134 @@ def _counted(table: DataFrame, support: int) -> DataFrame:
     return counts.filter(F.col("freq") >= support)
 
 
-def task_tables(table: DataFrame, small: DataFrame, tasks: int) -> DataFrame:
-    """(task, prefix, basket_id, item, place, own): what each task needs to mine the ``small`` extensions dealt to it.
+def _marked(table: DataFrame, owners: DataFrame) -> DataFrame:
+    """(prefix, basket_id, items, owners) of a table's baskets: the items in order, and the ``owner`` of each (prefix, item), if any.
+
+    A basket's row is short beside its work, which is half the square of its frequent items.
+    """
+    prefix = _prefix(table)
+    each = table.join(owners, [*prefix, "item"], "left")
+    cells = F.sort_array(F.collect_list(F.struct("place", "item", "owner")))
+    packed = each.groupBy(*prefix, "basket_id").agg(cells.alias("cells"))
+    return packed.select(*prefix, "basket_id", F.col("cells.item").alias("items"), F.col("cells.owner").alias("owners"))
 
-    A basket comes once per task and prefix, from its first item there on; ``own`` marks the task's items.
+
+def dealt_tables(marked: DataFrame) -> DataFrame:
+    """(task, prefix, items, own): what each task needs to mine the extensions whose owner, from 0 on, it is.
+
+    A basket comes once per task and prefix, from the task's first item there on; ``own`` marks the task's items.
     """
+    prefix = _prefix(marked)
+    dealt = marked.select(*prefix, "items", "owners", F.explode(F.array_distinct(F.filter("owners", lambda o: o >= 0))).alias("task"))
+    start = F.array_position("owners", F.col("task")).cast("int")
+    count = F.size("items") - start + 1
+    own = F.transform(F.slice("owners", start, count), lambda o: F.coalesce(o == F.col("task"), F.lit(False)))
+    return dealt.select("task", *prefix, F.slice("items", start, count).alias("items"), own.alias("own"))
+
+
+def task_tables(table: DataFrame, small: DataFrame, tasks: int) -> DataFrame:
+    """The ``dealt_tables`` of the ``small`` extensions of a table, dealt by their hash."""
     prefix = _prefix(table)
-    owner = F.pmod(F.xxhash64(*prefix, "item"), F.lit(tasks)).cast("int")
-    dealt = table.join(small.select(*prefix, "item", owner.alias("owner")), [*prefix, "item"], "left")
-    starts = dealt.where("owner IS NOT NULL").groupBy(F.col("owner").alias("task"), *prefix, "basket_id").agg(F.min("place").alias("start"))
-    needed = dealt.join(starts, [*prefix, "basket_id"]).where(F.col("place") >= F.col("start"))
-    own = F.coalesce(F.col("owner") == F.col("task"), F.lit(False))
-    return needed.select("task", *prefix, "basket_id", "item", "place", own.alias("own"))
+    return dealt_tables(_marked(table, small.select(*prefix, "item", _owner(prefix, tasks).alias("owner"))))
+
+
+def _owner(prefix: list[str], tasks: int) -> Column:
+    return F.pmod(F.xxhash64(*prefix, "item"), F.lit(tasks)).cast("int")
+
+
+def children(marked: DataFrame) -> DataFrame:
+    """(prefix, basket_id, piece, items): the projected tables of the extensions with an owner below 0, one row per basket.
+
+    The owner tells into how many pieces a table is cut: -3 means three.
+    """
+    prefix = _prefix(marked)
+    each = marked.select(*prefix, "basket_id", "items", F.posexplode("owners").alias("at", "owner")).where("owner < 0 AND at + 1 < size(items)")
+    item = F.get("items", F.col("at"))
+    longer = F.concat("prefix", F.array(item)) if prefix else F.array(item)
+    piece = F.pmod(F.xxhash64("basket_id"), -F.col("owner")).cast("int")
+    rest = F.slice("items", F.col("at") + 2, F.size("items") - F.col("at") - 1)
+    return each.select(longer.alias("prefix"), "basket_id", piece.alias("piece"), rest.alias("items"))
+
+
+def frequent_extensions(parents: DataFrame, support: int, size: int) -> DataFrame:
+    """(prefix, item, freq) of the frequent extensions of ``parents`` (prefix, basket_id, piece, items), of ``size`` items in all."""
+    parts = max(parents.sparkSession.sparkContext.defaultParallelism, -(-2 * size // TASK_ROWS))
+    schema = T.StructType([parents.schema["prefix"], T.StructField("item", parents.schema["items"].dataType.elementType), T.StructField("n", T.LongType())])
+    pieces = parents.repartition(parts, "prefix", "piece").select("prefix", "items").mapInArrow(_tally_batches, schema)
+    return pieces.groupBy("prefix", "item").agg(F.sum("n").alias("freq")).filter(F.col("freq") >= support)
+
+
+def _tally_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(prefix, item, n) of rows (prefix, items), up to ``TASK_ROWS`` items or a little more at a time."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += len(batch.column("items").flatten())
+        if size > TASK_ROWS:
+            yield _tally(pa.Table.from_batches(held))
+            held, size = [], 0
+    if size:
+        yield _tally(pa.Table.from_batches(held))
+
+
+def _tally(rows: pa.Table) -> pa.RecordBatch:
+    prefixes, kept = _prefix_codes(rows.column("prefix"))
+    lists = rows.column("items").combine_chunks()
+    codes, names = _codes(lists.flatten())
+    cells = np.repeat(prefixes, np.diff(lists.offsets.to_numpy())) * len(names) + codes
+    found, counts = np.unique(cells, return_counts=True)
+    prefix = pa.array(kept, rows.schema.field("prefix").type).take(pa.array(found // len(names)))
+    return pa.RecordBatch.from_arrays([prefix, names.take(pa.array(found % len(names))), pa.array(counts, pa.int64())], ["prefix", "item", "n"])
+
+
+def _prefix_codes(column: pa.ChunkedArray) -> tuple[np.ndarray, list[tuple]]:
+    """A number for each row's prefix, and the prefixes by number."""
+    known: dict[tuple, int] = {}
+    codes = np.fromiter((known.setdefault(tuple(p), len(known)) for p in column.to_pylist()), dtype=np.int64, count=len(column))
+    return codes, list(known)
+
+
+def _codes(values: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """A number for each value, and the values by number."""
+    encoded = values.dictionary_encode()
+    return encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64), encoded.dictionary
 
 
 def _mine_prefixes(ordered: DataFrame, support: int, task_rows: int) -> DataFrame:
     item_type = ordered.schema["item"].dataType
     schema = T.StructType([T.StructField("items", T.ArrayType(item_type)), T.StructField("freq", T.LongType())])
     cores = ordered.sparkSession.sparkContext.defaultParallelism
-    found, parents = None, None
+    found, parents, rows = None, None, ordered
     while True:
-        table = extensions(parents, ordered)
+        table = extensions(parents, rows)
         if parents is not None:
             table = materialise(table, "projected")
         counted = materialise(_counted(table, support), "extensions")
-        rows = counted.select(_longer(counted).alias("items"), "freq")
-        found = rows if found is None else found.unionByName(rows)
+        sets = counted.select(_longer(counted).alias("items"), "freq")
+        found = sets if found is None else found.unionByName(sets)
 
         open_sets = counted.filter("work > 0")
         size = open_sets.agg(F.sum("work")).first()[0] or 0
         share = min(task_rows, max(-(-size // cores), LEAST_ROWS))
         limit = max(1, share // SPLIT)
-        small, large = open_sets.filter(F.col("work") <= limit), open_sets.filter(F.col("work") > limit)
         sizes = open_sets.agg(
-            F.sum(F.when(F.col("work") <= limit, F.col("work"))).alias("small"), F.count_if(F.col("work") > limit).alias("large")
+            F.sum(F.when(F.col("work") <= limit, F.col("work"))).alias("small"), F.sum(F.when(F.col("work") > limit, F.col("work"))).alias("large")
         ).first()
+        # Half of a task's share on average, so that the sum of those that meet by chance stays near it.
+        tasks = max(cores, -(-2 * (sizes["small"] or 0) // share))
+        owner = F.when(F.col("work") <= limit, _owner(_prefix(table), tasks)).otherwise(-F.ceil(F.col("work") / TASK_ROWS).cast("int"))
+        # Rows without a basket id share no basket, so they are in no set of two.
+        named = table.where("basket_id IS NOT NULL")
+        marked = materialise(_marked(named, open_sets.select(*_prefix(table), "item", owner.alias("owner"))), "marked-baskets")
         if sizes["small"]:
-            # Half of a task's share on average, so that the sum of those that meet by chance stays near it.
-            tasks = max(cores, -(-2 * sizes["small"] // share))
-            mined = task_tables(table, small, tasks).groupBy("task").applyInPandas(local_miner(support), schema)
+            mined = dealt_tables(marked).groupBy("task").applyInArrow(local_miner(support), schema)
             found = found.unionByName(materialise(mined, "mined"))
         if not sizes["large"]:
             return found
-        parents = materialise(
-            table.join(large.select(*_prefix(table), "item"), [*_prefix(table), "item"])
-            .filter("later > 0")
-            .select(_longer(table).alias("prefix"), "basket_id", F.col("place").alias("last")),
-            "large-prefixes",
-        )
+        parents = children(marked)
+        rows = materialise(frequent_extensions(parents, support, sizes["large"]), "often")
+        if rows.isEmpty():
+            return found
 
 
 def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -163,13 +260,14 @@ def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
 
 
-def _grow(prefix: list, items: np.ndarray, ends: np.ndarray, allowed: np.ndarray | None, names: np.ndarray, support: int, out: tuple[list, list]) -> None:
+def _grow(prefix: list, items: np.ndarray, ends: np.ndarray, allowed: np.ndarray | None, names: list, support: int, out: tuple[list, list]) -> None:
     """Adds all frequent sets that extend ``prefix`` by two items or more, or by one where ``allowed`` is none.
 
     ``items`` are the rows of the projected table, basket by basket; ``ends`` is where each row's basket ends.
     ``allowed`` marks the rows whose item may come first.
     """
     pending = [(prefix, items, ends, allowed)]
+    frequent = np.zeros(len(names), dtype=bool)
     while pending:
         prefix, items, ends, allowed = pending.pop()
         first = np.arange(len(items)) if allowed is None else np.flatnonzero(allowed)
@@ -177,41 +275,49 @@ def _grow(prefix: list, items: np.ndarray, ends: np.ndarray, allowed: np.ndarray
         codes, begins = np.unique(items[order], return_index=True)
         for code, begin, end in zip(codes.tolist(), begins.tolist(), [*begins[1:].tolist(), len(order)], strict=True):
             at = order[begin:end]
-            rows = _ranges(at + 1, ends[at])
-            if not len(rows):
+            later = items[_ranges(at + 1, ends[at])]
+            if len(at) < support or not len(later):
                 continue
-            counts = np.bincount(items[rows], minlength=len(names))
-            often = np.flatnonzero(counts >= support)
+            # Where a task has far more items than this table has rows, its own ones are counted.
+            if len(names) > 8 * len(later):
+                seen, counts = np.unique(later, return_counts=True)
+            else:
+                counts = np.bincount(later, minlength=len(names))
+                seen = np.arange(len(names))
+            often, counts = seen[counts >= support], counts[counts >= support]
             if not len(often):
                 continue
             grown = [*prefix, names[code]]
             out[0].extend([*grown, names[i]] for i in often.tolist())
-            out[1].extend(counts[often].tolist())
+            out[1].extend(counts.tolist())
             if len(often) > 1:
                 # The child's table holds frequent items only.
+                frequent[often] = True
                 sizes = ends[at] - at - 1
-                keep = counts[items[rows]] >= support
-                left = np.add.reduceat(keep, np.cumsum(sizes[sizes > 0]) - sizes[sizes > 0])
-                pending.append((grown, items[rows][keep], np.repeat(np.cumsum(left), left), None))
+                keep = frequent[later]
+                frequent[often] = False
+                left = np.add.reduceat(keep, np.cumsum(sizes[sizes > 0]) - sizes[sizes > 0], dtype=np.int64)
+                pending.append((grown, later[keep], np.repeat(np.cumsum(left), left), None))
 
 
-def local_miner(support: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+def local_miner(support: int) -> Callable[[pa.Table], pa.Table]:
     """Frequent itemsets of one task: those that extend a prefix, if there is any, by one of the task's own items and at least one later item."""
 
-    def mine(task: pd.DataFrame) -> pd.DataFrame:
+    def mine(task: pa.Table) -> pa.Table:
         out: tuple[list, list] = ([], [])
-        if "prefix" in task:
-            parts = task.groupby(pd.Series([tuple(p) for p in task["prefix"]], index=task.index, dtype=object), sort=False)
+        item_type = task.schema.field("items").type.value_type
+        if "prefix" in task.column_names:
+            owner, prefixes = _prefix_codes(task.column("prefix"))
         else:
-            parts = [((), task)]
-        for prefix, rows in parts:
-            basket, _ = pd.factorize(rows["basket_id"])
-            order = np.lexsort((rows["place"].to_numpy(), basket))
-            codes, names = pd.factorize(rows["item"])
-            sizes = np.bincount(basket)
-            ends = np.repeat(np.cumsum(sizes), sizes)
-            _grow(list(prefix), codes[order], ends, rows["own"].to_numpy()[order], np.asarray(names), support, out)
-        return pd.DataFrame({"items": pd.Series(out[0], dtype=object), "freq": np.array(out[1], dtype=np.int64)})
+            owner, prefixes = np.zeros(len(task), dtype=np.int64), [()]
+        for code, prefix in enumerate(prefixes):
+            rows = task if len(prefixes) == 1 else task.filter(pa.array(owner == code))
+            lists = rows.column("items").combine_chunks()
+            codes, names = _codes(lists.flatten())
+            own = rows.column("own").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+            sizes = np.diff(lists.offsets.to_numpy())
+            _grow(list(prefix), codes, np.repeat(np.cumsum(sizes), sizes), own, names.to_pylist(), support, out)
+        return pa.table({"items": pa.array(out[0], pa.list_(item_type)), "freq": pa.array(out[1], pa.int64())})
 
     return mine
 

@@ -129,3 +129,44 @@ def test_validation(spark):
         itemsets.frequent_itemsets(df, 0)
     with pytest.raises(ValueError):
         itemsets.frequent_itemsets(df, 1, "other")
+
+
+def spread_baskets(spark):
+    """Baskets of ten of 400 items, no pair of which is frequent."""
+    items = F.array(*(F.pmod(F.xxhash64("id", F.lit(k)), F.lit(400)) for k in range(10)))
+    rows = spark.range(400).select(F.col("id").alias("basket_id"), F.explode(items).alias("item"))
+    return rows.distinct()
+
+
+def test_large_tables_without_frequent_extensions_are_not_written(spark, monkeypatch):
+    written = []
+    real = itemsets.materialise
+    monkeypatch.setattr(itemsets, "materialise", lambda df, label: written.append(label) or real(df, label))
+    found = itemsets.frequent_itemsets(spread_baskets(spark), 8, task_rows=16)
+    assert {r["size"] for r in found.select("size").distinct().collect()} == {1}
+    assert "projected" not in written and "often" in written
+
+
+def test_tasks_get_one_row_per_basket(spark):
+    baskets = spread_baskets(spark)
+    ordered = itemsets._ordered(baskets.join(itemsets.frequent_items(baskets, 8), "item"))
+    counted = itemsets._counted(ordered, 8).filter("work > 0")
+    dealt = itemsets.task_tables(ordered, counted, 4)
+    assert dealt.count() <= 4 * 400
+    # All own items of all tasks are those that have later ones.
+    assert dealt.agg(F.sum(F.size(F.filter("own", lambda o: o)))).first()[0] == ordered.join(counted, "item").count()
+
+
+def test_library_miner_gets_paired_items_only(spark, monkeypatch):
+    def refuse(**options):
+        raise AssertionError("no pair is frequent")
+
+    monkeypatch.setattr(itemsets, "FPGrowth", refuse)
+    found = collected(itemsets.frequent_itemsets(spread_baskets(spark), 8, "fpgrowth"))
+    assert found and {len(items) for items in found} == {1}
+
+
+def test_library_miner_equals_brute_force(spark):
+    baskets = skewed(5)
+    df = spark.createDataFrame([(b, i) for b, s in baskets.items() for i in s], "basket_id string, item string")
+    assert collected(itemsets.frequent_itemsets(df, 20, "fpgrowth")) == brute_force(baskets, 20)
