@@ -73,7 +73,7 @@ def _canonical(found: DataFrame) -> DataFrame:
 
 def _mine_with_fpgrowth(ordered: DataFrame, singles: DataFrame, support: int, task_rows: int) -> DataFrame:
     """The library miner on what is left of the baskets without items that are in no frequent pair."""
-    alone = singles.select(F.array("item").alias("items"), "freq")
+    alone = singles.where("item IS NOT NULL").select(F.array("item").alias("items"), "freq")
     size = ordered.agg(F.sum("later")).first()[0] or 0
     every = materialise(_marked(ordered, singles.select("item", F.lit(-1).alias("owner"))), "marked-baskets")
     pairs = materialise(frequent_extensions(children(every), support, size), "pairs")

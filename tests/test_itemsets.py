@@ -170,3 +170,9 @@ def test_library_miner_equals_brute_force(spark):
     baskets = skewed(5)
     df = spark.createDataFrame([(b, i) for b, s in baskets.items() for i in s], "basket_id string, item string")
     assert collected(itemsets.frequent_itemsets(df, 20, "fpgrowth")) == brute_force(baskets, 20)
+
+
+def test_null_items_are_in_no_set(spark):
+    df = spark.createDataFrame([(b, i) for b in range(4) for i in ("a", "b", None)], "basket_id int, item string")
+    for method in ("prefixes", "fpgrowth"):
+        assert collected(itemsets.frequent_itemsets(df, 3, method)) == {("a",): 4, ("b",): 4, ("a", "b"): 4}
