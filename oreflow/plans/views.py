@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.session import spread
+from oreflow.session import grouped_by, spread
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -68,8 +68,10 @@ def ratings(spark: SparkSession, folder: str) -> DataFrame:
     """A customer rates the suppliers it bought from: 1 to 5, averaged per pair."""
     line = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    # Counted from the files' footers: a line has one order.
+    n_lines = line.count()
     bought = line.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    return bought.groupBy(F.col("o_custkey").alias("user"), F.col("l_suppkey").alias("item")).agg(
+    return grouped_by(bought, n_lines, "o_custkey", "l_suppkey").groupBy(F.col("o_custkey").alias("user"), F.col("l_suppkey").alias("item")).agg(
         F.avg(1 + F.col("l_partkey") % 5).alias("rating")
     )
 

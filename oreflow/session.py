@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 
 def build_session(app: str = "oreflow", master: str | None = None, **conf: str) -> SparkSession:
@@ -77,6 +77,17 @@ def size_in_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+# Rows that one task groups at most, on average. Rows of a few numbers compress so well that partitions of a fixed
+# number of bytes would hold many more.
+GROUPED_ROWS = 500_000
+
+
+def grouped_by(df: DataFrame, rows: int, *keys: Column | str, task_rows: int = GROUPED_ROWS) -> DataFrame:
+    """``df``, of about ``rows`` rows, partitioned by ``keys`` into as many tasks as its groups need to stay in memory."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(cores, -(-rows // task_rows)), *keys)
+
+
 # Below this much input per core, files are too few to keep all cores busy.
 _SMALL_PER_CORE = 16 << 20
 
