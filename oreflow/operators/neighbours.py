@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import cached_property
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from oreflow.operators.skew import MIN_ROWS, hot_keys, salted_join
-from oreflow.session import materialise
+from oreflow.session import grouped_by, materialise
 
 # A user above this many ratings is heavy; a neighbour shares more than this
 # many items and is more similar than this; the answer when nothing is known.
@@ -19,8 +23,10 @@ COSINE_OVER = 0.5
 UNKNOWN_RATING = 2.5
 
 # Shared items that the look-up of candidates asks for; more of them look up more items
-# per user and leave fewer candidates to compare.
-PROBE_HITS = 3
+# per user and leave fewer candidates to compare. As few as the first where items have more raters than the third.
+PROBE_HITS, SURE_HITS, POPULAR = 3, 5, 4096
+# Raters of an item that one row of the index holds, on average at most, and pairs met that one task counts.
+POSTINGS, MET_ROWS = 65_536, 2_000_000
 
 
 def pair_sums(train: DataFrame) -> DataFrame:
@@ -102,28 +108,55 @@ def candidate_pairs(
     """(user, neighbour) of a light and a heavy user that may share more than ``overlap_over`` items.
 
     Items stand in one order, rarer ones first. Each user, on either side, leaves out its last
-    ``overlap_over + 1 - h`` items. Of a pair's shared items those left out by the one or the other all
-    lie among the last ones of whichever leaves out more of them, so at least ``h`` of ``overlap_over + 1`` are
-    met in the index. The items everybody rated pair nobody.
+    ``overlap_over + 1 - SURE_HITS`` items, and of the next ones popular items as far as ``PROBE_HITS`` allows.
+    Of a pair's shared items those left out by the one or the other all lie among the last ones of whichever
+    leaves out more of them, so all but that many are met in the index. The items everybody rated pair nobody.
+    The index travels as arrays of raters, which are taken apart where a user's pairs are counted.
     """
-    hits = min(PROBE_HITS, overlap_over + 1)
+    needed = overlap_over + 1
+    always, at_most = max(0, needed - SURE_HITS), max(0, needed - PROBE_HITS)
     ranked = tables.pairs.select("user", "item").join(tables.items.select("item", "raters"), "item")
+    ranked = grouped_by(ranked, tables.pairs.count(), "user")
     # Light users have few items; heavy ones within reach have a norm that bounds their number, too.
-    last_first = Window.partitionBy("user").orderBy(F.desc("raters"), F.desc("item"))
+    own_items = Window.partitionBy("user")
+    left_out = (F.col("from_last") <= always) | ((F.col("from_last") <= at_most) & (F.col("raters") > POPULAR))
 
     def kept(users: DataFrame) -> DataFrame:
-        own = ranked.join(users, "user", "left_semi").withColumn("from_last", F.row_number().over(last_first))
-        return own.filter(F.col("from_last") > overlap_over + 1 - hits).select("user", "item")
+        own = ranked.join(users, "user", "left_semi")
+        own = own.withColumn("from_last", F.row_number().over(own_items.orderBy(F.desc("raters"), F.desc("item"))))
+        own = own.withColumn("left", F.count_if(left_out).over(own_items))
+        return own.filter(~left_out).select("user", "item", "left")
+
+    most = tables.items.agg(F.max("raters")).first()[0] or 0
+    part = F.pmod(F.xxhash64("user"), F.lit(-(-most // POSTINGS) or 1)).cast("int")
+    postings = kept(heavy).groupBy("item", part.alias("part"), F.col("left").alias("other_left"))
+    index = materialise(postings.agg(F.sort_array(F.collect_list("user")).alias("neighbours")), "index")
+    probes = materialise(kept(light), "probes")
+    sizes = index.groupBy("item").agg(F.sum(F.size("neighbours")).alias("n")).join(probes, "item")
+    met_rows = sizes.agg(F.sum("n")).first()[0] or 0
 
-    index = kept(heavy).select(F.col("user").alias("neighbour"), "item")
     hot = hot_keys(tables.items, "item", "raters", min_hot_rows)
-    return (
-        salted_join(index, kept(light), "item", hot)
-        .groupBy("user", "neighbour")
-        .agg(F.count("*").alias("hits"))
-        .filter(F.col("hits") >= hits)
-        .select("user", "neighbour")
-    )
+    met = salted_join(probes, index, "item", hot).drop("item")
+    met = met.select("user", "part", F.greatest("left", "other_left").alias("left"), "neighbours")
+    schema = T.StructType([T.StructField(name, tables.pairs.schema["user"].dataType) for name in ("user", "neighbour")])
+    # At most one row of the index for each item of a light user meets in a group.
+    return grouped_by(met, met_rows, "user", "part", task_rows=MET_ROWS).groupBy("user", "part").applyInArrow(_met_enough(needed), schema)
+
+
+def _met_enough(needed: int) -> Callable[[pa.Table], pa.Table]:
+    """(user, neighbour) of the neighbours in a user's arrays that, with the items left out, may share ``needed`` items."""
+
+    def count(met: pa.Table) -> pa.Table:
+        lists = met.column("neighbours").combine_chunks()
+        found = lists.flatten().dictionary_encode()
+        codes, names = found.indices.to_numpy(), found.dictionary
+        left = np.zeros(len(names), dtype=np.int64)
+        np.maximum.at(left, codes, np.repeat(met.column("left").to_numpy(), np.diff(lists.offsets.to_numpy())))
+        enough = np.flatnonzero(np.bincount(codes, minlength=len(names)) + left >= needed)
+        user = met.column("user").combine_chunks().take(pa.array(np.zeros(len(enough), dtype=np.int64)))
+        return pa.table({"user": user, "neighbour": names.take(pa.array(enough))})
+
+    return count
 
 
 def neighbour_weights(

@@ -5,9 +5,11 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from oreflow.operators import evaluation, factorisation, neighbours
 from oreflow.operators.skew import hot_keys, salted_join
+from oreflow.session import grouped_by
 
 
 def brute_force(train, test, heavy_over, overlap_over, cosine_over, mean_centering=False):
@@ -259,3 +261,37 @@ def test_equations_are_solved_in_columns(spark, rank):
         left = sum(np.outer(f, f) for f, _ in own) + 0.28 * len(own) * np.eye(rank)
         assert np.allclose(row["user_factor"], np.linalg.solve(left, sum(f * r for f, r in own)))
     assert found.count() == 6
+
+
+def test_few_candidates_at_a_low_overlap(spark):
+    """Unpopular items are not left out, so that hardly any pair is compared that shares too little."""
+    rng = random.Random(8)
+    train = [(f"l{u}", f"i{i}", 3.0) for u in range(40) for i in rng.sample(range(200), 12)]
+    train += [(f"h{u}", f"i{i}", 3.0) for u in range(80) for i in rng.sample(range(200), 30)]
+    train += [("twin", i, 3.0) for a, i, _ in train if a == "l0"] + [("twin", f"i{i}", 4.0) for i in range(200, 220)]
+    tables = neighbours.rating_tables(spark.createDataFrame(train, "user string, item string, rating double"))
+    light, heavy = (tables.users.filter(c).select("user") for c in ("NOT heavy", "heavy"))
+    found = {tuple(r) for r in neighbours.candidate_pairs(tables, light, heavy, 5).collect()}
+    held = {}
+    for u, i, _ in train:
+        held.setdefault(u, set()).add(i)
+    shared = {(a, b): len(held[a] & held[b]) for a in held if a[0] == "l" for b in held if b[0] != "l"}
+    assert ("l0", "twin") in found and {p for p, n in shared.items() if n > 5} <= found
+    assert all(shared[p] >= neighbours.SURE_HITS for p in found)
+
+
+def test_popular_items_are_left_out_further(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "POPULAR", 3)
+    monkeypatch.setattr(neighbours, "POSTINGS", 4)
+    train_rows, _ = dataset(9)
+    tables = neighbours.rating_tables(spark.createDataFrame(train_rows, "user string, item string, rating double"), 12)
+    expected = {(a, b) for a, found in brute_force(train_rows, [], 12, 5, 0.5)[1].items() for b in found}
+    weights = neighbours.neighbour_weights(tables, overlap_over=5, cosine_over=0.5)
+    assert {tuple(r) for r in weights.select("user", "neighbour").collect()} == expected
+
+
+def test_tasks_that_group_hold_few_rows(spark):
+    """The number of tasks follows the rows, however well they compress."""
+    rows = spark.range(2000).select((F.col("id") % 7).alias("user"), F.col("id").alias("item"))
+    assert grouped_by(rows, 2000, "user", "item", task_rows=20).rdd.getNumPartitions() == 100
+    assert grouped_by(rows, 0, "user").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
