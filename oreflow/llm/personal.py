@@ -6,8 +6,8 @@ without a plus sign, cards with other separators, addresses with written-out sig
 Gradient-boosted trees judge each proposal by its format and its context. What labels a proposal is
 kept from them: they see neither plus signs nor check digits. A proposal is labelled 1 where it lies on
 a base span of its kind, 0 where on a base span of another kind or on one of its kind that failed its
-check, at most ``LABELLED`` distinct ones of each kind and label, by lowest hash, next to a few fixed ones; a
-quarter of them is held out. Isotonic calibration on the held-out part turns scores into
+check. All distinct ones count, next to a few fixed ones; a quarter of them, by hash, is held out, and those of
+one description are one row for the trees, weighed by their number. Isotonic calibration on the held-out part turns scores into
 probabilities, and from ``SURE`` on an unlabelled proposal becomes a span, one per overlapping group. A kind
 of which nothing is held out gets no further spans, as nothing proves its scores right.
 Base spans always stay.
@@ -34,8 +34,6 @@ from oreflow.session import materialise
 
 # The kinds in the order in which spans with one start are listed.
 KINDS = ("email", "ip", "card", "phone")
-# Labelled proposals of each kind and label that the trees are fitted on, at most: the ones with the lowest hash.
-LABELLED = 2_000
 # Calibrated probability from which on a proposal becomes a span.
 SURE = 0.9
 
@@ -312,7 +310,7 @@ def calibrate(bins: list[tuple[int, int, int]], sure: float = SURE) -> float:
 
 
 def _labelled(spark: SparkSession, described: DataFrame, findings: DataFrame | None) -> DataFrame:
-    """(kind, before, value, after, label, held, features) of the labelled proposals."""
+    """(kind, label, held, features, n): every distinct labelled proposal, counted by its description."""
     label = F.when(F.col("own"), 1).when(F.col("other") | F.col("failed"), 0)
     names = [c for c in described.columns if c.startswith("f_")]
     what = ["kind", "before", "value", "after"]
@@ -321,12 +319,11 @@ def _labelled(spark: SparkSession, described: DataFrame, findings: DataFrame | N
     else:
         given = findings.select(*what, F.col("label").cast("int")).where("label IS NOT NULL AND value IS NOT NULL")
         rows = features(given).select(*what, "label", *names)
-    hashed = rows.withColumn("_hash", F.xxhash64(*what))
-    nth = F.row_number().over(Window.partitionBy("kind", "label").orderBy("_hash", *what))
-    chosen = hashed.withColumn("_nth", nth).where(F.col("_nth") <= LABELLED).drop("_nth")
+    rows = rows.withColumn("held", F.pmod(F.xxhash64(*what), F.lit(4)) == 0)
     fixed = features(spark.createDataFrame(FIXED, "kind string, before string, value string, after string, label int"))
-    every = chosen.withColumn("held", F.pmod("_hash", F.lit(4)) == 0).drop("_hash").unionByName(fixed.withColumn("held", F.lit(False)))
-    return materialise(every.withColumn("label", F.col("label").cast("double")), "labelled")
+    every = rows.unionByName(fixed.withColumn("held", F.lit(False)))
+    counted = every.groupBy("kind", "label", "held", *names).agg(F.count("*").alias("n"))
+    return materialise(counted.withColumn("label", F.col("label").cast("double")), "labelled")
 
 
 def judge(found: DataFrame, findings: DataFrame | None = None, trees: int = 20, seed: int = 7) -> DataFrame:
@@ -340,15 +337,15 @@ def judge(found: DataFrame, findings: DataFrame | None = None, trees: int = 20,
     labelled = _labelled(spark, described, findings)
     assembler = VectorAssembler(inputCols=names, outputCol="features")
     # Each kind and label weighs the same, so that what a corpus holds most of does not decide.
-    cells = labelled.where("NOT held").groupBy("kind", "label").agg((F.lit(100.0) / F.count("*")).alias("weight"))
-    training = labelled.where("NOT held").join(F.broadcast(cells), ["kind", "label"])
+    cells = labelled.where("NOT held").groupBy("kind", "label").agg((F.lit(100.0) / F.sum("n")).alias("weight"))
+    training = labelled.where("NOT held").join(F.broadcast(cells), ["kind", "label"]).withColumn("weight", F.col("weight") * F.col("n"))
     model = GBTClassifier(maxIter=trees, maxDepth=4, stepSize=0.2, seed=seed, weightCol="weight").fit(assembler.transform(training))
 
     def scored(rows: DataFrame) -> DataFrame:
         return model.transform(assembler.transform(rows)).withColumn("score", vector_to_array("probability")[1])
 
     held = scored(labelled.where("held")).groupBy("kind", F.floor(F.col("score") * 100).cast("int").alias("bin"))
-    bins = held.agg(F.count_if(F.col("label") == 1).alias("ones"), F.count_if(F.col("label") == 0).alias("zeros")).collect()
+    bins = held.agg(F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("ones"), F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("zeros")).collect()
     least = F.lit(2.0)
     for kind in KINDS:
         threshold = calibrate([(b["bin"], b["ones"], b["zeros"]) for b in bins if b["kind"] == kind])

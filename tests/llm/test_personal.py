@@ -136,3 +136,15 @@ def test_calibrate():
     assert personal.calibrate([(95, 50, 0), (20, 0, 50)]) == 0.95
     assert personal.calibrate([(95, 5, 50), (99, 50, 1), (20, 0, 50)]) == 0.99
     assert personal.calibrate([(100, 0, 50)]) == 2.0
+
+
+def test_all_labelled_proposals_count(spark):
+    """The trees and the thresholds see every distinct labelled proposal, however many there are."""
+    texts = spark.range(9000).select(F.col("id").alias("doc_id"), F.format_string("call +1 (%d) 555-%04d now", 200 + F.col("id") % 700, F.col("id")).alias("text"))
+    _, found = personal.proposals(texts)
+    described = personal.features(personal._overlaps(found))
+    labelled = personal._labelled(spark, described, None)
+    distinct = described.where("own OR failed OR other").select("kind", "before", "value", "after").distinct().count()
+    assert distinct >= 9000
+    assert labelled.agg(F.sum("n")).first()[0] == distinct + len(personal.FIXED)
+    assert labelled.count() < distinct / 10
