@@ -26,6 +26,9 @@ from oreflow.session import materialise
 TASK_ROWS, LEAST_ROWS = 2_000_000, 1_000_000
 # A table above this part of a task's rows is split by its next item.
 SPLIT = 16
+# Rows of projected tables that one partition of dealt baskets stands for, so that it is sorted in memory, and the most
+# partitions, beyond which writers sort their rows, too.
+SORTED_ROWS, MOST_PARTS = 8_000_000, 200
 
 
 def build_baskets(rows: DataFrame) -> DataFrame:
@@ -149,6 +152,11 @@ def dealt_tables(marked: DataFrame) -> DataFrame:
     return dealt.select("task", *prefix, F.slice("items", start, count).alias("items"), own.alias("own"))
 
 
+def dealt_parts(work: int, cores: int) -> int:
+    """Partitions of the ``dealt_tables`` of extensions with ``work`` rows in all."""
+    return max(cores, min(-(-work // SORTED_ROWS), MOST_PARTS))
+
+
 def task_tables(table: DataFrame, small: DataFrame, tasks: int) -> DataFrame:
     """The ``dealt_tables`` of the ``small`` extensions of a table, dealt by their hash."""
     prefix = _prefix(table)
@@ -244,7 +252,8 @@ def _mine_prefixes(ordered: DataFrame, support: int, task_rows: int) -> DataFram
         named = table.where("basket_id IS NOT NULL")
         marked = materialise(_marked(named, open_sets.select(*_prefix(table), "item", owner.alias("owner"))), "marked-baskets")
         if sizes["small"]:
-            mined = dealt_tables(marked).groupBy("task").applyInArrow(local_miner(support), schema)
+            dealt = dealt_tables(marked).repartition(dealt_parts(sizes["small"], cores), "task")
+            mined = dealt.groupBy("task").applyInArrow(local_miner(support), schema)
             found = found.unionByName(materialise(mined, "mined"))
         if not sizes["large"]:
             return found
