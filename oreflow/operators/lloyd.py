@@ -94,8 +94,6 @@ class _Block:
     def __init__(self, sizes: np.ndarray, idx: np.ndarray, val: np.ndarray):
         self.sizes, self.idx, self.val = sizes, idx, val
         self.row = np.repeat(np.arange(len(sizes)), sizes)
-        self.filled = np.flatnonzero(sizes)
-        self.begins = (np.cumsum(sizes) - sizes)[self.filled]
 
     @classmethod
     def stored(cls, sizes: bytes, idx: bytes, val: bytes) -> _Block:
@@ -104,14 +102,15 @@ class _Block:
     def columns(self) -> list[bytes]:
         return [self.sizes.astype(np.int32).tobytes(), self.idx.astype(np.int32).tobytes(), self.val.tobytes()]
 
-    def products(self, place: np.ndarray, table: np.ndarray) -> np.ndarray:
-        """The product of each row with each column of ``table``; ``place`` tells the rows of its cells there."""
+    def per_row(self, values: np.ndarray) -> np.ndarray:
+        """Sums by row, one cell after the other, so that a point that is a centroid has the distance 0."""
+        return np.bincount(self.row, values, len(self.sizes))
+
+    def products(self, place: np.ndarray, table: np.ndarray) -> Iterator[np.ndarray]:
+        """The product of each row with one column of ``table`` after the other; ``place`` tells the rows of its cells there."""
         cells = table.take(place, axis=0)
         cells *= self.val[:, None]
-        out = np.zeros((len(self.sizes), table.shape[1]))
-        if len(self.filled):
-            out[self.filled] = np.add.reduceat(cells, self.begins, axis=0)
-        return out
+        return (self.per_row(column) for column in cells.T)
 
 
 class _Batch:
@@ -127,12 +126,12 @@ class _Batch:
 
     def nearest(self, centroids: Centroids) -> list[tuple[np.ndarray, np.ndarray]]:
         """Cluster and squared distance per row of each block; the lowest cluster wins a tie."""
-        own = [np.bincount(block.row, block.val * block.val, len(block.sizes)) for block in self.blocks]
+        own = [block.per_row(block.val * block.val) for block in self.blocks]
         found = [(np.zeros(len(x), dtype=np.int64), np.full(len(x), np.inf)) for x in own]
         norms = centroids.norms()
         for first, table in centroids.groups(self.dims, self.group):
             for block, place, square, (best, least) in zip(self.blocks, self.places, own, found, strict=True):
-                for i, product in enumerate(block.products(place, table).T, first):
+                for i, product in enumerate(block.products(place, table), first):
                     distance = square - 2 * product + norms[i]
                     nearer = distance < least
                     best[nearer], least[nearer] = i, distance[nearer]

@@ -210,3 +210,12 @@ def test_tables_of_centroids_are_bounded(monkeypatch, dense):
     for cells, some in batch.sums([best[:2], best[2:]], 5, 10):
         totals[cells] += some
     assert (totals.reshape(5, 10) == np.array([points[best == c].sum(0) for c in range(5)])).all()
+
+
+def test_a_point_that_is_a_centroid_has_no_distance(spark):
+    """Sums run in one order for points, centroids and their products, whatever zeros lie between."""
+    rng = np.random.default_rng(3)
+    matrix = rng.random((20, 300)) * (rng.random((20, 300)) < 0.5)
+    rows = [(i, list(range(300)), row.tolist()) for i, row in enumerate(matrix)]
+    points = spark.createDataFrame(rows, "id bigint, idx array<int>, val array<double>")
+    assert [r["distance2"] for r in lloyd.assign(points, "id", matrix).collect()] == [0.0] * 20
