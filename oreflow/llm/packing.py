@@ -81,11 +81,19 @@ class WordTokenizer:
         if not latin:
             self._tokenise(words)
             return
+        # Lower-case letters alone are their own core.
+        plain = [word for word in words if word.isalpha() and word.islower()]
+        if len(plain) < len(words):
+            found = set(plain)
+            words = [word for word in words if word not in found]
+        else:
+            words = []
         cores = [word.rstrip(MARKS) for word in words]
         lowered = [core.lower() if core and core[-1].isalnum() else word for core, word in zip(cores, words, strict=True)]
         tails = [word[len(core) :] if core and core[-1].isalnum() else "" for core, word in zip(cores, words, strict=True)]
         wanted = set(lowered)
         wanted.update(tails)
+        wanted.update(plain)
         wanted.discard("")
         self._tokenise([word for word in wanted if word not in known])
         known.update((word, known[core] + known[tail] if tail else known[core]) for word, core, tail in zip(words, lowered, tails, strict=True))
@@ -129,20 +137,23 @@ class WordTokenizer:
             self.size = 0
         before = len(self.known)
         known, own = self.known, {}
+        found = [list(map(known.get, words)) for words in lists]
+        missing = [[i for i, ids in enumerate(some) if ids is None] if None in some else () for some in found]
         for latin in (True, False):
             new: set[str] = set()
-            for words, kind in zip(lists, kinds, strict=True):
-                if kind == latin and None in (found := list(map(known.get, words))):
-                    new.update([word for word, ids in zip(words, found, strict=True) if ids is None])
+            for words, kind, places in zip(lists, kinds, missing, strict=True):
+                if kind == latin:
+                    new.update([word for i in places if (word := words[i]) not in known])
             # Very long words, and words that may look like special tokens, are not joined to others or remembered.
             apart = {word for word in new if len(word) > SHORT or "<|" in word}
             own.update((word, self.whole(word)) for word in apart)
             self._learn(list(new - apart), latin)
         # Words of up to ``SHORT`` characters; their ids take no more than four bytes for each of theirs.
         self.size += (len(known) - before) * (ENTRY + SHORT // 2)
-        if own:
-            return [b"".join([own[word] if word in own else known[word] for word in words]) for words in lists]
-        return [b"".join([known[word] for word in words]) for words in lists]
+        for words, some, places in zip(lists, found, missing, strict=True):
+            for i in places:
+                some[i] = own[words[i]] if words[i] in own else known[words[i]]
+        return [b"".join(some) for some in found]
 
 
 def _tokenise(tokenizer_json, window: int, closing: int, narrow: bool):
