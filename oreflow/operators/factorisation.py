@@ -29,12 +29,13 @@ def dense_index(ids: DataFrame, name: str) -> DataFrame:
 
     Ids are numbered inside hash buckets; each bucket starts where the ones before
     it end. Only the sizes of the buckets, one row for up to a million ids, are ranked
-    as a whole.
+    as a whole. ``ids`` is read once; what follows reads the distinct ones.
     """
-    buckets = max(FEWEST_BUCKETS, ids.count() // BUCKET_IDS)
-    placed = ids.select(name).distinct().withColumn("bucket", F.pmod(F.xxhash64(name), F.lit(buckets)))
-    placed = placed.withColumn("place", F.row_number().over(Window.partitionBy("bucket").orderBy(name)))
+    counted = materialise(ids.groupBy(name).agg(F.count("*").alias("rows")), "ids")
+    buckets = max(FEWEST_BUCKETS, (counted.agg(F.sum("rows")).first()[0] or 0) // BUCKET_IDS)
+    placed = counted.select(name, F.pmod(F.xxhash64(name), F.lit(buckets)).alias("bucket"))
     sizes = placed.groupBy("bucket").agg(F.count("*").alias("size"))
+    placed = placed.withColumn("place", F.row_number().over(Window.partitionBy("bucket").orderBy(name)))
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("bucket", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
     index = placed.join(F.broadcast(starts), "bucket")
@@ -58,14 +59,14 @@ class Factorisation:
     users: DataFrame
     items: DataFrame
 
-    def predict(self, test: DataFrame) -> DataFrame:
-        """(user, item, prediction); pairs with an id unseen in training give no row."""
+    def predict(self, test: DataFrame, *more: str) -> DataFrame:
+        """(user, item, ``more`` columns of the row, prediction); pairs with an id unseen in training give no row."""
         product = F.zip_with("user_factor", "item_factor", lambda a, b: a * b)
         return (
-            test.select("user", "item")
+            test.select("user", "item", *more)
             .join(self.users.join(self.user_factors, "user_idx"), "user")
             .join(self.items.join(self.item_factors, "item_idx"), "item")
-            .select("user", "item", F.aggregate(product, F.lit(0.0), lambda a, b: a + b).alias("prediction"))
+            .select("user", "item", *more, F.aggregate(product, F.lit(0.0), lambda a, b: a + b).alias("prediction"))
         )
 
 
@@ -89,16 +90,18 @@ def fit(
     scratch_root(train.sparkSession)  # so that the library solver can cut its lineage there
     users = materialise(dense_index(train, "user"), "user-index")
     items = materialise(dense_index(train, "item"), "item-index")
-    numbered = materialise(
+    numbered = (
         train.join(users, "user")
         .join(items, "item")
-        .select("user_idx", "item_idx", F.col("rating").cast("float").alias("rating")),
-        "numbered",
+        .select("user_idx", "item_idx", F.col("rating").cast("float").alias("rating"))
     )
     if solver == "sums":
+        numbered = materialise(numbered, "numbered")
         user_factors, item_factors = _fit_by_sums(numbered, items, rank, iterations, regularisation, seed)
         return Factorisation(user_factors, item_factors, users, items)
 
+    # The library sorts each block's ratings by user; it merges runs that are sorted faster.
+    numbered = materialise(numbered.sortWithinPartitions("user_idx"), "numbered")
     als = ALS(
         rank=rank,
         maxIter=iterations,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from oreflow.operators import evaluation, factorisation, neighbours
 from oreflow.operators.skew import hot_keys, salted_join
-from oreflow.session import grouped_by
+from oreflow.session import grouped_by, materialise
 
 
 def brute_force(train, test, heavy_over, overlap_over, cosine_over, mean_centering=False):
@@ -196,6 +196,20 @@ def test_both_solvers_reach_the_same_error(spark):
     assert scores[0] == pytest.approx(scores[1], abs=0.02)
 
 
+def test_ids_are_read_once_and_predictions_carry_ratings(spark):
+    """The index reads its distinct ids, not the rows again, and errors need no second look at the tested rows."""
+    rows = [(f"u{u}", f"i{i}", float(1 + (u + i) % 5)) for u in range(20) for i in range(9) if (u * i) % 4]
+    train = materialise(spark.createDataFrame([*rows, (None, "i1", 2.0), ("u1", None, 3.0)], "user string, item string, rating double"), "t")
+    index = factorisation.dense_index(train, "user")
+    assert not set(index.inputFiles()) & set(train.inputFiles())
+    numbers = {r["user"]: r["user_idx"] for r in index.collect()}
+    assert set(numbers) == {r[0] for r in rows} | {None} and sorted(numbers.values()) == list(range(len(numbers)))
+    model = factorisation.fit(train, iterations=3, blocks=2)
+    expected = evaluation.with_errors(train, model.predict(train)).collect()
+    found = evaluation.errors_of(model.predict(train, "rating"))
+    assert len(expected) == len(rows) and sorted(found.collect()) == sorted(expected)
+
+
 def test_the_solver_is_a_choice(spark):
     """No number of ratings changes the solver behind the caller's back."""
     rows = [(f"u{i}", "hot", 3.0) for i in range(40)]
