@@ -13,6 +13,7 @@ own, repeated or not, with or without an id. An empty table gives an empty resul
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -34,16 +35,18 @@ NUMBERED = 20_000
 # Most lengths of a combination.
 DEPTH = 6
 NOT_LATIN = re.compile("[^\t-\r -~À-ÖØ-öø-ÿ]")
-MARKS = ".,;:!?*#$%&|"
+# Marks that close a word after a letter or digit, in lower-case Latin texts.
+MARKS = re.compile(r"[.,;:!?*#$%&|](?<=[0-9a-zß-öø-ÿ].)[.,;:!?*#$%&|]*(?!\S)")
 WORD = re.compile(r"[^ \t\n\r\x0b\x0c]+")
+LOWER = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
 
 # Characters of texts that are tokenised together.
 TOGETHER = 1 << 20
 
 NAMES, KINDS = ("row", "doc_id", "n_tokens", "crcs", "ids"), (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
 TOKENS = "row long, doc_id long, n_tokens long, crcs array<long>, ids binary"
-# Words and their ids, by tokenizer. Python workers run one task after another; what one task has learnt stays for the next.
-_WORDS: dict[int, dict[str, bytes]] = {}
+# Python workers run one task after another; what a tokenizer has learnt in one task stays for the next.
+_TOKENIZERS: dict[int, WordTokenizer] = {}
 
 PIECES = "row long, doc_id long, doc_tokens long, start long, length long, sequence_id long, offset long"
 
@@ -54,76 +57,74 @@ class WordTokenizer:
     Words between ASCII white space are tokenised once per Python process and remembered.
     """
 
-    def __init__(self, json: str):
+    def __init__(self, text: str):
         from tokenizers import Tokenizer
 
-        self.plain, self.separated = Tokenizer.from_str(json), Tokenizer.from_str(json)
+        self.plain, self.separated = Tokenizer.from_str(text), Tokenizer.from_str(text)
         self.plain.encode_special_tokens = True  # their strings in a text are ordinary text
         special = [(t.content, i) for i, t in self.plain.get_added_tokens_decoder().items() if t.special]
         self.mark, self.mark_id = special[0] if special else (None, None)
         # Ids that end a piece, if the vocabulary tells them apart.
         suffix = getattr(self.plain.model, "end_of_word_suffix", None)
         vocabulary = self.plain.get_vocab(with_added_tokens=False)
-        self.closes = None
+        self.letters = None
         if suffix:
             self.closes = np.zeros(max(vocabulary.values()) + 1 + len(special), dtype=bool)
             self.closes[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
-        self.known = _WORDS.setdefault(hash(json), {})
-        self.size = sum(len(word) + len(ids) + ENTRY for word, ids in self.known.items())
+            self._prepare_letters(text)
+        self.known: dict[str, bytes] = {}
+        self.size = 0
+
+    def _prepare_letters(self, text: str) -> None:
+        """A tokenizer for lower-case Latin letters that leaves out the steps that change nothing in them.
+
+        It gets their bytes as the letters that the vocabulary has for them. It is used if it splits every pair of letters
+        as the whole tokenizer does.
+        """
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        blanks = {"type": "Split", "pattern": {"String": " "}, "behavior": "Removed", "invert": False}
+        letters = Tokenizer.from_str(json.dumps(json.loads(text) | {"normalizer": None, "pre_tokenizer": blanks, "added_tokens": []}))
+        in_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.byte_letters = {ord(c): in_bytes.pre_tokenize_str(c)[0][0] for c in LOWER}
+        pairs = " ".join(a + b for a in LOWER for b in LOWER)
+        if letters.encode(pairs.translate(self.byte_letters), add_special_tokens=False).ids == self.plain.encode(pairs, add_special_tokens=False).ids:
+            self.letters = letters
 
     def _learn(self, words: list[str], latin: bool) -> None:
         """Remembers the ids of ``words``.
 
-        Latin letters are lower-cased before anything else, and marks after a letter or digit are
-        pieces of their own, so a Latin word is as good as its lower-case letters and its closing marks.
+        Words of Latin letters alone are one piece each, which its last id shows; others are parted by a special token.
         """
-        known = self.known
-        if not latin:
-            self._tokenise(words)
-            return
-        # Lower-case letters alone are their own core.
-        plain = [word for word in words if word.isalpha() and word.islower()]
-        if len(plain) < len(words):
-            found = set(plain)
-            words = [word for word in words if word not in found]
-        else:
-            words = []
-        cores = [word.rstrip(MARKS) for word in words]
-        lowered = [core.lower() if core and core[-1].isalnum() else word for core, word in zip(cores, words, strict=True)]
-        tails = [word[len(core) :] if core and core[-1].isalnum() else "" for core, word in zip(cores, words, strict=True)]
-        wanted = set(lowered)
-        wanted.update(tails)
-        wanted.update(plain)
-        wanted.discard("")
-        self._tokenise([word for word in wanted if word not in known])
-        known.update((word, known[core] + known[tail] if tail else known[core]) for word, core, tail in zip(words, lowered, tails, strict=True))
-
-    def _tokenise(self, words: list[str]) -> None:
-        """Words of letters alone are one piece each, which its last id shows; others are parted by a special token."""
-        pieces = [word for word in words if self.closes is not None and word.isascii() and word.isalpha()]
-        for some, lists in self._joined(pieces, " ", lambda ids: np.flatnonzero(self.closes[ids]) + 1, 0):
-            self.known.update(zip(some, lists or map(self.whole, some), strict=True))
+        pieces = [word for word in words if word.isalpha() and (latin or word.isascii())] if self.letters else []
+        for begin in range(0, len(pieces), 500):
+            some = pieces[begin : begin + 500]
+            ids = self._ids(self.letters, " ".join(some).lower().translate(self.byte_letters))
+            self._remember(some, ids, np.flatnonzero(self.closes[ids]) + 1, 0)
         if len(pieces) < len(words):
-            pieces = set(pieces)
-            others = [word for word in words if word not in pieces]
-            for some, lists in self._joined(others, self.mark, lambda ids: np.append(np.flatnonzero(ids == self.mark_id), len(ids)), 1):
-                self.known.update(zip(some, lists or map(self.whole, some), strict=True))
-
-    def _joined(self, words: list[str], mark: str | None, ends_of, skip: int) -> Iterator[tuple[list[str], list[bytes] | None]]:
-        """Some words at a time with their ids, tokenised as one string; None for the ids if the words' ends don't show."""
-        for begin in range(0, len(words), 500):
-            some = words[begin : begin + 500]
-            if mark is None:
-                yield some, None
-                continue
-            ids = np.array(self.separated.encode_batch_fast([mark.join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
-            ends = ends_of(ids)
-            if len(ends) != len(some):
-                yield some, None
-                continue
-            raw, ends = ids.tobytes(), (4 * ends).tolist()
-            begins = [0, *(end + 4 * skip for end in ends[:-1])]
-            yield some, [raw[a:b] for a, b in zip(begins, ends, strict=True)]
+            done = set(pieces)
+            others = [word for word in words if word not in done]
+            for begin in range(0, len(others), 500):
+                some = others[begin : begin + 500]
+                if self.mark is None:
+                    self._remember(some, np.zeros(0, dtype="<u4"), np.zeros(0, dtype=int), 0)
+                    continue
+                ids = self._ids(self.separated, self.mark.join(some))
+                self._remember(some, ids, np.append(np.flatnonzero(ids == self.mark_id), len(ids)), 1)
+
+    @staticmethod
+    def _ids(tokenizer, text: str) -> np.ndarray:
+        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+
+    def _remember(self, words: list[str], ids: np.ndarray, ends: np.ndarray, skip: int) -> None:
+        """Cuts the ids of words tokenised as one string at ``ends``; words are tokenised one by one if their ends don't show."""
+        if len(ends) != len(words):
+            self.known.update(zip(words, map(self.whole, words), strict=True))
+            return
+        raw, ends = ids.tobytes(), (4 * ends).tolist()
+        begins = [0, *(end + 4 * skip for end in ends[:-1])]
+        self.known.update(zip(words, [raw[a:b] for a, b in zip(begins, ends, strict=True)], strict=True))
 
     def whole(self, text: str) -> bytes:
         return np.array(self.plain.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -131,36 +132,43 @@ class WordTokenizer:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text. Words that are new in any of the texts are tokenised together."""
         kinds = [not NOT_LATIN.search(text) for text in texts]
-        lists = [text.split() if latin else WORD.findall(text) for text, latin in zip(texts, kinds, strict=True)]
+        # Latin letters are lower-cased before anything else, and marks after a letter or digit are pieces of their own.
+        lists = [MARKS.sub(r" \g<0>", text.lower()).split() if latin else WORD.findall(text) for text, latin in zip(texts, kinds, strict=True)]
+        known, own = self.known, {}
         if self.size > REMEMBERED:
-            self.known.clear()
+            known.clear()
             self.size = 0
-        before = len(self.known)
-        known, own = self.known, {}
-        found = [list(map(known.get, words)) for words in lists]
-        missing = [[i for i, ids in enumerate(some) if ids is None] if None in some else () for some in found]
+        before = len(known)
         for latin in (True, False):
-            new: set[str] = set()
-            for words, kind, places in zip(lists, kinds, missing, strict=True):
-                if kind == latin:
-                    new.update([word for i in places if (word := words[i]) not in known])
+            new = set().union(*[words for words, kind in zip(lists, kinds, strict=True) if kind == latin])
+            new = new.difference(known)
             # Very long words, and words that may look like special tokens, are not joined to others or remembered.
-            apart = {word for word in new if len(word) > SHORT or "<|" in word}
+            apart = [word for word in new if len(word) > SHORT or "<|" in word]
             own.update((word, self.whole(word)) for word in apart)
-            self._learn(list(new - apart), latin)
+            new.difference_update(apart)
+            self._learn(list(new), latin)
         # Words of up to ``SHORT`` characters; their ids take no more than four bytes for each of theirs.
         self.size += (len(known) - before) * (ENTRY + SHORT // 2)
-        for words, some, places in zip(lists, found, missing, strict=True):
-            for i in places:
-                some[i] = own[words[i]] if words[i] in own else known[words[i]]
-        return [b"".join(some) for some in found]
+        known.update(own)
+        encoded = [b"".join([known[word] for word in words]) for words in lists]
+        for word in own:
+            del known[word]
+        return encoded
+
+
+def _word_tokenizer(text: str) -> WordTokenizer:
+    """This process's tokenizer of a tokenizers file."""
+    key = hash(text)
+    if key not in _TOKENIZERS:
+        _TOKENIZERS[key] = WordTokenizer(text)
+    return _TOKENIZERS[key]
 
 
 def _tokenise(tokenizer_json, window: int, closing: int, narrow: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        tokenizer = WordTokenizer(tokenizer_json.value)
+        tokenizer = _word_tokenizer(tokenizer_json.value)
         end, row = np.array([closing], dtype="<u4").tobytes(), TaskContext.get().partitionId() << 33
         for batch in batches:
             for doc_ids, texts in _together(batch):
@@ -203,8 +211,8 @@ def tokenise(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, closing
     with open(tokenizer_path, encoding="utf-8") as file:
         text = file.read()
     narrow = max(closing, *Tokenizer.from_str(text).get_vocab().values()) < 1 << 16
-    json = docs.sparkSession.sparkContext.broadcast(text)
-    return materialise(documents_only(docs).mapInArrow(_tokenise(json, window, closing, narrow), TOKENS), "tokens")
+    shared = docs.sparkSession.sparkContext.broadcast(text)
+    return materialise(documents_only(docs).mapInArrow(_tokenise(shared, window, closing, narrow), TOKENS), "tokens")
 
 
 def combinations(histogram: dict[int, int], window: int, depth: int = DEPTH) -> list[tuple[int, ...]]:

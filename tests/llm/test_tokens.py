@@ -151,3 +151,15 @@ def test_words_are_remembered_within_bounds(monkeypatch):
         (ids,) = tokenizer.encode([text])
         assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
         assert sum(len(w) + len(x) + packing.ENTRY for w, x in tokenizer.known.items()) < 50_000 + 2000 * 200
+
+
+def test_words_are_learnt_without_capitals_and_closing_marks():
+    with open(WORDS, encoding="utf-8") as file:
+        tokenizer = packing.WordTokenizer(file.read())
+    whole = Tokenizer.from_file(WORDS)
+    whole.encode_special_tokens = True
+    texts = ["Été été, ÉTÉ. (été) Été!? été;\n", "a,b, a,.c,. 'S's, 1,2. ?, ß. x-, ...", "It's, l'été|", "<|EndOfText|>, end.\x0b中,", "ÀÖØ÷×, ý. þÿ#", "Ünï¿, ñ\x1f. ½, a²."]
+    for text, ids in zip(texts, tokenizer.encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert {word for word in tokenizer.known if "t" in word and word.isalpha()} == {"été"}
+    assert tokenizer.letters is not None
