@@ -13,7 +13,6 @@ own, repeated or not, with or without an id. An empty table gives an empty resul
 
 from __future__ import annotations
 
-import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -29,7 +28,7 @@ from oreflow.session import materialise
 
 WINDOW, CLOSING = 4096, 2
 # Bytes of words that a Python worker remembers before it starts afresh, about, and the longest of them in characters.
-REMEMBERED, SHORT, ENTRY = 64 << 20, 64, 160
+REMEMBERED, SHORT, ENTRY = 160 << 20, 64, 160
 # Rows of one length that one task numbers, on average.
 NUMBERED = 20_000
 # Most lengths of a combination.
@@ -71,21 +70,21 @@ class WordTokenizer:
         if suffix:
             self.closes = np.zeros(max(vocabulary.values()) + 1 + len(special), dtype=bool)
             self.closes[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
-            self._prepare_letters(text)
+            self._prepare_letters()
         self.known: dict[str, bytes] = {}
         self.size = 0
 
-    def _prepare_letters(self, text: str) -> None:
+    def _prepare_letters(self) -> None:
         """A tokenizer for lower-case Latin letters that leaves out the steps that change nothing in them.
 
         It gets their bytes as the letters that the vocabulary has for them. It is used if it splits every pair of letters
         as the whole tokenizer does.
         """
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
+        from tokenizers.pre_tokenizers import ByteLevel, Split
 
-        blanks = {"type": "Split", "pattern": {"String": " "}, "behavior": "Removed", "invert": False}
-        letters = Tokenizer.from_str(json.dumps(json.loads(text) | {"normalizer": None, "pre_tokenizer": blanks, "added_tokens": []}))
+        letters = Tokenizer(self.plain.model)
+        letters.pre_tokenizer = Split(" ", "removed")
         in_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
         self.byte_letters = {ord(c): in_bytes.pre_tokenize_str(c)[0][0] for c in LOWER}
         pairs = " ".join(a + b for a in LOWER for b in LOWER)
@@ -150,7 +149,7 @@ class WordTokenizer:
         # Words of up to ``SHORT`` characters; their ids take no more than four bytes for each of theirs.
         self.size += (len(known) - before) * (ENTRY + SHORT // 2)
         known.update(own)
-        encoded = [b"".join([known[word] for word in words]) for words in lists]
+        encoded = [b"".join(map(known.__getitem__, words)) for words in lists]
         for word in own:
             del known[word]
         return encoded
