@@ -2,25 +2,27 @@
 
 Sets are enumerated as a tree: a set's children add one item that comes later in a fixed order, rarer
 items first. What a set needs to grow is its projected table: the baskets that hold it, with their
-items after its last one. Projected tables travel as one array per basket and set. Small ones are dealt
-to tasks by the hash of their set and mined there to the end. Large ones are cut by the hash of the basket,
-the extensions in each piece are counted and the counts summed; only what is frequent is written
-as the table of the next round. So no task holds more than its share, however often one item occurs.
+items after its last one. Frequent items go by their number, the rarest first. Projected tables travel as one array
+per basket and set. Small ones are dealt to tasks by the hash of their set and mined there to the end. The extensions of
+large ones are counted where the baskets are, a bounded number at a time, and the counts summed; only what is frequent is
+written as the table of the next round. So no task holds more than its share, however often one item occurs.
 """
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oreflow.functions.text import label_of
-from oreflow.session import materialise
+from oreflow.session import materialise_lean as materialise
 
 # Rows of projected tables that a task aims for, at most and, where more tasks would leave little to each, at least.
 TASK_ROWS, LEAST_ROWS = 2_000_000, 1_000_000
@@ -29,6 +31,8 @@ SPLIT = 16
 # Rows of projected tables that one partition of dealt baskets stands for, so that it is sorted in memory, and the most
 # partitions, beyond which writers sort their rows, too.
 SORTED_ROWS, MOST_PARTS = 8_000_000, 200
+# Rows of large projected tables that are counted at a time, and that a task aims for.
+COUNTED_ROWS, COUNTING_ROWS = 4_000_000, 16_000_000
 
 
 def build_baskets(rows: DataFrame) -> DataFrame:
@@ -53,33 +57,55 @@ def frequent_itemsets(rows: DataFrame, support: int, method: str = "prefixes", t
     if method not in ("prefixes", "fpgrowth"):
         raise ValueError("method must be 'prefixes' or 'fpgrowth'")
     baskets = materialise(build_baskets(rows), "baskets")
-    singles = materialise(frequent_items(baskets, support), "items")
-    # Items below the support are in no frequent set.
-    pruned = baskets.join(singles, "item")
+    singles = materialise(_numbered(frequent_items(baskets, support)), "items")
+    # Items below the support are in no frequent set; the others go by their number.
+    numbers = singles.select("item", "number")
+    ordered = _ordered(baskets.join(numbers, "item").select("basket_id", F.col("number").alias("item")))
     if method == "fpgrowth":
-        return _canonical(_mine_with_fpgrowth(_ordered(pruned), singles, support, task_rows))
-    return _canonical(_mine_prefixes(_ordered(pruned), support, task_rows))
+        return _canonical(_mine_with_fpgrowth(ordered, singles, support, task_rows), numbers)
+    return _canonical(_mine_prefixes(ordered, support, task_rows), numbers)
+
+
+def _numbered(singles: DataFrame) -> DataFrame:
+    """(item, freq, number): the items numbered 0, 1, 2, ... from the rarest on, equally rare ones in order.
+
+    Items are sorted in ranges; only the sizes of the ranges are summed up in one place.
+    """
+    ranges = singles.where("item IS NOT NULL").repartitionByRange("freq", "item").sortWithinPartitions("freq", "item")
+    # The upper bits hold the range, the lower 33 the place in it.
+    placed = materialise(ranges.withColumn("at", F.monotonically_increasing_id()), "sorted-items").withColumn("range", F.shiftright("at", 33))
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy("range").agg(F.count("*").alias("size"))
+    starts = sizes.select("range", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
+    number = F.col("start") + F.col("at") - F.shiftleft("range", 33)
+    return placed.join(F.broadcast(starts), "range").select("item", "freq", number.cast("int").alias("number"))
 
 
 def _ordered(pruned: DataFrame) -> DataFrame:
-    """(basket_id, item, place, later): each item's place in its basket, rarer items first, and how many items follow it."""
+    """(basket_id, item, place, later): each item's place in its basket and how many items follow it.
+
+    Rarer items come first; where there is no ``freq``, items are numbers in that order.
+    """
     basket = Window.partitionBy("basket_id")
-    place = F.row_number().over(basket.orderBy("freq", "item"))
+    place = F.row_number().over(basket.orderBy(*[c for c in ("freq", "item") if c in pruned.columns]))
     numbered = pruned.select("basket_id", "item", place.alias("place"), F.count("*").over(basket).alias("n"))
-    return materialise(numbered.select("basket_id", "item", "place", (F.col("n") - F.col("place")).alias("later")), "ordered-baskets")
+    return materialise(numbered.select("basket_id", "item", "place", (F.col("n") - F.col("place")).cast("int").alias("later")), "ordered-baskets")
 
 
-def _canonical(found: DataFrame) -> DataFrame:
-    items = F.array_sort("items")
-    return found.select(items.alias("items"), F.size("items").alias("size"), F.col("freq").cast("bigint").alias("freq"))
+def _canonical(found: DataFrame, numbers: DataFrame) -> DataFrame:
+    """(items, size, freq) of sets of item numbers."""
+    each = found.select("items", "freq", F.explode("items").alias("number")).join(numbers, "number")
+    named = each.groupBy("items", "freq").agg(F.array_sort(F.collect_list("item")).alias("named"))
+    return named.select(F.col("named").alias("items"), F.size("items").alias("size"), F.col("freq").cast("bigint").alias("freq"))
 
 
 def _mine_with_fpgrowth(ordered: DataFrame, singles: DataFrame, support: int, task_rows: int) -> DataFrame:
     """The library miner on what is left of the baskets without items that are in no frequent pair."""
-    alone = singles.where("item IS NOT NULL").select(F.array("item").alias("items"), "freq")
+    alone = singles.select(F.array("number").alias("items"), "freq")
     size = ordered.agg(F.sum("later")).first()[0] or 0
-    every = materialise(_marked(ordered, singles.select("item", F.lit(-1).alias("owner"))), "marked-baskets")
-    pairs = materialise(frequent_extensions(children(every), support, size), "pairs")
+    owners = singles.select(F.col("number").alias("item"), F.lit(-_parts(size)).alias("owner"))
+    every = materialise(_marked(ordered, owners), "marked-baskets")
+    pairs = materialise(frequent_extensions(every, support, size, singles.count()), "pairs")
     paired = pairs.select(F.col("prefix")[0].alias("item")).union(pairs.select("item")).distinct()
     left = ordered.join(paired, "item", "left_semi").groupBy("basket_id").agg(F.collect_list("item").alias("items"))
     arrays = materialise(left.where(F.size("items") > 1).select("items"), "basket-arrays")
@@ -168,48 +194,181 @@ def _owner(prefix: list[str], tasks: int) -> Column:
 
 
 def children(marked: DataFrame) -> DataFrame:
-    """(prefix, basket_id, piece, items): the projected tables of the extensions with an owner below 0, one row per basket.
-
-    The owner tells into how many pieces a table is cut: -3 means three.
-    """
+    """(prefix, basket_id, items): the projected tables of the extensions with an owner below 0, one row per basket."""
     prefix = _prefix(marked)
     each = marked.select(*prefix, "basket_id", "items", F.posexplode("owners").alias("at", "owner")).where("owner < 0 AND at + 1 < size(items)")
     item = F.get("items", F.col("at"))
     longer = F.concat("prefix", F.array(item)) if prefix else F.array(item)
-    piece = F.pmod(F.xxhash64("basket_id"), -F.col("owner")).cast("int")
     rest = F.slice("items", F.col("at") + 2, F.size("items") - F.col("at") - 1)
-    return each.select(longer.alias("prefix"), "basket_id", piece.alias("piece"), rest.alias("items"))
-
+    return each.select(longer.alias("prefix"), "basket_id", rest.alias("items"))
 
-def frequent_extensions(parents: DataFrame, support: int, size: int) -> DataFrame:
-    """(prefix, item, freq) of the frequent extensions of ``parents`` (prefix, basket_id, piece, items), of ``size`` items in all."""
-    parts = max(parents.sparkSession.sparkContext.defaultParallelism, -(-2 * size // TASK_ROWS))
-    schema = T.StructType([parents.schema["prefix"], T.StructField("item", parents.schema["items"].dataType.elementType), T.StructField("n", T.LongType())])
-    pieces = parents.repartition(parts, "prefix", "piece").select("prefix", "items").mapInArrow(_tally_batches, schema)
-    return pieces.groupBy("prefix", "item").agg(F.sum("n").alias("freq")).filter(F.col("freq") >= support)
 
+def _parts(work: int) -> int:
+    """Parts in which the extensions of large tables of ``work`` rows in all are summed: a power of two."""
+    return 1 << (-(-work // TASK_ROWS) - 1).bit_length() if work else 1
 
-def _tally_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(prefix, item, n) of rows (prefix, items), up to ``TASK_ROWS`` items or a little more at a time."""
-    held, size = [], 0
-    for batch in batches:
-        held.append(batch)
-        size += len(batch.column("items").flatten())
-        if size > TASK_ROWS:
-            yield _tally(pa.Table.from_batches(held))
-            held, size = [], 0
-    if size:
-        yield _tally(pa.Table.from_batches(held))
 
+def frequent_extensions(marked: DataFrame, support: int, size: int, n_items: int) -> DataFrame:
+    """(prefix, item, freq) of the frequent extensions of all ``children`` of ``marked``, which have ``size`` rows in all.
 
-def _tally(rows: pa.Table) -> pa.RecordBatch:
+    Items are numbers below ``n_items``. The owner, below 0, tells in how many parts the counts of a prefix are summed: -4
+    means four. Children are not formed: a task counts the pairs of its baskets' items and sends, per prefix and part, the
+    sorted pairs as bytes. A part has its share of every item's partners, so one item in very many baskets is in all parts.
+    """
+    cores = marked.sparkSession.sparkContext.defaultParallelism
+    parts = -F.array_min(F.filter("owners", lambda o: o < 0))
+    large = marked.withColumn("parts", parts).where("parts > 0")
+    tasks = max(cores, -(-size // COUNTING_ROWS))
+    if _prefix(marked):
+        piece = F.pmod(F.xxhash64("basket_id"), F.col("parts"))
+        spread = large.repartition(tasks, "prefix", piece).sortWithinPartitions("prefix")
+    else:
+        spread = large.withColumn("prefix", F.array().cast(T.ArrayType(marked.schema["items"].dataType.elementType))).repartition(tasks, "basket_id")
+    sent = spread.select("prefix", "items", "owners", "parts").mapInArrow(_pair_blocks(n_items), "prefix array<int>, parts int, part int, cells binary")
+    dealt = sent.repartition(max(cores, -(-size // (4 * TASK_ROWS))), "prefix", "part").sortWithinPartitions("prefix", "part")
+    return dealt.mapInArrow(_block_sums(n_items, support), "prefix array<int>, item int, freq bigint")
+
+
+def _pair_blocks(n_items: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (prefix, parts, part, cells) of baskets (prefix, items, owners, parts), some ``COUNTED_ROWS`` pairs at a time."""
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            lengths = np.diff(batch.column("items").offsets.to_numpy()).astype(np.int64)
+            size += int((lengths * (lengths - 1) // 2).sum())
+            if size > COUNTED_ROWS:
+                yield from _counted_pairs(pa.Table.from_batches(held), n_items)
+                held, size = [], 0
+        if size:
+            yield from _counted_pairs(pa.Table.from_batches(held), n_items)
+
+    return blocks
+
+
+def _counted_pairs(rows: pa.Table, n_items: int) -> Iterator[pa.RecordBatch]:
     prefixes, kept = _prefix_codes(rows.column("prefix"))
+    parts = np.ones(len(kept), dtype=np.int64)
+    parts[prefixes] = rows.column("parts").to_numpy()
     lists = rows.column("items").combine_chunks()
-    codes, names = _codes(lists.flatten())
-    cells = np.repeat(prefixes, np.diff(lists.offsets.to_numpy())) * len(names) + codes
-    found, counts = np.unique(cells, return_counts=True)
-    prefix = pa.array(kept, rows.schema.field("prefix").type).take(pa.array(found // len(names)))
-    return pa.RecordBatch.from_arrays([prefix, names.take(pa.array(found % len(names))), pa.array(counts, pa.int64())], ["prefix", "item", "n"])
+    items = lists.flatten().to_numpy().astype(np.int64)
+    large = pc.fill_null(pc.less(rows.column("owners").combine_chunks().flatten(), 0), False).to_numpy(zero_copy_only=False)
+    sizes = np.diff(lists.offsets.to_numpy())
+    ends, of = np.repeat(np.cumsum(sizes), sizes), np.repeat(prefixes, sizes)
+    # So many prefixes, at a time, whose cells fit 64 bits.
+    most = max(1, 2**62 // int((parts * _span(parts, n_items)).max()))
+    for low in range(0, len(kept), most):
+        at = np.flatnonzero(large & (ends - np.arange(len(items)) > 1) & (of >= low) & (of < low + most))
+        n_pairs = np.cumsum(ends[at] - at - 1)
+        cuts = np.searchsorted(n_pairs, np.arange(COUNTED_ROWS, n_pairs[-1], COUNTED_ROWS)) + 1 if len(at) else []
+        for some in np.split(at, cuts):
+            if len(some):
+                cells, counts = _distinct_cells(some, items, ends, of - low, parts[low : low + most], n_items)
+                yield _blocks(cells, counts, parts[low : low + most], kept[low : low + most], n_items)
+
+
+def _span(parts: np.ndarray | int, n_items: int) -> np.ndarray | int:
+    """The cells of a part: for each item a share of its partners."""
+    return n_items * (n_items // parts + 1)
+
+
+def _distinct_cells(at: np.ndarray, items: np.ndarray, ends: np.ndarray, of: np.ndarray, parts: np.ndarray, n_items: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of the items at some places with the later ones of their baskets, as sorted cells, and how often each occurs.
+
+    Cells go by prefix, then by part, which is the sum of both items modulo ``parts``, then by first and second item.
+    """
+    n_later = ends[at] - at - 1
+    width = int((parts * _span(parts, n_items)).max())
+    if (parts == parts[0]).all():
+        of_pair, p = (lambda x: x), int(parts[0])
+    else:
+        of_pair, p = (lambda x: np.repeat(x, n_later)), parts[of[at]]
+    first = np.repeat(items[at], n_later)
+    second = items[_ranges(at + 1, ends[at])]
+    cells = np.repeat(of[at] * width + items[at] * (n_items // p + 1), n_later)
+    first += second
+    first &= of_pair(p - 1)
+    first *= of_pair(_span(p, n_items))
+    cells += first
+    second //= of_pair(p)
+    cells += second
+    cells.sort()
+    begins = np.flatnonzero(np.concatenate(([True], cells[1:] != cells[:-1])))
+    return cells[begins], np.diff(begins, append=len(cells))
+
+
+def _blocks(cells: np.ndarray, counts: np.ndarray, parts: np.ndarray, kept: list[tuple], n_items: int) -> pa.RecordBatch:
+    width = int((parts * _span(parts, n_items)).max())
+    span = _span(parts, n_items)
+    block = cells // width
+    block = block * int(parts.max()) + cells % width // span[block]
+    begins = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
+    owner, part = np.divmod(block[begins], int(parts.max()))
+    steps = np.diff(cells, prepend=0)
+    steps[begins] = cells[begins] - owner * width - part * span[owner]
+    ends = np.append(begins[1:], len(cells))
+    packed = [_packed(steps[i:j], counts[i:j]) for i, j in zip(begins.tolist(), ends.tolist(), strict=True)]
+    names = pa.array([kept[i] for i in owner.tolist()], pa.list_(pa.int32()))
+    return pa.RecordBatch.from_arrays(
+        [names, pa.array(parts[owner], pa.int32()), pa.array(part, pa.int32()), pa.array(packed, pa.binary())], ["prefix", "parts", "part", "cells"]
+    )
+
+
+def _packed(steps: np.ndarray, counts: np.ndarray) -> bytes:
+    """Numbers byte by byte, all lowest bytes first, as far as any is above 0, compressed; counts less 1."""
+    planes, widths = [], []
+    for numbers in (steps, counts - 1):
+        widths.append((int(numbers.max()).bit_length() + 7) // 8)
+        planes.append(np.ascontiguousarray(numbers.astype("<i8").view(np.uint8).reshape(-1, 8)[:, : widths[-1]].T).tobytes())
+    return struct.pack("<QBB", len(steps), *widths) + pa.compress(b"".join(planes), codec="zstd", asbytes=True)
+
+
+def _unpacked(block: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The cells within their part, and the counts."""
+    n, *widths = struct.unpack_from("<QBB", block)
+    planes = np.frombuffer(pa.decompress(block[10:], n * sum(widths), codec="zstd", asbytes=True), dtype=np.uint8).reshape(-1, n)
+    numbers = []
+    for low, high in ((0, widths[0]), (widths[0], sum(widths))):
+        filled = np.zeros((n, 8), dtype=np.uint8)
+        filled[:, : high - low] = planes[low:high].T
+        numbers.append(filled.view("<i8").reshape(-1))
+    return np.cumsum(numbers[0]), numbers[1] + 1
+
+
+def _block_sums(n_items: int, support: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(prefix, item, freq) of the frequent pairs in blocks (prefix, parts, part, cells) that are sorted by prefix and part."""
+
+    def summed(key: tuple, blocks: list[bytes]) -> Iterator[pa.RecordBatch]:
+        prefix, parts, part = key
+        cells, counts = (np.concatenate(x) for x in zip(*map(_unpacked, blocks), strict=True))
+        order = np.argsort(cells, kind="stable")
+        cells = cells[order]
+        begins = np.flatnonzero(np.concatenate(([True], cells[1:] != cells[:-1])))
+        freq = np.add.reduceat(counts[order], begins)
+        often = freq >= support
+        if not often.any():
+            return
+        first, second = np.divmod(cells[begins][often], n_items // parts + 1)
+        second = second * parts + ((part - first) & (parts - 1))
+        longer = pa.array([[*prefix, i] for i in first.tolist()], pa.list_(pa.int32()))
+        yield pa.RecordBatch.from_arrays([longer, pa.array(second, pa.int32()), pa.array(freq[often], pa.int64())], ["prefix", "item", "freq"])
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, []
+        for batch in batches:
+            keys = zip(*(batch.column(c).to_pylist() for c in ("prefix", "parts", "part")), strict=True)
+            for (prefix, parts, part), cells in zip(keys, batch.column("cells").to_pylist(), strict=True):
+                key = (tuple(prefix), parts, part)
+                if key != last and held:
+                    yield from summed(last, held)
+                    held = []
+                last = key
+                held.append(cells)
+        if held:
+            yield from summed(last, held)
+
+    return sums
 
 
 def _prefix_codes(column: pa.ChunkedArray) -> tuple[np.ndarray, list[tuple]]:
@@ -229,12 +388,13 @@ def _mine_prefixes(ordered: DataFrame, support: int, task_rows: int) -> DataFram
     item_type = ordered.schema["item"].dataType
     schema = T.StructType([T.StructField("items", T.ArrayType(item_type)), T.StructField("freq", T.LongType())])
     cores = ordered.sparkSession.sparkContext.defaultParallelism
-    found, parents, rows = None, None, ordered
+    found, parents, rows, n_items = None, None, ordered, 0
     while True:
         table = extensions(parents, rows)
         if parents is not None:
             table = materialise(table, "projected")
         counted = materialise(_counted(table, support), "extensions")
+        n_items = n_items or counted.count()
         sets = counted.select(_longer(counted).alias("items"), "freq")
         found = sets if found is None else found.unionByName(sets)
 
@@ -247,7 +407,11 @@ def _mine_prefixes(ordered: DataFrame, support: int, task_rows: int) -> DataFram
         ).first()
         # Half of a task's share on average, so that the sum of those that meet by chance stays near it.
         tasks = max(cores, -(-2 * (sizes["small"] or 0) // share))
-        owner = F.when(F.col("work") <= limit, _owner(_prefix(table), tasks)).otherwise(-F.ceil(F.col("work") / TASK_ROWS).cast("int"))
+        parts = F.lit(_parts(sizes["large"] or 0))
+        if _prefix(table):
+            large = F.sum(F.when(F.col("work") > limit, F.col("work"))).over(Window.partitionBy("prefix"))
+            parts = F.pow(F.lit(2.0), F.ceil(F.log2(F.ceil(large / TASK_ROWS))))
+        owner = F.when(F.col("work") <= limit, _owner(_prefix(table), tasks)).otherwise(-parts.cast("int"))
         # Rows without a basket id share no basket, so they are in no set of two.
         named = table.where("basket_id IS NOT NULL")
         marked = materialise(_marked(named, open_sets.select(*_prefix(table), "item", owner.alias("owner"))), "marked-baskets")
@@ -258,7 +422,7 @@ def _mine_prefixes(ordered: DataFrame, support: int, task_rows: int) -> DataFram
         if not sizes["large"]:
             return found
         parents = children(marked)
-        rows = materialise(frequent_extensions(parents, support, sizes["large"]), "often")
+        rows = materialise(frequent_extensions(marked, support, sizes["large"], n_items), "often")
         if rows.isEmpty():
             return found
 

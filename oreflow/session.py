@@ -72,6 +72,20 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialise_lean(df: DataFrame, label: str) -> DataFrame:
+    """The same, and the shuffle files it took are deleted as soon as the table is written.
+
+    For steps that shuffle much, and only for a ``df`` that is not used again.
+    """
+    spark, drop = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(drop, "false")
+    spark.conf.set(drop, "true")
+    try:
+        return materialise(df, label)
+    finally:
+        spark.conf.set(drop, before)
+
+
 def size_in_bytes(df: DataFrame) -> int:
     """The optimizer's estimate of the size of ``df``."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
