@@ -316,23 +316,26 @@ def _blocks(cells: np.ndarray, counts: np.ndarray, parts: np.ndarray, kept: list
 
 
 def _packed(steps: np.ndarray, counts: np.ndarray) -> bytes:
-    """Numbers byte by byte, all lowest bytes first, as far as any is above 0, compressed; counts less 1."""
+    """Both, counts less 1, byte by byte: all lowest bytes first, as far as any is above 0, each place compressed by itself."""
     planes, widths = [], []
     for numbers in (steps, counts - 1):
         widths.append((int(numbers.max()).bit_length() + 7) // 8)
-        planes.append(np.ascontiguousarray(numbers.astype("<i8").view(np.uint8).reshape(-1, 8)[:, : widths[-1]].T).tobytes())
-    return struct.pack("<QBB", len(steps), *widths) + pa.compress(b"".join(planes), codec="zstd", asbytes=True)
+        bytes_of = numbers.astype("<i8").view(np.uint8).reshape(-1, 8)
+        planes.extend(pa.compress(np.ascontiguousarray(bytes_of[:, k]), codec="zstd", asbytes=True) for k in range(widths[-1]))
+    return struct.pack(f"<QBB{len(planes)}Q", len(steps), *widths, *map(len, planes)) + b"".join(planes)
 
 
 def _unpacked(block: bytes) -> tuple[np.ndarray, np.ndarray]:
     """The cells within their part, and the counts."""
     n, *widths = struct.unpack_from("<QBB", block)
-    planes = np.frombuffer(pa.decompress(block[10:], n * sum(widths), codec="zstd", asbytes=True), dtype=np.uint8).reshape(-1, n)
-    numbers = []
-    for low, high in ((0, widths[0]), (widths[0], sum(widths))):
-        filled = np.zeros((n, 8), dtype=np.uint8)
-        filled[:, : high - low] = planes[low:high].T
-        numbers.append(filled.view("<i8").reshape(-1))
+    sizes, at, numbers = iter(struct.unpack_from(f"<{sum(widths)}Q", block, 10)), 10 + 8 * sum(widths), []
+    for width in widths:
+        bytes_of = np.zeros((n, 8), dtype=np.uint8)
+        for k in range(width):
+            size = next(sizes)
+            bytes_of[:, k] = np.frombuffer(pa.decompress(block[at : at + size], n, codec="zstd", asbytes=True), dtype=np.uint8)
+            at += size
+        numbers.append(bytes_of.view("<i8").reshape(-1))
     return np.cumsum(numbers[0]), numbers[1] + 1
 
 
